@@ -223,7 +223,7 @@ def fraud_signals(
     for name, (counts, key) in sides.items():
         renamed = counts.withColumnsRenamed({N_ALL: f"{name}_rows", N_FRAUD: f"{name}_fraud"})
         if name == "sms":
-            joined = left_join(joined, renamed, [key], policy, right_unique=True)
+            joined = left_join(joined, renamed, [key], policy)
         else:
             joined = joined.join(renamed, key, "left")
     for name in sides:

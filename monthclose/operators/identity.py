@@ -32,7 +32,7 @@ def identity_rows(
     )
     owners = profiles.select("consumer_uuid", F.col("phone").alias("user_phone")).distinct()
     with_number = left_join(call_counts, numbers, ["ticket_id"], policy)
-    with_owner = left_join(with_number, owners, ["user_phone"], policy)
+    with_owner = left_join(with_number, owners, ["user_phone"], policy, hot_right=True)
     return with_owner.groupBy("call_id", "ticket_id", "user_phone", "consumer_uuid").agg(
         F.sum(F.col("n_calls") * F.coalesce("n_numbers", F.lit(1))).alias(N_ROWS)
     )

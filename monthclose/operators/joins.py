@@ -81,12 +81,12 @@ def interval_in_force(
     interval of it. A hot key is cut into hours; what is still running at the start of an hour is handed
     over as one carry row per hour, computed from per-hour maxima.
     """
-    slot, kind, best, time, open_end = "__slot", "__kind", "__best", "__time", "__end"
+    slot, kind, best, time, open_end, hot = "__slot", "__kind", "__best", "__time", "__end", "__hot"
     carry_kind, interval_kind, fact_kind = 0, 1, 2
 
-    facts_keyed = facts.withColumn(time, F.col(at))
     started = intervals.where(F.col(start).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key),
+        F.lit(interval_kind).alias(kind),
         F.col(start).alias(time),
         F.struct(
             F.coalesce(F.col(end), F.lit(fv.OPEN_END).cast("timestamp_ntz")).alias(open_end),
@@ -94,56 +94,40 @@ def interval_in_force(
             *[F.col(v) for v in values],
         ).alias(best),
     )
-
-    hot = hot_keys(facts_keyed.select(key).unionByName(started.select(key)), [key], policy)
-    hot_flag = "__hot"
-
-    def slotted(df: DataFrame) -> DataFrame:
-        flagged = flag_hot(df, hot, [key], hot_flag)
-        # Facts without a key match nothing; they only need to be kept apart from each other.
-        without_key = spread(df.columns, policy.salts).cast("bigint")
-        return flagged.withColumn(
-            slot, F.when(F.col(hot_flag), _hour_number(time)).when(F.col(key).isNull(), without_key)
-        )
-
-    facts_slotted, started_slotted = slotted(facts_keyed), slotted(started)
-
-    # Carry rows, hot keys only: the best interval started in an earlier hour than the slot.
-    fact_slots = (
-        facts_slotted.where(F.col(hot_flag) & F.col(time).isNotNull())
-        .select(key, slot)
-        .distinct()
-        .withColumn(kind, F.lit(carry_kind))
-        .withColumn(best, F.lit(None).cast(started.schema[best].dataType))
-    )
-    slot_best = (
-        started_slotted.where(F.col(hot_flag))
-        .groupBy(key, slot)
-        .agg(F.max(best).alias(best))
-        .withColumn(kind, F.lit(interval_kind))
+    both = facts.withColumns({kind: F.lit(fact_kind), time: F.col(at)}).unionByName(
+        started, allowMissingColumns=True
     )
-    by_slot = Window.partitionBy(key).orderBy(slot, kind).rowsBetween(Window.unboundedPreceding, 0)
-    carries = (
-        fact_slots.unionByName(slot_best)
-        .withColumn(best, F.max(best).over(by_slot))
-        .where((F.col(kind) == carry_kind) & F.col(best).isNotNull())
-    )
-
-    line = (
-        facts_slotted.drop(hot_flag)
-        .withColumn(kind, F.lit(fact_kind))
-        .unionByName(
-            started_slotted.drop(hot_flag).withColumn(kind, F.lit(interval_kind)), allowMissingColumns=True
+    # Facts without a key match nothing; they only need to be kept apart from each other.
+    without_key = spread(facts.columns, policy.salts).cast("bigint")
+    slot_of_null = F.when(F.col(key).isNull(), without_key)
+    found = hot_keys(both, [key], policy)
+    if found is None:
+        line = both.withColumn(slot, slot_of_null)
+    else:
+        flagged = flag_hot(both, found, [key], hot).withColumn(
+            slot, F.when(F.col(hot), _hour_number(time)).otherwise(slot_of_null)
         )
-        .unionByName(carries, allowMissingColumns=True)
-    )
+        # The best interval started before the hour, for the hours of a hot key that hold facts.
+        earlier = Window.partitionBy(key).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
+        carries = (
+            flagged.where(F.col(hot) & F.col(time).isNotNull())
+            .groupBy(key, slot)
+            .agg(F.max(best).alias(best), F.max(kind).alias(kind))
+            .withColumn(best, F.max(best).over(earlier))
+            .where((F.col(kind) == fact_kind) & F.col(best).isNotNull())
+            .withColumn(kind, F.lit(carry_kind))
+        )
+        line = flagged.drop(hot).unionByName(carries, allowMissingColumns=True)
+
     # Carry rows have no time and sort first; at equal times intervals come before facts.
     running = (
         Window.partitionBy(key, slot)
         .orderBy(F.col(time).asc_nulls_first(), F.col(kind))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    placed = line.withColumn(best, F.max(best).over(running)).where(F.col(kind) == fact_kind)
+    placed = (
+        line.withColumn(best, F.max(best).over(running)).where(F.col(kind) == fact_kind)
+    )
     in_force = F.col(at) < F.col(best)[open_end]
     return placed.select(
         *[F.col(c) for c in facts.columns],

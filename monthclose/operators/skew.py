@@ -16,18 +16,22 @@ _SALT = "__salt"
 _FOUND = "__found"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> DataFrame:
-    """Keys holding more than ``policy.share`` of all rows (and more than ``policy.min_rows``).
+def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> DataFrame | None:
+    """Keys holding more than ``policy.share`` of all rows and more than ``policy.min_rows``, or None.
 
-    The counts are combined map-side, and there can be no more than ``1 / policy.share`` such keys.
+    Runs a job: counts per key, combined map-side, of which only the hot keys come back. There can be no
+    more than ``1 / policy.share`` of them, so the list is small however large the data is. Whatever uses
+    it is exact with any list of keys; the list only decides how rows are spread.
     """
     counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
     threshold = counts.agg(F.greatest(F.sum(_N) * F.lit(policy.share), F.lit(float(policy.min_rows))).alias(_N))
-    return counts.where(F.col(_N) > threshold.scalar()).select(*keys)
+    found = counts.where(F.col(_N) > threshold.scalar()).select(*keys)
+    rows = found.collect()
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
 
 
 def flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], flag: str = _HOT) -> DataFrame:
-    """``df`` plus a boolean column. The broadcast side holds at most ``1 / share`` keys, see hot_keys."""
+    """``df`` plus a boolean column; ``hot`` holds at most ``1 / share`` keys and is broadcast."""
     marked = df.join(F.broadcast(hot.withColumn(flag, F.lit(True))), list(keys), "left")
     return marked.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
@@ -38,42 +42,34 @@ def spread(columns: Sequence[str], parts: int) -> Column:
 
 
 def left_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    policy: SkewPolicy,
-    right_unique: bool = False,
+    left: DataFrame, right: DataFrame, on: Sequence[str], policy: SkewPolicy, hot_right: bool = False
 ) -> DataFrame:
-    """Left outer join on the columns ``on``, whole and exact for any distribution of keys.
+    """Left outer join on the columns ``on``, exact whatever the distribution of keys.
 
     * Left rows with a null key match nothing; they are spread over ``salts`` partitions instead of
       meeting in one.
     * A hot key on the left is split by AQE's skew join, which can split the left side of a left join.
-    * A hot key on the right cannot be split by AQE. Its right rows are salted and its left rows copied
-      once per salt. Such a key has a match, so the null-extended copies (from a salt that drew no
-      row) are all spurious and are removed.
-
-    ``right_unique=True`` states that ``right`` holds one row per key and skips the third part.
+    * A hot key on the right cannot be split by AQE. With ``hot_right`` such keys are looked for, their
+      right rows salted and their left rows copied once per salt. A hot key does have matches, so the
+      null-extended copies (from a salt that drew no row) are all spurious and are removed.
     """
     on = list(on)
     null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     null_salt = F.when(null_key, spread(left.columns, policy.salts) + 1).otherwise(F.lit(0))
-    if right_unique:
-        salted_left = left.withColumn(_SALT, null_salt)
-        return salted_left.join(right.withColumn(_SALT, F.lit(0)), [*on, _SALT], "left").drop(_SALT)
+    hot = hot_keys(right, on, policy) if hot_right else None
+    if hot is None:
+        salted = left.withColumn(_SALT, null_salt)
+        return salted.join(right.withColumn(_SALT, F.lit(0)), [*on, _SALT], "left").drop(_SALT)
 
-    hot = hot_keys(right, on, policy)
     salted_right = (
         flag_hot(right, hot, on)
         .withColumn(_SALT, F.when(F.col(_HOT), spread(right.columns, policy.salts)).otherwise(F.lit(0)))
-        .drop(_HOT)
         .withColumn(_FOUND, F.lit(True))
+        .drop(_HOT)
     )
+    all_salts = F.sequence(F.lit(0), F.lit(policy.salts - 1))
     salted_left = flag_hot(left, hot, on).withColumn(
-        _SALT,
-        F.explode(
-            F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(policy.salts - 1))).otherwise(F.array(null_salt))
-        ),
+        _SALT, F.explode(F.when(F.col(_HOT), all_salts).otherwise(F.array(null_salt)))
     )
     joined = salted_left.join(salted_right, [*on, _SALT], "left")
     return joined.where(~F.col(_HOT) | F.col(_FOUND)).drop(_HOT, _SALT, _FOUND)

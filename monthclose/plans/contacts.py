@@ -64,13 +64,14 @@ def _cases(
     if not dedupe:
         # The identity lookup adds no column here, it only repeats cases: take the counts, not the rows.
         lookup = _identity_of(month, sources, params).groupBy("call_id").agg(F.sum(N_ROWS).alias("n_identities"))
-        month = left_join(month, lookup, ["call_id"], params.skew, right_unique=True)
+        month = left_join(month, lookup, ["call_id"], params.skew)
         times = F.coalesce("n_identities", F.lit(1))
     with_account = left_join(
         month,
         _account_counts(sources, ["product_account_uuid", "merchant_name"]),
         ["consumer_uuid", "program_name"],
         params.skew,
+        hot_right=True,
     )
     counted = with_account.withColumn(N_ROWS, times * F.coalesce("n_accounts", F.lit(1)))
     return repeat_rows(counted, N_ROWS).select(
@@ -122,6 +123,7 @@ def calls(sources: Sources, params: ReportParams) -> DataFrame:
         _account_counts(sources, ["product_account_uuid"]),
         ["consumer_uuid", "program_name"],
         params.skew,
+        hot_right=True,
     )
     counted = with_account.withColumn(
         N_ROWS, F.coalesce("n_identities", F.lit(1)) * F.coalesce("n_accounts", F.lit(1))

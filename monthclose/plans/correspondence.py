@@ -61,7 +61,7 @@ def _support_emails(sources: Sources, params: ReportParams, grouped: bool) -> Da
         .distinct()
     )
     accounts = sources["accounts"].select("consumer_uuid", "product_account_uuid").distinct()
-    return left_join(listed, accounts, ["consumer_uuid"], params.skew).select(
+    return left_join(listed, accounts, ["consumer_uuid"], params.skew, hot_right=True).select(
         "product_account_uuid", "timestamp", "direction", F.lit(fv.SUPPORT_EMAIL).alias("correspondence_type")
     )
 

@@ -34,7 +34,6 @@ def ageing_lines(sources: Sources, params: ReportParams) -> DataFrame:
         listed,
         ["credit_line_uuid"],
         params.skew,
-        right_unique=True,
     )
     weighted = F.col("total_balance") * F.coalesce("n_listed", F.lit(1))
     return rows.groupBy(dpd_bucket(F.col("days_past_due")).alias("dpd_bucket")).agg(
