@@ -6,7 +6,7 @@ the same rows. Values the reports look for come from ``fixed_values``.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from monthclose import fixed_values as fv
 from monthclose.sources.registry import Sources
@@ -15,6 +15,7 @@ _B1, _B2, _B3 = fv.PROGRAM_BRAND_IDS
 _NAME_1, _NAME_2 = fv.PROGRAM_BRAND_NAMES
 _COMB = fv.PROGRAM_COMB_NAME
 _NONE = "Elsewhere"
+_SUPPORT = fv.SUPPORT_SIGNATURE_PATTERN.strip("%")
 
 # A number from 0 to 99 in every event.
 _K = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
@@ -165,7 +166,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         {
             "user_id": "'U' || cast(c_custkey as string)",
             "user_signature": "case c_mktsegment when 'BUILDING' then null when 'MACHINERY' then "
-            "'Your Imprint team' else 'Regards' end",
+            f"'Your {_SUPPORT} team' else 'Regards' end",
         },
     ),
     "ticket_tag_history": (
@@ -349,15 +350,26 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
-def driver_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """All report sources, derived from the driver tables by Spark."""
-    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in {t for t, _ in VIEWS.values()}}
-    return Sources(
-        {
-            view: tables[table].selectExpr(*[f"{expression} AS {column}" for column, expression in columns.items()])
-            for view, (table, columns) in VIEWS.items()
-        }
-    )
+class DriverSources(Sources):
+    """All report sources, derived from the driver tables by Spark when they are first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def table(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+
+    def get(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            table, columns = VIEWS[name]
+            self.register(
+                name,
+                self.table(table).selectExpr(*[f"{expression} AS {column}" for column, expression in columns.items()]),
+            )
+        return super().get(name)
+
+    __getitem__ = get
 
 
 def with_views(names: list[str], body: str) -> str:

@@ -14,7 +14,10 @@ from monthclose.sources.registry import Sources
 
 
 def rate_in_force(txns: DataFrame, rates: DataFrame, policy: SkewPolicy) -> DataFrame:
-    """Transactions plus ``final_apr`` valid at confirmation; an open interval is preferred."""
+    """Transactions plus ``final_apr`` valid at confirmation and the end of its interval.
+
+    An open interval is preferred, then the one ending last.
+    """
     return interval_in_force(
         txns,
         rates,
@@ -22,7 +25,7 @@ def rate_in_force(txns: DataFrame, rates: DataFrame, policy: SkewPolicy) -> Data
         at="transaction_confirmed_at_est",
         start="effective_start_at_est",
         end="effective_end_at_est",
-        values=["final_apr"],
+        values=["final_apr", "effective_end_at_est"],
         policy=policy,
     )
 
@@ -79,7 +82,10 @@ def transactions(sources: Sources, params: ReportParams) -> DataFrame:
         "final_apr",
     ]
     rated = rate_in_force(month, rates, params.skew).join(accounts, "credit_line_uuid")
-    one_each = first_event(rated, ["transaction_uuid"], ["transaction_confirmed_at_est"], tie_break=columns)
+    # A transaction listed more than once keeps the row whose rate ends last; no rate counts as open.
+    open_end = F.lit(fv.OPEN_END).cast("timestamp_ntz")
+    latest_end = F.coalesce("effective_end_at_est", open_end).desc()
+    one_each = first_event(rated, ["transaction_uuid"], [latest_end], tie_break=columns)
     rest = [F.col(c).asc_nulls_last() for c in columns if c != "transaction_confirmed_at_est"]
     return (
         one_each.select(*columns)
