@@ -6,6 +6,8 @@ the same rows. Values the reports look for come from ``fixed_values``.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 from monthclose import fixed_values as fv
@@ -17,8 +19,8 @@ _COMB = fv.PROGRAM_COMB_NAME
 _NONE = "Elsewhere"
 _SUPPORT = fv.SUPPORT_SIGNATURE_PATTERN.strip("%")
 
-# A number from 0 to 99 in every event.
-_K = "cast(regexp_extract(props, '([0-9]+)', 1) as int)"
+# A number from 0 to 99 in every event: the hundredths of its value.
+_K = "(cast(floor(value * 100) as bigint) % 100)"
 _IN_PROGRAM = f"case when o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM') then '{_COMB}' else '{_NONE}' end"
 _BRAND_OF_EVENT = (
     f"case event_type when 'click' then '{_B1}' when 'error' then '{_B2}' when 'view' then '{_B3}' "
@@ -132,7 +134,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "has_customer_requested_voicemail": "value > 150",
             "call_wait_time_seconds": "cast(floor(value * 3) as bigint)",
             "call_talk_time_seconds": f"case when {_K} % 4 = 0 then 0 else cast(floor(value) as bigint) end",
-            "call_hold_time_seconds": f"case when {_K} % 11 = 0 then null else cast({_K} as bigint) end",
+            "call_hold_time_seconds": f"case when {_K} % 11 = 0 then null else {_K} end",
             "call_wrap_up_time_seconds": "cast(10 as bigint)",
             "call_created_at": f"case when {_K} >= 90 then null else ts end",
             "ticket_created_at": "ts - interval '30' minute",
@@ -350,6 +352,11 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
+@lru_cache(maxsize=64)
+def _driver_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 class DriverSources(Sources):
     """All report sources, derived from the driver tables by Spark when they are first asked for."""
 
@@ -358,7 +365,7 @@ class DriverSources(Sources):
         self._spark, self._sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+        return _driver_table(self._spark, f"{self._sf_dir}/{name}.parquet")
 
     def get(self, name: str) -> DataFrame:
         if name not in self._tables:

@@ -38,6 +38,7 @@ from monthclose.operators.fraud import (
     cancel_near_txn,
     cancel_tally,
     dispute_chain,
+    dispute_tally,
     fraud_signals,
     sms_outcome,
 )
@@ -328,7 +329,7 @@ def accounts_of_calls(s):
     accounts = s["accounts"].select(
         "consumer_uuid", F.col("merchant_combname").alias("program_name"), "product_account_uuid"
     )
-    joined = left_join(calls, accounts, ["consumer_uuid", "program_name"], EVENTS.skew, hot_right=True)
+    joined = left_join(calls, accounts, ["consumer_uuid", "program_name"], EVENTS.skew, hot_in=accounts)
     return joined.select("ticket_id", "program_name", "product_account_uuid")
 
 
@@ -602,7 +603,7 @@ def signals_of_txns(s):
     flagged = fraud_signals(
         candidates,
         s["status_events"],
-        dispute_chain(txns, s["disputes_log"]),
+        dispute_tally(txns, s["disputes_log"], ORDERS.skew),
         cancel_tally(s["card_status_history"], txns),
         sms_outcome(s["sms_executions"], s["sms_execution_log"], s["sms_execution_steps"], ORDERS),
         ORDERS.skew,

@@ -58,8 +58,8 @@ def cancel_tally(cards: DataFrame, txns: DataFrame, days: int = 3) -> DataFrame:
     )
 
 
-def dispute_chain(txns: DataFrame, log: DataFrame) -> DataFrame:
-    """Disputes with the posted transaction, its authorisation and the log entry for any of the three."""
+def disputes_to_auth(txns: DataFrame) -> DataFrame:
+    """Disputes with the posted transaction they are about and the authorisation that one came from."""
     disputes = txns.where(F.col("transaction_type") == fv.TYPE_DISPUTE).select(
         F.col("transaction_uuid").alias("dispute_transaction_uuid"),
         F.col("source_transaction_id").alias("posted_transaction_uuid"),
@@ -86,25 +86,69 @@ def dispute_chain(txns: DataFrame, log: DataFrame) -> DataFrame:
         F.col("source_transaction_id").alias("transaction_original"),
         F.col("transaction_uuid").alias("auth_transaction_uuid"),
     )
+    return disputes.join(posted, "posted_transaction_uuid", "left").join(auth, "transaction_original", "left")
+
+
+_DISPUTE_KEYS = ("dispute_transaction_uuid", "posted_transaction_uuid", "auth_transaction_uuid")
+
+
+def dispute_chain(txns: DataFrame, log: DataFrame) -> DataFrame:
+    """Disputes, posted transaction, authorisation, and the log entries for any of the three."""
     entries = log.select(
         F.col("transaction_uuid").alias("log_transaction_uuid"),
         "reason_for_dispute",
         "workflow_stage",
         "billing_error_status_resolution",
     )
-    chained = disputes.join(posted, "posted_transaction_uuid", "left").join(auth, "transaction_original", "left")
-    keys = ["dispute_transaction_uuid", "posted_transaction_uuid", "auth_transaction_uuid"]
-    return any_key_join(chained, keys, entries, "log_transaction_uuid")
+    return any_key_join(disputes_to_auth(txns), _DISPUTE_KEYS, entries, "log_transaction_uuid")
 
 
-def fraudulent_dispute() -> Column:
-    said = (F.col("dispute_reason") == fv.DISPUTE_FRAUDULENT) | F.upper("reason_for_dispute").like(
-        fv.REASON_UNAUTHORIZED_PATTERN
-    )
+def dispute_tally(txns: DataFrame, log: DataFrame, policy: SkewPolicy) -> DataFrame:
+    """Per authorisation: rows of :func:`dispute_chain`, and those that are fraudulent, as counts.
+
+    The log is counted per transaction first: all entries, those granted to the borrower, and of these the
+    ones naming unauthorized use. The counts of a chain row are the sums over its distinct keys, and a row
+    without any entry counts once.
+    """
     granted = (F.col("workflow_stage") == fv.STAGE_RESOLUTION) & (
         F.col("billing_error_status_resolution") == fv.RESOLVED_FOR_BORROWER
     )
-    return said & granted
+    unauthorized = F.upper("reason_for_dispute").like(fv.REASON_UNAUTHORIZED_PATTERN)
+    parts = ("entries", "granted", "unauthorized")
+    entries = (
+        log.where(F.col("transaction_uuid").isNotNull())
+        .groupBy("transaction_uuid")
+        .agg(
+            F.count(F.lit(1)).alias("entries"),
+            F.count_if(granted).alias("granted"),
+            F.count_if(granted & unauthorized).alias("unauthorized"),
+        )
+    )
+    rows = disputes_to_auth(txns).where(F.col("auth_transaction_uuid").isNotNull()).select(
+        *_DISPUTE_KEYS, "dispute_reason"
+    )
+    for i, key in enumerate(_DISPUTE_KEYS):
+        of_key = entries.withColumnsRenamed({"transaction_uuid": key, **{p: f"{p}_{i}" for p in parts}})
+        rows = left_join(rows, of_key, [key], policy)
+
+    def counted(i: int, part: str) -> Column:
+        """Counts of key ``i``, unless an earlier key is the same transaction."""
+        count = F.coalesce(f"{part}_{i}", F.lit(0))
+        for earlier in _DISPUTE_KEYS[:i]:
+            count = F.when(F.col(_DISPUTE_KEYS[i]).eqNullSafe(F.col(earlier)), 0).otherwise(count)
+        return count
+
+    sums = {p: reduce(lambda a, b: a + b, [counted(i, p) for i in range(len(_DISPUTE_KEYS))]) for p in parts}
+    is_fraudulent = F.col("dispute_reason") == fv.DISPUTE_FRAUDULENT
+    return (
+        rows.select(
+            F.col("auth_transaction_uuid").alias("transaction_uuid"),
+            F.greatest(sums["entries"], F.lit(1)).alias(N_ALL),
+            F.when(is_fraudulent, sums["granted"]).otherwise(sums["unauthorized"]).alias(N_FRAUD),
+        )
+        .groupBy("transaction_uuid")
+        .agg(F.sum(N_ALL).alias(N_ALL), F.sum(N_FRAUD).alias(N_FRAUD))
+    )
 
 
 def sms_outcome(executions: DataFrame, log: DataFrame, steps: DataFrame, params: ReportParams) -> DataFrame:
@@ -189,17 +233,17 @@ def tally(df: DataFrame, key: str, is_fraud: Column, as_key: str) -> DataFrame:
 def fraud_signals(
     txns: DataFrame,
     status_events: DataFrame,
-    chain: DataFrame,
+    disputes: DataFrame,
     reissues: DataFrame,
     sms: DataFrame,
     policy: SkewPolicy,
 ) -> DataFrame:
     """``txns`` plus one boolean per fraud signal, ``is_fraud`` and ``n_fraud_rows``.
 
-    ``chain``, ``sms``: rows of :func:`dispute_chain` and :func:`sms_outcome`; ``reissues``: the counts
-    of :func:`cancel_tally`. A transaction joined row by row to its account states, disputes, card
-    cancellations and SMS flows would multiply by the product of their numbers. ``n_fraud_rows`` is how
-    many rows of that product show a signal, worked out from counts: with n rows and f fraud rows on
+    ``disputes``, ``reissues``: the counts of :func:`dispute_tally` and :func:`cancel_tally`; ``sms``:
+    the rows of :func:`sms_outcome`. A transaction joined row by row to its account states, disputes,
+    card cancellations and SMS flows would multiply by the product of their numbers. ``n_fraud_rows`` is
+    how many rows of that product show a signal, worked out from counts: with n rows and f fraud rows on
     each side it is prod(n) - prod(n - f), or prod(n) if the authorisation itself is a signal. A side
     without rows counts as one row without a signal.
     """
@@ -209,10 +253,9 @@ def fraud_signals(
         F.col("status_reason_code").isin(*fv.STATUS_CODES_FRAUD),
         "product_account_uuid",
     )
-    disputes = tally(chain, "auth_transaction_uuid", fraudulent_dispute(), "transaction_uuid")
     replies = tally(sms, "source_uuid", F.col("is_fraud_sms"), "source_transaction_id")
-    # Transactions and accounts always have an id, so plain joins do, and the first two share an exchange.
-    # Most transactions have no source transaction: those nulls are kept apart.
+    # Both joins on the transaction id, which is never hot, share an exchange. Accounts may be hot, and most
+    # transactions have no source transaction.
     sides = {
         "dispute": (disputes, "transaction_uuid"),
         "card": (reissues, "transaction_uuid"),
@@ -222,10 +265,10 @@ def fraud_signals(
     joined = txns
     for name, (counts, key) in sides.items():
         renamed = counts.withColumnsRenamed({N_ALL: f"{name}_rows", N_FRAUD: f"{name}_fraud"})
-        if name == "sms":
-            joined = left_join(joined, renamed, [key], policy)
-        else:
+        if key == "transaction_uuid":
             joined = joined.join(renamed, key, "left")
+        else:
+            joined = left_join(joined, renamed, [key], policy)
     for name in sides:
         joined = joined.withColumns(
             {

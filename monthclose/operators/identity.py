@@ -30,9 +30,10 @@ def identity_rows(
         .groupBy("ticket_id", "user_phone")
         .agg(F.count(F.lit(1)).alias("n_numbers"))
     )
-    owners = profiles.select("consumer_uuid", F.col("phone").alias("user_phone")).distinct()
+    profile_rows = profiles.select("consumer_uuid", F.col("phone").alias("user_phone"))
+    owners = profile_rows.distinct()
     with_number = left_join(call_counts, numbers, ["ticket_id"], policy)
-    with_owner = left_join(with_number, owners, ["user_phone"], policy, hot_right=True)
+    with_owner = left_join(with_number, owners, ["user_phone"], policy, hot_in=profile_rows)
     return with_owner.groupBy("call_id", "ticket_id", "user_phone", "consumer_uuid").agg(
         F.sum(F.col("n_calls") * F.coalesce("n_numbers", F.lit(1))).alias(N_ROWS)
     )

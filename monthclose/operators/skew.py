@@ -19,15 +19,18 @@ _FOUND = "__found"
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> DataFrame | None:
     """Keys holding more than ``policy.share`` of all rows and more than ``policy.min_rows``, or None.
 
-    Runs a job: counts per key, combined map-side, of which only the hot keys come back. There can be no
-    more than ``1 / policy.share`` of them, so the list is small however large the data is. Whatever uses
-    it is exact with any list of keys; the list only decides how rows are spread.
+    Runs a job: counts per key, combined map-side, of which one row comes back; only if there are hot keys
+    does a second job fetch them. There can be no more than ``1 / policy.share``, so the list is small
+    however large the data is. Whatever uses it is exact with any list of keys; the list only decides how
+    rows are spread.
     """
     counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
-    threshold = counts.agg(F.greatest(F.sum(_N) * F.lit(policy.share), F.lit(float(policy.min_rows))).alias(_N))
-    found = counts.where(F.col(_N) > threshold.scalar()).select(*keys)
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    total, largest = counts.agg(F.sum(_N), F.max(_N)).first()
+    threshold = max((total or 0) * policy.share, policy.min_rows)
+    if (largest or 0) <= threshold:
+        return None
+    hot = counts.where(F.col(_N) > threshold).select(*keys)
+    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 
 def flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], flag: str = _HOT) -> DataFrame:
@@ -42,28 +45,37 @@ def spread(columns: Sequence[str], parts: int) -> Column:
 
 
 def left_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], policy: SkewPolicy, hot_right: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    policy: SkewPolicy,
+    hot_in: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer join on the columns ``on``, exact whatever the distribution of keys.
 
     * Left rows with a null key match nothing; they are spread over ``salts`` partitions instead of
       meeting in one.
     * A hot key on the left is split by AQE's skew join, which can split the left side of a left join.
-    * A hot key on the right cannot be split by AQE. With ``hot_right`` such keys are looked for, their
-      right rows salted and their left rows copied once per salt. A hot key does have matches, so the
-      null-extended copies (from a salt that drew no row) are all spurious and are removed.
+      It needs an exchange right below each side; the salt in the join key sees to that even where
+      ``right`` is the result of an aggregation by the same key.
+    * A hot key on the right cannot be split by AQE. Hot keys are looked for in ``hot_in``, the table
+      ``right`` is made from; all keys found there must occur in ``right``. Their right rows are salted
+      and their left rows copied once per salt. A hot key does have matches, so the null-extended copies
+      (from a salt that drew no row) are all spurious and are removed.
     """
     on = list(on)
     null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     null_salt = F.when(null_key, spread(left.columns, policy.salts) + 1).otherwise(F.lit(0))
-    hot = hot_keys(right, on, policy) if hot_right else None
+    # Always 0, but computed: the optimizer would turn a literal into a filter and hash on ``on`` alone.
+    no_salt = spread(on, 1)
+    hot = hot_keys(hot_in, on, policy) if hot_in is not None else None
     if hot is None:
         salted = left.withColumn(_SALT, null_salt)
-        return salted.join(right.withColumn(_SALT, F.lit(0)), [*on, _SALT], "left").drop(_SALT)
+        return salted.join(right.withColumn(_SALT, no_salt), [*on, _SALT], "left").drop(_SALT)
 
     salted_right = (
         flag_hot(right, hot, on)
-        .withColumn(_SALT, F.when(F.col(_HOT), spread(right.columns, policy.salts)).otherwise(F.lit(0)))
+        .withColumn(_SALT, F.when(F.col(_HOT), spread(right.columns, policy.salts)).otherwise(no_salt))
         .withColumn(_FOUND, F.lit(True))
         .drop(_HOT)
     )

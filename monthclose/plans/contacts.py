@@ -30,14 +30,12 @@ def _identity_of(calls: DataFrame, sources: Sources, params: ReportParams) -> Da
     return identity_rows(rows, sources["ticket_comments"], sources["profiles"], params.skew)
 
 
-def _account_counts(sources: Sources, columns: list[str]) -> DataFrame:
-    """Distinct account rows as far as a report shows them, with the number of each."""
-    return (
-        sources["accounts"]
-        .where(F.col("consumer_uuid").isNotNull())
-        .groupBy("consumer_uuid", F.col("merchant_combname").alias("program_name"), *columns)
-        .agg(F.count(F.lit(1)).alias("n_accounts"))
-    )
+def _with_accounts(contacts: DataFrame, sources: Sources, params: ReportParams, columns: list[str]) -> DataFrame:
+    """``contacts`` plus ``columns`` of the consumer's accounts in the programme, and ``n_accounts`` alike."""
+    keys = ["consumer_uuid", "program_name"]
+    accounts = sources["accounts"].withColumnRenamed("merchant_combname", "program_name").select(*keys, *columns)
+    counts = accounts.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("n_accounts"))
+    return left_join(contacts, counts, keys, params.skew, hot_in=accounts)
 
 
 def _cases(
@@ -66,13 +64,7 @@ def _cases(
         lookup = _identity_of(month, sources, params).groupBy("call_id").agg(F.sum(N_ROWS).alias("n_identities"))
         month = left_join(month, lookup, ["call_id"], params.skew)
         times = F.coalesce("n_identities", F.lit(1))
-    with_account = left_join(
-        month,
-        _account_counts(sources, ["product_account_uuid", "merchant_name"]),
-        ["consumer_uuid", "program_name"],
-        params.skew,
-        hot_right=True,
-    )
+    with_account = _with_accounts(month, sources, params, ["product_account_uuid", "merchant_name"])
     counted = with_account.withColumn(N_ROWS, times * F.coalesce("n_accounts", F.lit(1)))
     return repeat_rows(counted, N_ROWS).select(
         "product_account_uuid",
@@ -118,13 +110,7 @@ def calls(sources: Sources, params: ReportParams) -> DataFrame:
     identified = left_join(month, lookup, ["call_id"], params.skew).withColumn(
         "consumer_uuid", F.coalesce("ticket_consumer", "phone_consumer")
     )
-    with_account = left_join(
-        identified,
-        _account_counts(sources, ["product_account_uuid"]),
-        ["consumer_uuid", "program_name"],
-        params.skew,
-        hot_right=True,
-    )
+    with_account = _with_accounts(identified, sources, params, ["product_account_uuid"])
     counted = with_account.withColumn(
         N_ROWS, F.coalesce("n_identities", F.lit(1)) * F.coalesce("n_accounts", F.lit(1))
     )

@@ -60,8 +60,8 @@ def _support_emails(sources: Sources, params: ReportParams, grouped: bool) -> Da
         .select("consumer_uuid", F.col("ticket_created_at_est").alias("timestamp"), F.explode(directions).alias("direction"))
         .distinct()
     )
-    accounts = sources["accounts"].select("consumer_uuid", "product_account_uuid").distinct()
-    return left_join(listed, accounts, ["consumer_uuid"], params.skew, hot_right=True).select(
+    accounts = sources["accounts"].select("consumer_uuid", "product_account_uuid")
+    return left_join(listed, accounts.distinct(), ["consumer_uuid"], params.skew, hot_in=accounts).select(
         "product_account_uuid", "timestamp", "direction", F.lit(fv.SUPPORT_EMAIL).alias("correspondence_type")
     )
 

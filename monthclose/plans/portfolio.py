@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from monthclose import fixed_values as fv
 from monthclose.functions.dates import month_end_snapshot, reported_month
 from monthclose.functions.labels import dpd_bucket
-from monthclose.operators.fraud import cancel_tally, dispute_chain, fraud_signals, sms_outcome
+from monthclose.operators.fraud import cancel_tally, dispute_tally, fraud_signals, sms_outcome
 from monthclose.operators.skew import left_join
 from monthclose.params import ReportParams
 from monthclose.sources.registry import Sources
@@ -80,7 +80,7 @@ def flagged_transactions(sources: Sources, params: ReportParams) -> DataFrame:
     return fraud_signals(
         month,
         sources["status_events"],
-        dispute_chain(txns, sources["disputes_log"]),
+        dispute_tally(txns, sources["disputes_log"], params.skew),
         cancel_tally(sources["card_status_history"], txns),
         sms_outcome(sources["sms_executions"], sources["sms_execution_log"], sources["sms_execution_steps"], params),
         params.skew,
