@@ -546,7 +546,7 @@ def cancellations_per_txn(s):
     )
 )
 def disputes_with_log(s):
-    return dispute_chain(s["transactions"], s["disputes_log"])
+    return dispute_chain(s["transactions"], s["disputes_log"], ORDERS.skew)
 
 
 @check(
@@ -558,7 +558,7 @@ def disputes_with_log(s):
 def any_of_three_keys(s):
     lines = s.table("lineitem").select("l_returnflag", "l_linestatus", "l_orderkey", "l_partkey", "l_suppkey")
     customers = s.table("customer").select("c_custkey", F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))
-    joined = any_key_join(lines, ["l_orderkey", "l_partkey", "l_suppkey"], customers, "c_custkey")
+    joined = any_key_join(lines, ["l_orderkey", "l_partkey", "l_suppkey"], customers, "c_custkey", ORDERS.skew)
     return joined.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("n"), F.count("c_custkey").alias("n_matched"), F.sum("balance").alias("balance")
     )

@@ -58,8 +58,12 @@ def cancel_tally(cards: DataFrame, txns: DataFrame, days: int = 3) -> DataFrame:
     )
 
 
-def disputes_to_auth(txns: DataFrame) -> DataFrame:
-    """Disputes with the posted transaction they are about and the authorisation that one came from."""
+def disputes_to_auth(txns: DataFrame, policy: SkewPolicy, split_hot_auth: bool = False) -> DataFrame:
+    """Disputes with the posted transaction they are about and the authorisation that one came from.
+
+    Where only rows with an authorisation are wanted, both joins end up as inner joins and AQE splits hot
+    keys on either side; ``split_hot_auth`` is for those who want all disputes.
+    """
     disputes = txns.where(F.col("transaction_type") == fv.TYPE_DISPUTE).select(
         F.col("transaction_uuid").alias("dispute_transaction_uuid"),
         F.col("source_transaction_id").alias("posted_transaction_uuid"),
@@ -86,13 +90,14 @@ def disputes_to_auth(txns: DataFrame) -> DataFrame:
         F.col("source_transaction_id").alias("transaction_original"),
         F.col("transaction_uuid").alias("auth_transaction_uuid"),
     )
-    return disputes.join(posted, "posted_transaction_uuid", "left").join(auth, "transaction_original", "left")
+    with_posted = left_join(disputes, posted, ["posted_transaction_uuid"], policy)
+    return left_join(with_posted, auth, ["transaction_original"], policy, hot_in=auth if split_hot_auth else None)
 
 
 _DISPUTE_KEYS = ("dispute_transaction_uuid", "posted_transaction_uuid", "auth_transaction_uuid")
 
 
-def dispute_chain(txns: DataFrame, log: DataFrame) -> DataFrame:
+def dispute_chain(txns: DataFrame, log: DataFrame, policy: SkewPolicy) -> DataFrame:
     """Disputes, posted transaction, authorisation, and the log entries for any of the three."""
     entries = log.select(
         F.col("transaction_uuid").alias("log_transaction_uuid"),
@@ -100,7 +105,8 @@ def dispute_chain(txns: DataFrame, log: DataFrame) -> DataFrame:
         "workflow_stage",
         "billing_error_status_resolution",
     )
-    return any_key_join(disputes_to_auth(txns), _DISPUTE_KEYS, entries, "log_transaction_uuid")
+    chained = disputes_to_auth(txns, policy, split_hot_auth=True)
+    return any_key_join(chained, _DISPUTE_KEYS, entries, "log_transaction_uuid", policy)
 
 
 def dispute_tally(txns: DataFrame, log: DataFrame, policy: SkewPolicy) -> DataFrame:
@@ -124,8 +130,10 @@ def dispute_tally(txns: DataFrame, log: DataFrame, policy: SkewPolicy) -> DataFr
             F.count_if(granted & unauthorized).alias("unauthorized"),
         )
     )
-    rows = disputes_to_auth(txns).where(F.col("auth_transaction_uuid").isNotNull()).select(
-        *_DISPUTE_KEYS, "dispute_reason"
+    rows = (
+        disputes_to_auth(txns, policy)
+        .where(F.col("auth_transaction_uuid").isNotNull())
+        .select(*_DISPUTE_KEYS, "dispute_reason")
     )
     for i, key in enumerate(_DISPUTE_KEYS):
         of_key = entries.withColumnsRenamed({"transaction_uuid": key, **{p: f"{p}_{i}" for p in parts}})

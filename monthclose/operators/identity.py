@@ -40,8 +40,15 @@ def identity_rows(
 
 
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` times over; the count column is dropped."""
-    return df.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).drop(times)
+    """Each row ``times`` times over; the count column is dropped.
+
+    Two unfoldings, blocks and rows of a block, keep the arrays behind them short for any count.
+    """
+    block, left_over = 4096, "__rows"
+    count = F.col(times)
+    blocks = df.withColumn(left_over, F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1, F.lit(block).cast("bigint"))))
+    in_block = F.least(count - F.col(left_over), F.lit(block).cast("bigint"))
+    return blocks.withColumn(left_over, F.explode(F.array_repeat(F.lit(0), in_block.cast("int")))).drop(times, left_over)
 
 
 def contact_identity(

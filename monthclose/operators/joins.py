@@ -8,28 +8,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthclose import fixed_values as fv
-from monthclose.operators.skew import flag_hot, hot_keys, spread
+from monthclose.operators.skew import flag_hot, hot_keys, left_join
 from monthclose.params import SkewPolicy
 
 
-def any_key_join(left: DataFrame, keys: Sequence[str], right: DataFrame, right_key: str) -> DataFrame:
+def any_key_join(
+    left: DataFrame, keys: Sequence[str], right: DataFrame, right_key: str, policy: SkewPolicy
+) -> DataFrame:
     """Left outer join where any of ``keys`` may equal ``right_key``; a pair of rows matches once at most.
 
-    An OR of equalities would compare all rows with all rows. Here the distinct key combinations of the
-    left side are unfolded to one row per distinct key and matched by an equi join, then brought back to
-    the left rows by (null-safe) equality of the combination. ``right_key`` is kept, other column names
-    must differ between the sides.
+    An OR of equalities would compare all rows with all rows. Here each left row first learns, by one equi
+    join per key against the distinct right keys, which of its keys occur on the right. It is then unfolded
+    to one row per such key, equal ones once, or to a single row without a key if none occurs, and joined
+    to the right rows. ``right_key`` is kept, other column names must differ between the sides.
     """
-    alternative = "__alternative"
-    combo = {k: f"__combo_{i}" for i, k in enumerate(keys)}
-    combos = left.select(*[F.col(k).alias(c) for k, c in combo.items()]).distinct()
-    unfolded = combos.withColumn(
-        alternative,
-        F.explode(F.array_distinct(F.array_compact(F.array(*combo.values())))),
-    )
-    matched = unfolded.join(right, unfolded[alternative] == right[right_key]).drop(alternative)
-    same_combo = [left[k].eqNullSafe(matched[c]) for k, c in combo.items()]
-    return left.join(matched, same_combo, "left").drop(*combo.values())
+    present = right.select(right_key).dropna().distinct()
+    hits = {key: f"__hit_{i}" for i, key in enumerate(keys)}
+    rows = left
+    for key, hit in hits.items():
+        rows = left_join(rows, present.select(F.col(right_key).alias(key), F.lit(True).alias(hit)), [key], policy)
+    occurring = F.array_distinct(F.array_compact(F.array(*[F.when(F.col(hit), F.col(key)) for key, hit in hits.items()])))
+    unfolded = rows.withColumn(right_key, F.explode_outer(occurring)).drop(*hits.values())
+    return left_join(unfolded, right, [right_key], policy, hot_in=right)
 
 
 def near_day_join(
@@ -69,6 +69,7 @@ def interval_in_force(
     end: str,
     values: Sequence[str],
     policy: SkewPolicy,
+    keys_never_null: bool = False,
 ) -> DataFrame:
     """``facts`` plus ``values`` of the interval with ``start <= at < end`` (null ``end`` = open).
 
@@ -80,6 +81,9 @@ def interval_in_force(
     That is one exchange and no pairs, against a range join that compares every fact of a key with every
     interval of it. A hot key is cut into hours; what is still running at the start of an hour is handed
     over as one carry row per hour, computed from per-hour maxima.
+
+    The result is partitioned by ``key`` as long as no key is hot and ``keys_never_null`` spares the union
+    with the facts that have none.
     """
     slot, kind, best, time, open_end, hot = "__slot", "__kind", "__best", "__time", "__end", "__hot"
     carry_kind, interval_kind, fact_kind = 0, 1, 2
@@ -94,19 +98,14 @@ def interval_in_force(
             *[F.col(v) for v in values],
         ).alias(best),
     )
-    both = facts.withColumns({kind: F.lit(fact_kind), time: F.col(at)}).unionByName(
-        started, allowMissingColumns=True
-    )
-    # Facts without a key match nothing; they only need to be kept apart from each other.
-    without_key = spread(facts.columns, policy.salts).cast("bigint")
-    slot_of_null = F.when(F.col(key).isNull(), without_key)
+    # Facts without a key match nothing and stay out of the exchange.
+    keyed = facts.where(F.col(key).isNotNull()).withColumns({kind: F.lit(fact_kind), time: F.col(at)})
+    both = keyed.unionByName(started, allowMissingColumns=True)
     found = hot_keys(both, [key], policy)
     if found is None:
-        line = both.withColumn(slot, slot_of_null)
+        line, group = both, [key]
     else:
-        flagged = flag_hot(both, found, [key], hot).withColumn(
-            slot, F.when(F.col(hot), _hour_number(time)).otherwise(slot_of_null)
-        )
+        flagged = flag_hot(both, found, [key], hot).withColumn(slot, F.when(F.col(hot), _hour_number(time)))
         # The best interval started before the hour, for the hours of a hot key that hold facts.
         earlier = Window.partitionBy(key).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
         carries = (
@@ -117,11 +116,11 @@ def interval_in_force(
             .where((F.col(kind) == fact_kind) & F.col(best).isNotNull())
             .withColumn(kind, F.lit(carry_kind))
         )
-        line = flagged.drop(hot).unionByName(carries, allowMissingColumns=True)
+        line, group = flagged.drop(hot).unionByName(carries, allowMissingColumns=True), [key, slot]
 
     # Carry rows have no time and sort first; at equal times intervals come before facts.
     running = (
-        Window.partitionBy(key, slot)
+        Window.partitionBy(*group)
         .orderBy(F.col(time).asc_nulls_first(), F.col(kind))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
@@ -129,7 +128,10 @@ def interval_in_force(
         line.withColumn(best, F.max(best).over(running)).where(F.col(kind) == fact_kind)
     )
     in_force = F.col(at) < F.col(best)[open_end]
-    return placed.select(
+    rated = placed.select(
         *[F.col(c) for c in facts.columns],
         *[F.when(in_force, F.col(best)[v]).alias(v) for v in values],
     )
+    if keys_never_null:
+        return rated
+    return rated.unionByName(facts.where(F.col(key).isNull()), allowMissingColumns=True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from monthclose import fixed_values as fv
 from monthclose.functions.dates import reported_month
+from monthclose.operators.identity import repeat_rows
 from monthclose.operators.tickets import merged_resolution
 from monthclose.params import ReportParams
 from monthclose.sources.registry import Sources
@@ -22,15 +23,14 @@ def _complaints(sources: Sources, params: ReportParams, tiers: tuple[str, ...])
         & (F.col("custom_issue_summary") != fv.ISSUE_TEST)
         & F.col("custom_criticality").isin(*tiers)
     )
-    # A brand listed twice would repeat its complaints; the names themselves are not reported.
-    listed = sources["brands"].groupBy("brand_id").agg(F.count(F.lit(1)).alias("n_listed"))
+    # A brand listed twice repeats its complaints; the names themselves are not reported. There is one row
+    # per brand of the programme, which is what makes the broadcast safe.
+    brands = sources["brands"].where(F.col("brand_id").isin(*params.program.brand_ids))
+    listed = F.broadcast(brands.groupBy("brand_id").agg(F.count(F.lit(1)).alias("n_listed")))
     resolved = merged_resolution(complaints, tickets, sources["ticket_field_history"], params)
     month = reported_month(resolved, "solve_date", params, cutover=True)
-    return (
-        month.join(listed, "brand_id", "left")
-        .withColumn("n_listed", F.explode(F.sequence(F.lit(1), F.coalesce("n_listed", F.lit(1)))))
-        .drop("n_listed")
-    )
+    counted = month.join(listed, "brand_id", "left").withColumn("n_listed", F.coalesce("n_listed", F.lit(1)))
+    return repeat_rows(counted, "n_listed")
 
 
 def complaints_tier1(sources: Sources, params: ReportParams) -> DataFrame:

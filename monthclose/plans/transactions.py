@@ -13,7 +13,9 @@ from monthclose.params import ReportParams, SkewPolicy
 from monthclose.sources.registry import Sources
 
 
-def rate_in_force(txns: DataFrame, rates: DataFrame, policy: SkewPolicy) -> DataFrame:
+def rate_in_force(
+    txns: DataFrame, rates: DataFrame, policy: SkewPolicy, keys_never_null: bool = False
+) -> DataFrame:
     """Transactions plus ``final_apr`` valid at confirmation and the end of its interval.
 
     An open interval is preferred, then the one ending last.
@@ -27,6 +29,7 @@ def rate_in_force(txns: DataFrame, rates: DataFrame, policy: SkewPolicy) -> Data
         end="effective_end_at_est",
         values=["final_apr", "effective_end_at_est"],
         policy=policy,
+        keys_never_null=keys_never_null,
     )
 
 
@@ -81,7 +84,9 @@ def transactions(sources: Sources, params: ReportParams) -> DataFrame:
         "interest_reason",
         "final_apr",
     ]
-    rated = rate_in_force(month, rates, params.skew).join(accounts, "credit_line_uuid")
+    # Transactions without a credit line have no account and are not reported.
+    on_line = month.where(F.col("credit_line_uuid").isNotNull())
+    rated = rate_in_force(on_line, rates, params.skew, keys_never_null=True).join(accounts, "credit_line_uuid")
     # A transaction listed more than once keeps the row whose rate ends last; no rate counts as open.
     open_end = F.lit(fv.OPEN_END).cast("timestamp_ntz")
     latest_end = F.coalesce("effective_end_at_est", open_end).desc()

@@ -110,7 +110,8 @@ def test_null_keys_are_spread_over_partitions(spark):
 # Any of several keys
 
 
-def test_any_key_join_against_brute_force(table):
+@POLICIES
+def test_any_key_join_against_brute_force(table, policy):
     left_rows = [
         ("a", "b", "c", 1),
         ("a", "a", "a", 2),
@@ -127,14 +128,14 @@ def test_any_key_join_against_brute_force(table):
             wanted[(*row, key, value)] += 1
     left = table("k1 string, k2 string, k3 string, n int", *left_rows)
     right = table("rk string, v int", *right_rows)
-    joined = joins.any_key_join(left, ["k1", "k2", "k3"], right, "rk")
+    joined = joins.any_key_join(left, ["k1", "k2", "k3"], right, "rk", policy)
     assert Counter(tuple(r) for r in joined.select("k1", "k2", "k3", "n", "rk", "v").collect()) == wanted
 
 
 def test_any_key_join_has_no_nested_loop(table):
     left = table("k1 string, k2 string", ("a", "b"))
     right = table("rk string", ("a",))
-    plan = joins.any_key_join(left, ["k1", "k2"], right, "rk")._jdf.queryExecution().executedPlan().toString()
+    plan = joins.any_key_join(left, ["k1", "k2"], right, "rk", NEVER)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
@@ -156,6 +157,16 @@ def test_near_day_join_edges(table):
     assert sorted(r.id for r in near.collect()) == [-3, -1, 0]
 
 
+# Repeats
+
+
+def test_repeat_rows(table):
+    df = table("k string, n bigint", ("a", 1), ("b", 3), ("c", 4096), ("d", 4097), ("e", 10000))
+    repeated = identity.repeat_rows(df, "n")
+    assert repeated.columns == ["k"]
+    assert dict(repeated.groupBy("k").count().collect()) == {"a": 1, "b": 3, "c": 4096, "d": 4097, "e": 10000}
+
+
 # Interval in force
 
 INTERVALS = [
@@ -528,7 +539,7 @@ def test_dispute_tally_counts_the_chain(spark, table, policy):
         F.when(F.col("id") % 4 > 0, F.lit("Resolution")).alias("workflow_stage"),
         F.when(F.col("id") % 5 > 0, F.lit("Borrower favor")).alias("billing_error_status_resolution"),
     )
-    chain = fraud.dispute_chain(txn, log).where(F.col("auth_transaction_uuid").isNotNull())
+    chain = fraud.dispute_chain(txn, log, policy).where(F.col("auth_transaction_uuid").isNotNull())
     said = (F.col("dispute_reason") == "FRAUDULENT") | F.upper("reason_for_dispute").like("%UNAUTHORIZED%")
     granted = (F.col("workflow_stage") == "Resolution") & (F.col("billing_error_status_resolution") == "Borrower favor")
     wanted = chain.groupBy(F.col("auth_transaction_uuid").alias("transaction_uuid")).agg(
