@@ -44,7 +44,7 @@ from monthclose.operators.fraud import (
 )
 from monthclose.operators.identity import contact_identity, exclude_merged
 from monthclose.operators.joins import any_key_join
-from monthclose.operators.skew import left_join
+from monthclose.operators.skew import filter_by_key, left_join
 from monthclose.operators.tickets import merged_pairs, merged_resolution
 from monthclose.plans.transactions import rate_in_force
 
@@ -289,7 +289,7 @@ def identity_of_calls(s):
     )
 )
 def unmerged_tickets(s):
-    return exclude_merged(s["contact_calls"].select("ticket_id", "call_id"), s["ticket_tag_history"])
+    return exclude_merged(s["contact_calls"].select("ticket_id", "call_id"), s["ticket_tag_history"], EVENTS.skew)
 
 
 @check(
@@ -301,9 +301,8 @@ def unmerged_tickets(s):
 )
 def semi_join_rows(s):
     wanted = s["canvas"].where(F.col("canvas_name").like(fv.CANVAS_NAME_PATTERN)).select("canvas_id")
-    return (
-        s["email_event"].join(wanted, "canvas_id", "left_semi").select("external_user_id", "canvas_id", "time_at_est")
-    )
+    events = s["email_event"].select("external_user_id", "canvas_id", "time_at_est")
+    return filter_by_key(events, wanted, ["canvas_id"], EVENTS.skew)
 
 
 @check(
@@ -536,7 +535,7 @@ def cancelled_after_txn(s):
     )
 )
 def cancellations_per_txn(s):
-    return cancel_tally(s["card_status_history"], s["transactions"])
+    return cancel_tally(s["card_status_history"], s["transactions"], ORDERS.skew)
 
 
 @check(
@@ -604,7 +603,7 @@ def signals_of_txns(s):
         candidates,
         s["status_events"],
         dispute_tally(txns, s["disputes_log"], ORDERS.skew),
-        cancel_tally(s["card_status_history"], txns),
+        cancel_tally(s["card_status_history"], txns, ORDERS.skew),
         sms_outcome(s["sms_executions"], s["sms_execution_log"], s["sms_execution_steps"], ORDERS),
         ORDERS.skew,
     )

@@ -32,11 +32,11 @@ def cancel_near_txn(cards: DataFrame, txns: DataFrame, days: int = 3) -> DataFra
     return pairs.withColumn("date_diff", day_distance(F.col("last_ingest_at_est"), F.col("txn_created_at_est")))
 
 
-def cancel_tally(cards: DataFrame, txns: DataFrame, days: int = 3) -> DataFrame:
+def cancel_tally(cards: DataFrame, txns: DataFrame, policy: SkewPolicy, days: int = 3) -> DataFrame:
     """Per transaction_uuid: rows of :func:`cancel_near_txn`, and those cancelled for fraud, as counts.
 
     Cancellations are added up per card and candidate day first, so each transaction row meets one row
-    at most and a busy card forms no pairs.
+    at most and a busy card forms no pairs. (The filter turns the left join into an inner one.)
     """
     reason_is_fraud = F.coalesce(F.col("cancel_reason").isin(*fv.CANCEL_REASONS_FRAUD), F.lit(False))
     observed = F.to_date("last_ingest_at_est")
@@ -52,7 +52,8 @@ def cancel_tally(cards: DataFrame, txns: DataFrame, days: int = 3) -> DataFrame:
     )
     dated = txns.select("transaction_uuid", "card_uuid", F.to_date("created_at_est").alias("day"))
     return (
-        dated.join(per_day, ["card_uuid", "day"])
+        left_join(dated, per_day, ["card_uuid", "day"], policy)
+        .where(F.col(N_ALL).isNotNull())
         .groupBy("transaction_uuid")
         .agg(F.sum(N_ALL).alias(N_ALL), F.sum(N_FRAUD).alias(N_FRAUD))
     )
@@ -164,7 +165,8 @@ def sms_outcome(executions: DataFrame, log: DataFrame, steps: DataFrame, params:
 
     The deciding step has the lowest priority number (an allow-list or confirmed-fraud reply), then the
     earliest time, then the smallest remaining values. Steps and log entries are each reduced to one row
-    per execution before they are joined, so executions with many of both do not multiply.
+    per execution before they are joined, so executions with many of both do not multiply, and an
+    execution with very many steps is reduced before it meets an exchange.
     """
     created = F.col("created_at_est")
     flow = first_event(
@@ -178,7 +180,7 @@ def sms_outcome(executions: DataFrame, log: DataFrame, steps: DataFrame, params:
 
     left_from = F.col("transitioned_from")
     decided = (*fv.SMS_STEPS_ALLOW, *fv.SMS_STEPS_CONFIRMED_FRAUD)
-    step_rows = steps.join(flow.select("execution_id"), "execution_id", "left_semi").select(
+    step_rows = steps.select(
         "execution_id",
         F.when(left_from.isin(*decided), 0).otherwise(1).alias("priority"),
         F.col("created_at_est").alias("step_created_at_est"),

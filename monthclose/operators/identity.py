@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from monthclose import fixed_values as fv
 from monthclose.functions.text import normalize_phone
-from monthclose.operators.skew import left_join
+from monthclose.operators.skew import filter_by_key, left_join
 from monthclose.params import SkewPolicy
 
 N_ROWS = "n_rows"
@@ -58,7 +58,7 @@ def contact_identity(
     return repeat_rows(identity_rows(calls, comments, profiles, policy), N_ROWS)
 
 
-def exclude_merged(tickets: DataFrame, tags: DataFrame, ticket_id: str = "ticket_id") -> DataFrame:
+def exclude_merged(tickets: DataFrame, tags: DataFrame, policy: SkewPolicy) -> DataFrame:
     """Rows whose ticket was not closed by merging it into another one."""
-    merged = tags.where(F.col("tag_name") == fv.TAG_MERGED).select(F.col("ticket_id").alias("__merged")).distinct()
-    return tickets.join(merged, tickets[ticket_id] == merged["__merged"], "left_anti")
+    merged = tags.where(F.col("tag_name") == fv.TAG_MERGED)
+    return filter_by_key(tickets, merged, ["ticket_id"], policy, anti=True)

@@ -1,4 +1,4 @@
-"""Left outer equi joins that stay balanced when a key is null or hot."""
+"""Equi joins that stay balanced when a key is null or hot."""
 
 from __future__ import annotations
 
@@ -85,3 +85,19 @@ def left_join(
     )
     joined = salted_left.join(salted_right, [*on, _SALT], "left")
     return joined.where(~F.col(_HOT) | F.col(_FOUND)).drop(_HOT, _SALT, _FOUND)
+
+
+def filter_by_key(
+    left: DataFrame, right: DataFrame, on: Sequence[str], policy: SkewPolicy, anti: bool = False
+) -> DataFrame:
+    """Rows of ``left`` whose key occurs in ``right`` (semi join), or does not (anti join).
+
+    The keys of ``right`` are made distinct map-side first, so repeated keys there cost nothing. The salt
+    puts an exchange below both sides, which lets AQE split a hot key on the left; null keys, which only
+    an anti join keeps, are spread.
+    """
+    on = list(on)
+    keys = right.select(*on).dropna().distinct().withColumn(_SALT, spread(on, 1))
+    null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    salted = left.withColumn(_SALT, F.when(null_key, spread(left.columns, policy.salts) + 1).otherwise(F.lit(0)))
+    return salted.join(keys, [*on, _SALT], "left_anti" if anti else "left_semi").select(*left.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from monthclose import fixed_values as fv
 from monthclose.functions.dates import local_date
 from monthclose.functions.text import blank_to_null
+from monthclose.operators.skew import left_join
 from monthclose.params import ReportParams
 
 
@@ -48,13 +49,11 @@ def merged_resolution(tickets: DataFrame, all_tickets: DataFrame, history: DataF
     which Spark exchanges once and reuses.
     """
     solved = latest_solve_dates(history, params)
+    of_merged = solved.withColumnsRenamed({"ticket_id": "merged_ticket_id", "solve_date": "merged_solve_date"})
+    pairs = merged_pairs(all_tickets).select("ticket_id", "merged_ticket_id")
     through_merge = (
-        merged_pairs(all_tickets)
-        .select("ticket_id", "merged_ticket_id")
-        .join(
-            solved.select(F.col("ticket_id").alias("merged_ticket_id"), F.col("solve_date").alias("merged_solve_date")),
-            "merged_ticket_id",
-        )
+        left_join(pairs, of_merged, ["merged_ticket_id"], params.skew)
+        .where(F.col("merged_solve_date").isNotNull())
         .groupBy("ticket_id")
         .agg(F.max("merged_solve_date").alias("merged_solve_date"))
     )

@@ -10,7 +10,7 @@ from monthclose.functions.dates import reported_month
 from monthclose.functions.labels import inbound_agent_call, program_of
 from monthclose.operators.calls import call_funnel, sla_ratio
 from monthclose.operators.identity import N_ROWS, exclude_merged, identity_rows, repeat_rows
-from monthclose.operators.skew import left_join
+from monthclose.operators.skew import filter_by_key, left_join
 from monthclose.params import ReportParams
 from monthclose.sources.registry import Sources
 
@@ -25,8 +25,8 @@ def _program_calls(sources: Sources, params: ReportParams) -> DataFrame:
 
 def _identity_of(calls: DataFrame, sources: Sources, params: ReportParams) -> DataFrame:
     """Identity rows of the call ids occurring in ``calls``, over all rows carrying one of these ids."""
-    ids = calls.where(F.col("call_id").isNotNull()).select("call_id").distinct()
-    rows = sources["contact_calls"].select("call_id", "ticket_id").join(ids, "call_id", "left_semi")
+    every_call = sources["contact_calls"].select("call_id", "ticket_id")
+    rows = filter_by_key(every_call, calls, ["call_id"], params.skew)
     return identity_rows(rows, sources["ticket_comments"], sources["profiles"], params.skew)
 
 
@@ -49,9 +49,8 @@ def _cases(
     cases = _program_calls(sources, params).where(F.col("ticket_group") == ticket_group)
     for reason in excluded_reasons:
         cases = cases.where(F.col("custom_reason_code") != reason)
-    month = exclude_merged(
-        reported_month(cases, TICKET_FIRST, params, cutover=True), sources["ticket_tag_history"]
-    ).select(
+    in_month = reported_month(cases, TICKET_FIRST, params, cutover=True)
+    month = exclude_merged(in_month, sources["ticket_tag_history"], params.skew).select(
         "call_id",
         F.col("custom_imprint_uuid").alias("consumer_uuid"),
         program_of(F.col("brand_id"), params.program).alias("program_name"),
@@ -91,9 +90,8 @@ def calls(sources: Sources, params: ReportParams) -> DataFrame:
     agent_calls = _program_calls(sources, params).where(
         inbound_agent_call() | (F.col("call_direction") == "outbound")
     )
-    month = exclude_merged(
-        reported_month(agent_calls, CALL_FIRST, params, cutover=True), sources["ticket_tag_history"]
-    ).select(
+    in_month = reported_month(agent_calls, CALL_FIRST, params, cutover=True)
+    month = exclude_merged(in_month, sources["ticket_tag_history"], params.skew).select(
         "call_id",
         F.col("custom_imprint_uuid").alias("ticket_consumer"),
         F.coalesce(*CALL_FIRST).alias("call_timestamp"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from monthclose import fixed_values as fv
 from monthclose.functions.dates import prior_month_bounds, reported_month
 from monthclose.functions.labels import email_direction, not_support_signature
-from monthclose.operators.skew import left_join
+from monthclose.operators.skew import filter_by_key, left_join
 from monthclose.params import ReportParams
 from monthclose.sources.registry import Sources
 
@@ -104,9 +104,9 @@ def opt_outs(sources: Sources, params: ReportParams) -> DataFrame:
     consumers = (
         sources["accounts"].where(F.col("merchant_combname") == params.program.comb_name).select("consumer_uuid")
     )
-    return (
+    distinct = (
         reported_month(events, "time_at_est", params)
         .select(F.col("external_user_id").alias("consumer_uuid"), "channel", "time_at_est")
         .distinct()
-        .join(consumers, "consumer_uuid", "left_semi")
     )
+    return filter_by_key(distinct, consumers, ["consumer_uuid"], params.skew)

@@ -81,7 +81,7 @@ def flagged_transactions(sources: Sources, params: ReportParams) -> DataFrame:
         month,
         sources["status_events"],
         dispute_tally(txns, sources["disputes_log"], params.skew),
-        cancel_tally(sources["card_status_history"], txns),
+        cancel_tally(sources["card_status_history"], txns, params.skew),
         sms_outcome(sources["sms_executions"], sources["sms_execution_log"], sources["sms_execution_steps"], params),
         params.skew,
     )

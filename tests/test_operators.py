@@ -107,6 +107,20 @@ def test_null_keys_are_spread_over_partitions(spark):
     assert sum(sizes) == 4000 and max(sizes) < 2000
 
 
+def test_filter_by_key(table):
+    left, right = _skewed(table)
+    for anti, how in ((False, "left_semi"), (True, "left_anti")):
+        wanted = bag(left.join(right, ["k", "g"], how))
+        assert bag(skew.filter_by_key(left, right, ["k", "g"], EAGER, anti)) == wanted
+
+
+def test_semi_and_anti_make_the_whole(table):
+    left, right = _skewed(table)
+    kept = skew.filter_by_key(left, right, ["k"], EAGER)
+    dropped = skew.filter_by_key(left, right, ["k"], EAGER, anti=True)
+    assert bag(kept) + bag(dropped) == bag(left)
+
+
 # Any of several keys
 
 
@@ -291,7 +305,7 @@ def test_contact_identity(table, policy):
 def test_exclude_merged(table):
     rows = table("ticket_id string, n int", ("t1", 1), ("t2", 2), (None, 3))
     tags = table("ticket_id string, tag_name string", ("t1", fv.TAG_MERGED), ("t1", fv.TAG_MERGED), ("t2", "spam"))
-    assert bag(identity.exclude_merged(rows, tags).select("n")) == Counter([(2,), (3,)])
+    assert bag(identity.exclude_merged(rows, tags, EAGER).select("n")) == Counter([(2,), (3,)])
 
 
 # Calls
@@ -568,5 +582,5 @@ def test_cancel_tally_counts_the_pairs(spark):
     wanted = pairs.groupBy("transaction_uuid").agg(
         F.count(F.lit(1)).alias("n_all"), F.count_if(F.col("cancel_reason") == "LOST").alias("n_fraud")
     )
-    assert bag(fraud.cancel_tally(cards, txns)) == bag(wanted)
+    assert bag(fraud.cancel_tally(cards, txns, EAGER)) == bag(wanted)
     assert pairs.where("date_diff > 0 OR date_diff < -3").count() == 0
