@@ -121,6 +121,45 @@ def test_semi_and_anti_make_the_whole(table):
     assert bag(kept) + bag(dropped) == bag(left)
 
 
+SPLIT_EAGERLY = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture()
+def split_eagerly(spark):
+    for key, value in SPLIT_EAGERLY.items():
+        spark.conf.set(key, value)
+    yield
+    for key in SPLIT_EAGERLY:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+JOINS = {
+    "left join": lambda left, right: skew.left_join(left, right, ["k"], NEVER),
+    "semi join": lambda left, right: skew.filter_by_key(left, right, ["k"], NEVER),
+    "anti join": lambda left, right: skew.filter_by_key(left, right, ["k"], NEVER, anti=True),
+}
+
+
+@pytest.mark.parametrize("join", JOINS)
+def test_aqe_splits_a_hot_left_key_against_an_aggregate(spark, split_eagerly, join):
+    """A third of the left rows has one key, and the right side is grouped by the key already."""
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 5000))
+    left = spark.range(60000).repartition(8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    right = spark.range(3000).select(key.alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    joined = JOINS[join](left, right)
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 # Any of several keys
 
 
