@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import report_sql as sql
-from checks.driver_views import DriverSources
+from checks.driver_views import driver_sources
 from monthclose import plans
 from monthclose.params import ReportParams
 
@@ -40,7 +40,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def _report(name: str, params: ReportParams, **options):
-    return lambda spark, sf_dir: plain(plans.REPORTS[name](DriverSources(spark, sf_dir), params, **options))
+    return lambda spark, sf_dir: plain(plans.REPORTS[name](driver_sources(spark, sf_dir), params, **options))
 
 
 REPORTS: dict[str, Check] = {

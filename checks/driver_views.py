@@ -352,20 +352,18 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
-@lru_cache(maxsize=64)
-def _driver_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 class DriverSources(Sources):
     """All report sources, derived from the driver tables by Spark when they are first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self._spark, self._sf_dir = spark, sf_dir
+        self._driver_tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return _driver_table(self._spark, f"{self._sf_dir}/{name}.parquet")
+        if name not in self._driver_tables:
+            self._driver_tables[name] = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+        return self._driver_tables[name]
 
     def get(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -379,6 +377,12 @@ class DriverSources(Sources):
     __getitem__ = get
 
 
+@lru_cache(maxsize=8)
+def driver_sources(spark: SparkSession, sf_dir: str) -> DriverSources:
+    """The sources of a session and directory, defined once and used by all queries."""
+    return DriverSources(spark, sf_dir)
+
+
 def with_views(names: list[str], body: str) -> str:
     """``body`` preceded by the named views as common table expressions, for the SQL oracle."""
     ctes = []

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import report_sql as sql
 from checks.catalog import EVENTS, ORDERS, Check, plain
-from checks.driver_views import DriverSources, with_views
+from checks.driver_views import driver_sources, with_views
 from monthclose import fixed_values as fv
 from monthclose import plans
 from monthclose.functions.dates import (
@@ -57,7 +57,7 @@ def check(sql_text: str | None):
 
     def register(function):
         def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(function(DriverSources(spark, sf_dir)))
+            return plain(function(driver_sources(spark, sf_dir)))
 
         OPERATORS[function.__name__] = Check(build, sql_text)
         return function

@@ -64,6 +64,9 @@ def left_join(
       (from a salt that drew no row) are all spurious and are removed.
     """
     on = list(on)
+    shared = (set(left.columns) & set(right.columns)) - set(on)
+    if shared:
+        raise ValueError(f"both sides have a column {', '.join(sorted(shared))}")
     null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     null_salt = F.when(null_key, spread(left.columns, policy.salts) + 1).otherwise(F.lit(0))
     # Always 0, but computed: the optimizer would turn a literal into a filter and hash on ``on`` alone.

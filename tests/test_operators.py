@@ -72,6 +72,12 @@ def test_left_join_equals_plain_left_join(table, policy):
     assert bag(skew.left_join(left, right, ["k", "g"], policy, hot_in=right)) == wanted
 
 
+def test_left_join_refuses_ambiguous_columns(table):
+    left, right = _skewed(table)
+    with pytest.raises(ValueError, match="column g"):
+        skew.left_join(left, right, ["k"], NEVER)
+
+
 def test_left_join_splits_a_hot_key(table):
     left, right = _skewed(table)
     assert [tuple(r) for r in skew.hot_keys(right, ["k", "g"], EAGER).collect()] == [("hot", "x")]
