@@ -279,13 +279,6 @@ def fraud_signals(
             joined = joined.join(renamed, key, "left")
         else:
             joined = left_join(joined, renamed, [key], policy)
-    for name in sides:
-        joined = joined.withColumns(
-            {
-                f"{name}_rows": F.coalesce(f"{name}_rows", F.lit(1)),
-                f"{name}_fraud": F.coalesce(f"{name}_fraud", F.lit(0)),
-            }
-        )
 
     def product(columns: list[Column]) -> Column:
         return reduce(lambda a, b: a * b, columns)
@@ -293,13 +286,13 @@ def fraud_signals(
     rejected = F.coalesce(
         ~F.col("purchase_auth_rejection_reason").isin(*fv.REJECTIONS_BY_FRAUD_RULES), F.lit(False)
     )
-    every_row = product([F.col(f"{n}_rows") for n in sides])
-    silent_rows = product([F.col(f"{n}_rows") - F.col(f"{n}_fraud") for n in sides])
-    signals = {f"{n}_signal": F.col(f"{n}_fraud") > 0 for n in sides}
-    return (
-        joined.withColumn("auth_signal", rejected)
-        .withColumn("n_fraud_rows", F.when(rejected, every_row).otherwise(every_row - silent_rows))
-        .withColumns(signals)
-        .withColumn("is_fraud", F.col("n_fraud_rows") > 0)
-        .drop(*[f"{n}_{part}" for n in sides for part in ("rows", "fraud")])
-    )
+    rows = {n: F.coalesce(f"{n}_rows", F.lit(1)) for n in sides}
+    fraud_rows = {n: F.coalesce(f"{n}_fraud", F.lit(0)) for n in sides}
+    every_row = product(list(rows.values()))
+    silent_rows = product([rows[n] - fraud_rows[n] for n in sides])
+    return joined.select(
+        *txns.columns,
+        rejected.alias("auth_signal"),
+        *[(fraud_rows[n] > 0).alias(f"{n}_signal") for n in sides],
+        F.when(rejected, every_row).otherwise(every_row - silent_rows).alias("n_fraud_rows"),
+    ).withColumn("is_fraud", F.col("n_fraud_rows") > 0)

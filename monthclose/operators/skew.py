@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +40,12 @@ def flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], flag: str = _HO
 
 def spread(columns: Sequence[str], parts: int) -> Column:
     """Part number from the row's own values: a retried task puts each row where it was before."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(parts)).cast("int")
+    listed = ", ".join(f"`{c}`" for c in columns)
+    return F.expr(f"cast(pmod(xxhash64({listed}), {parts}) AS int)")
+
+
+def _any_null(columns: Sequence[str]) -> Column:
+    return F.expr(" OR ".join(f"`{c}` IS NULL" for c in columns))
 
 
 def left_join(
@@ -67,8 +71,7 @@ def left_join(
     shared = (set(left.columns) & set(right.columns)) - set(on)
     if shared:
         raise ValueError(f"both sides have a column {', '.join(sorted(shared))}")
-    null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    null_salt = F.when(null_key, spread(left.columns, policy.salts) + 1).otherwise(F.lit(0))
+    null_salt = F.when(_any_null(on), spread(left.columns, policy.salts) + 1).otherwise(0)
     # Always 0, but computed: the optimizer would turn a literal into a filter and hash on ``on`` alone.
     no_salt = spread(on, 1)
     hot = hot_keys(hot_in, on, policy) if hot_in is not None else None
@@ -101,6 +104,6 @@ def filter_by_key(
     """
     on = list(on)
     keys = right.select(*on).dropna().distinct().withColumn(_SALT, spread(on, 1))
-    null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    salted = left.withColumn(_SALT, F.when(null_key, spread(left.columns, policy.salts) + 1).otherwise(F.lit(0)))
+    null_salt = F.when(_any_null(on), spread(left.columns, policy.salts) + 1).otherwise(0)
+    salted = left.withColumn(_SALT, null_salt)
     return salted.join(keys, [*on, _SALT], "left_anti" if anti else "left_semi").select(*left.columns)
