@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from collections import Counter
 
 import pytest
@@ -191,6 +192,22 @@ def test_any_key_join_against_brute_force(table, policy):
     assert Counter(tuple(r) for r in joined.select("k1", "k2", "k3", "n", "rk", "v").collect()) == wanted
 
 
+@POLICIES
+def test_any_key_join_at_random(table, policy):
+    rng = random.Random(11)
+    letters = [*"abcdef", None]
+    left_rows = [(rng.choice(letters), rng.choice(letters), rng.choice(letters), i % 30) for i in range(120)]
+    right_rows = [(rng.choice([*"abcxyz", None]), i) for i in range(25)]
+    wanted = Counter()
+    for row in left_rows:
+        matches = [r for r in right_rows if r[0] is not None and r[0] in row[:3]]
+        for key, value in matches or [(None, None)]:
+            wanted[(*row, key, value)] += 1
+    left = table("k1 string, k2 string, k3 string, n int", *left_rows)
+    joined = joins.any_key_join(left, ["k1", "k2", "k3"], table("rk string, v int", *right_rows), "rk", policy)
+    assert Counter(tuple(r) for r in joined.select("k1", "k2", "k3", "n", "rk", "v").collect()) == wanted
+
+
 def test_any_key_join_has_no_nested_loop(table):
     left = table("k1 string, k2 string", ("a", "b"))
     right = table("rk string", ("a",))
@@ -303,6 +320,24 @@ def test_interval_in_force_of_a_hot_key(table, policy):
     assert bag(_in_force(table, facts, intervals, policy)) == _brute_force(facts, intervals)
 
 
+@POLICIES
+def test_interval_in_force_at_random(table, policy):
+    """Many keys with random intervals and facts, on few distinct times so that ends and starts collide."""
+    rng = random.Random(7)
+    start = dt.datetime(2024, 1, 1)
+
+    def moment():
+        return str(start + dt.timedelta(hours=rng.randrange(60), minutes=30 * rng.randrange(2)))
+
+    facts, intervals = [], []
+    for key in range(40):
+        facts += [(f"k{key}", moment(), 100 * key + i) for i in range(rng.randrange(12))]
+        for i in range(rng.randrange(6)):
+            begin, end = sorted([moment(), moment()])
+            intervals.append((f"k{key}", begin, None if rng.random() < 0.2 else end, i))
+    assert bag(_in_force(table, facts, intervals, policy)) == _brute_force(facts, intervals)
+
+
 # Identity
 
 

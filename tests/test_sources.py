@@ -110,6 +110,22 @@ def test_month_of_another_year(landed, name):
     assert not calendar - by_number
 
 
+SORT_KEYS = {
+    "applications": ("application_submitted_at_est", "application_status", False),
+    "calls": ("call_timestamp", None, True),
+    "transactions": ("transaction_confirmed_at_est", None, True),
+}
+
+
+@needs_driver_tables
+@pytest.mark.parametrize("name", SORT_KEYS)
+def test_order_of_rows(landed, name):
+    first, second, descending = SORT_KEYS[name]
+    rows = plans.REPORTS[name](landed, EVENTS if name in ON_EVENTS else ORDERS).collect()
+    keys = [(r[first], r[second]) if second else r[first] for r in rows]
+    assert len(set(keys)) > 5 and keys == sorted(keys, reverse=descending)
+
+
 def _scans(df):
     """Columns and pushed filters of every scan."""
     df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "100000")
