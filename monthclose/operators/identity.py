@@ -13,16 +13,13 @@ from monthclose.params import SkewPolicy
 N_ROWS = "n_rows"
 
 
-def identity_rows(
-    calls: DataFrame, comments: DataFrame, profiles: DataFrame, policy: SkewPolicy
-) -> DataFrame:
-    """Distinct (call_id, ticket_id, user_phone, consumer_uuid) with the number of rows of each.
+def _calls_of_tickets(calls: DataFrame) -> DataFrame:
+    return calls.groupBy("call_id", "ticket_id").agg(F.count(F.lit(1)).alias("n_calls"))
 
-    ``n_rows`` says how often the combination occurs if calls, the numbers on their ticket and the
-    profiles with that number are joined row by row; repeats are counted instead of carried along.
-    """
-    call_counts = calls.groupBy("call_id", "ticket_id").agg(F.count(F.lit(1)).alias("n_calls"))
-    numbers = (
+
+def _numbers_of_tickets(comments: DataFrame) -> DataFrame:
+    """Distinct numbers per ticket; two spellings of one number count twice."""
+    return (
         comments.where(F.col("call_from_number").isNotNull())
         .select("ticket_id", "call_from_number")
         .distinct()
@@ -30,15 +27,51 @@ def identity_rows(
         .groupBy("ticket_id", "user_phone")
         .agg(F.count(F.lit(1)).alias("n_numbers"))
     )
+
+
+def identity_rows(
+    calls: DataFrame, comments: DataFrame, profiles: DataFrame, policy: SkewPolicy
+) -> DataFrame:
+    """Distinct (call_id, ticket_id, user_phone, consumer_uuid) with the number of rows of each.
+
+    ``n_rows`` says how often the combination occurs if calls, the numbers on their ticket and the
+    profiles with that number are joined row by row; repeats are counted instead of carried along.
+    """
     profile_rows = profiles.select("consumer_uuid", F.col("phone").alias("user_phone"))
     owners = profile_rows.distinct()
-    with_number = left_join(call_counts, numbers, ["ticket_id"], policy)
+    with_number = left_join(_calls_of_tickets(calls), _numbers_of_tickets(comments), ["ticket_id"], policy)
     with_owner = left_join(with_number, owners, ["user_phone"], policy, hot_in=profile_rows)
     return with_owner.groupBy("call_id", "ticket_id", "user_phone", "consumer_uuid").agg(
         F.sum(F.col("n_calls") * F.coalesce("n_numbers", F.lit(1))).alias(N_ROWS)
     )
 
 
+def identity_counts(
+    calls: DataFrame, comments: DataFrame, profiles: DataFrame, policy: SkewPolicy
+) -> DataFrame:
+    """Number of identity rows per call_id, without forming them.
+
+    Owners are counted per number, then contacts per ticket, then identities per call: every join meets one
+    row per key, however many consumers share a number.
+    """
+    owners = (
+        profiles.select("consumer_uuid", F.col("phone").alias("user_phone"))
+        .distinct()
+        .groupBy("user_phone")
+        .agg(F.count(F.lit(1)).alias("n_owners"))
+    )
+    contacts = (
+        left_join(_numbers_of_tickets(comments), owners, ["user_phone"], policy)
+        .groupBy("ticket_id")
+        .agg(F.sum(F.col("n_numbers") * F.coalesce("n_owners", F.lit(1))).alias("n_contacts"))
+    )
+    return (
+        left_join(_calls_of_tickets(calls), contacts, ["ticket_id"], policy)
+        .groupBy("call_id")
+        .agg(F.sum(F.col("n_calls") * F.coalesce("n_contacts", F.lit(1))).alias(N_ROWS))
+    )
+
+
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Each row ``times`` times over; the count column is dropped.
 

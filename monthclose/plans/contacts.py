@@ -9,7 +9,7 @@ from monthclose import fixed_values as fv
 from monthclose.functions.dates import reported_month
 from monthclose.functions.labels import inbound_agent_call, program_of
 from monthclose.operators.calls import call_funnel, sla_ratio
-from monthclose.operators.identity import N_ROWS, exclude_merged, identity_rows, repeat_rows
+from monthclose.operators.identity import N_ROWS, exclude_merged, identity_counts, identity_rows, repeat_rows
 from monthclose.operators.skew import filter_by_key, left_join
 from monthclose.params import ReportParams
 from monthclose.sources.registry import Sources
@@ -23,11 +23,11 @@ def _program_calls(sources: Sources, params: ReportParams) -> DataFrame:
     return sources["contact_calls"].where(F.col("brand_id").isin(*params.program.brand_ids))
 
 
-def _identity_of(calls: DataFrame, sources: Sources, params: ReportParams) -> DataFrame:
-    """Identity rows of the call ids occurring in ``calls``, over all rows carrying one of these ids."""
+def _identity_of(calls: DataFrame, sources: Sources, params: ReportParams, identities=identity_rows) -> DataFrame:
+    """Identity rows (or counts) of the call ids in ``calls``, over all rows carrying one of these ids."""
     every_call = sources["contact_calls"].select("call_id", "ticket_id")
     rows = filter_by_key(every_call, calls, ["call_id"], params.skew)
-    return identity_rows(rows, sources["ticket_comments"], sources["profiles"], params.skew)
+    return identities(rows, sources["ticket_comments"], sources["profiles"], params.skew)
 
 
 def _with_accounts(contacts: DataFrame, sources: Sources, params: ReportParams, columns: list[str]) -> DataFrame:
@@ -60,7 +60,7 @@ def _cases(
     times: Column = F.lit(1).cast("bigint")
     if not dedupe:
         # The identity lookup adds no column here, it only repeats cases: take the counts, not the rows.
-        lookup = _identity_of(month, sources, params).groupBy("call_id").agg(F.sum(N_ROWS).alias("n_identities"))
+        lookup = _identity_of(month, sources, params, identity_counts).withColumnRenamed(N_ROWS, "n_identities")
         month = left_join(month, lookup, ["call_id"], params.skew)
         times = F.coalesce("n_identities", F.lit(1))
     with_account = _with_accounts(month, sources, params, ["product_account_uuid", "merchant_name"])

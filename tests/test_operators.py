@@ -380,6 +380,8 @@ def test_contact_identity(table, policy):
             ("c4", "t4", "2125550009", None): 1,
         }
     )
+    counts = identity.identity_counts(calls_df, comments, profiles, policy)
+    assert bag(counts) == Counter([("c1", 6), ("c2", 1), (None, 1), ("c4", 1)])
 
 
 def test_exclude_merged(table):
