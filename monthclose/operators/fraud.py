@@ -59,12 +59,8 @@ def cancel_tally(cards: DataFrame, txns: DataFrame, policy: SkewPolicy, days: in
     )
 
 
-def disputes_to_auth(txns: DataFrame, policy: SkewPolicy, split_hot_auth: bool = False) -> DataFrame:
-    """Disputes with the posted transaction they are about and the authorisation that one came from.
-
-    Where only rows with an authorisation are wanted, both joins end up as inner joins and AQE splits hot
-    keys on either side; ``split_hot_auth`` is for those who want all disputes.
-    """
+def disputes_to_auth(txns: DataFrame, policy: SkewPolicy) -> DataFrame:
+    """Disputes with the posted transaction they are about and the authorisation that one came from."""
     disputes = txns.where(F.col("transaction_type") == fv.TYPE_DISPUTE).select(
         F.col("transaction_uuid").alias("dispute_transaction_uuid"),
         F.col("source_transaction_id").alias("posted_transaction_uuid"),
@@ -92,7 +88,7 @@ def disputes_to_auth(txns: DataFrame, policy: SkewPolicy, split_hot_auth: bool =
         F.col("transaction_uuid").alias("auth_transaction_uuid"),
     )
     with_posted = left_join(disputes, posted, ["posted_transaction_uuid"], policy)
-    return left_join(with_posted, auth, ["transaction_original"], policy, hot_in=auth if split_hot_auth else None)
+    return left_join(with_posted, auth, ["transaction_original"], policy, hot_in=auth)
 
 
 _DISPUTE_KEYS = ("dispute_transaction_uuid", "posted_transaction_uuid", "auth_transaction_uuid")
@@ -106,13 +102,18 @@ def dispute_chain(txns: DataFrame, log: DataFrame, policy: SkewPolicy) -> DataFr
         "workflow_stage",
         "billing_error_status_resolution",
     )
-    chained = disputes_to_auth(txns, policy, split_hot_auth=True)
+    chained = disputes_to_auth(txns, policy)
     return any_key_join(chained, _DISPUTE_KEYS, entries, "log_transaction_uuid", policy)
 
 
-def dispute_tally(txns: DataFrame, log: DataFrame, policy: SkewPolicy) -> DataFrame:
+def dispute_tally(
+    txns: DataFrame, log: DataFrame, policy: SkewPolicy, auths: DataFrame | None = None
+) -> DataFrame:
     """Per authorisation: rows of :func:`dispute_chain`, and those that are fraudulent, as counts.
 
+    ``auths`` are the transaction rows to look at as authorisations, all if not given. The chain is walked
+    back from them by inner joins, which shrink with them and which AQE can split on both sides.
+
     The log is counted per transaction first: all entries, those granted to the borrower, and of these the
     ones naming unauthorized use. The counts of a chain row are the sums over its distinct keys, and a row
     without any entry counts once.
@@ -131,9 +132,19 @@ def dispute_tally(txns: DataFrame, log: DataFrame, policy: SkewPolicy) -> DataFr
             F.count_if(granted & unauthorized).alias("unauthorized"),
         )
     )
+    auth = (txns if auths is None else auths).select(
+        F.col("source_transaction_id").alias("original_id"), F.col("transaction_uuid").alias("auth_transaction_uuid")
+    )
+    posted = txns.select("original_id", F.col("transaction_uuid").alias("posted_transaction_uuid"))
+    disputes = txns.where(F.col("transaction_type") == fv.TYPE_DISPUTE).select(
+        F.col("source_transaction_id").alias("posted_transaction_uuid"),
+        F.col("transaction_uuid").alias("dispute_transaction_uuid"),
+        "dispute_reason",
+    )
     rows = (
-        disputes_to_auth(txns, policy)
-        .where(F.col("auth_transaction_uuid").isNotNull())
+        auth.where(F.col("auth_transaction_uuid").isNotNull())
+        .join(posted, "original_id")
+        .join(disputes, "posted_transaction_uuid")
         .select(*_DISPUTE_KEYS, "dispute_reason")
     )
     for i, key in enumerate(_DISPUTE_KEYS):

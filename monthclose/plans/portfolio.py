@@ -9,7 +9,7 @@ from monthclose import fixed_values as fv
 from monthclose.functions.dates import month_end_snapshot, reported_month
 from monthclose.functions.labels import dpd_bucket
 from monthclose.operators.fraud import cancel_tally, dispute_tally, fraud_signals, sms_outcome
-from monthclose.operators.skew import left_join
+from monthclose.operators.skew import filter_by_key, left_join
 from monthclose.params import ReportParams
 from monthclose.sources.registry import Sources
 
@@ -77,11 +77,18 @@ def flagged_transactions(sources: Sources, params: ReportParams) -> DataFrame:
         "purchase_auth_rejection_reason",
         "amount",
     )
+    # Of all time, only rows carrying the id of one of these transactions matter on the other sides.
+    same_id = filter_by_key(
+        txns.select("transaction_uuid", "source_transaction_id", "card_uuid", "created_at_est"),
+        month,
+        ["transaction_uuid"],
+        params.skew,
+    )
     return fraud_signals(
         month,
         sources["status_events"],
-        dispute_tally(txns, sources["disputes_log"], params.skew),
-        cancel_tally(sources["card_status_history"], txns, params.skew),
+        dispute_tally(txns, sources["disputes_log"], params.skew, auths=same_id),
+        cancel_tally(sources["card_status_history"], same_id, params.skew),
         sms_outcome(sources["sms_executions"], sources["sms_execution_log"], sources["sms_execution_steps"], params),
         params.skew,
     )
