@@ -161,7 +161,7 @@ def copy_plan(sizes: DataFrame, classes: DataFrame, solved: DataFrame, limit: in
         .where("size > 0")
         .select(*CLASS, "n", rate.alias("rate"), F.lit(limit).alias("limit"))
     )
-    rounded = rated.groupBy("source", "part").applyInPandas(
+    rounded = rated.groupBy("source").applyInPandas(
         _round_class, "source string, size long, part int, n long, copies long"
     )
     planned = settle(
