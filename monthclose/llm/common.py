@@ -34,7 +34,7 @@ def settle(df: DataFrame) -> DataFrame:
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, so that functions in it can be loaded there wherever they run."""
     context = spark.sparkContext
-    if any(path.endswith("/monthclose.zip") for path in context._python_includes):
+    if any(path.endswith("monthclose.zip") for path in context._python_includes):
         return
     root = Path(__file__).resolve().parents[1]
     archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "monthclose.zip")
