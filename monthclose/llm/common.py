@@ -48,6 +48,11 @@ def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns by name, whatever characters the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def with_row_key(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Two 64-bit hashes of id and text; rows that agree in both columns share it, null and '' differ."""
     absent = F.col(text).isNull()
@@ -56,15 +61,15 @@ def with_row_key(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     )
 
 
-def one_row_per_key(df: DataFrame, columns: Sequence[str], repeated: str) -> DataFrame:
-    """``df`` (with a row key) reduced to one row per row key. Only rows flagged ``repeated`` are grouped,
-    after a map-side combine; all others pass as they are."""
+def one_row_per_key(df: DataFrame, columns: Sequence[Column], repeated: str) -> DataFrame:
+    """``columns`` of ``df`` (with a row key), reduced to one row per row key. Only rows flagged ``repeated`` are
+    grouped, after a map-side combine; all others pass as they are."""
     alone = df.where(~F.col(repeated)).select(*columns)
     alike = (
         df.where(F.col(repeated))
         .groupBy(*ROW_KEY)
         .agg(F.first(F.struct(*columns)).alias("__row"))
-        .select(*[F.col("__row")[c].alias(c) for c in columns])
+        .select("__row.*")
     )
     return alone.unionByName(alike)
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from monthclose.llm.common import (
     ROW_KEY,
     WHITE,
+    columns_of,
     numbers,
     one_row_per_key,
     raw_bytes,
@@ -234,4 +235,4 @@ def dedup_rows(docs: DataFrame) -> DataFrame:
     kept = exact_dedup(rows, repeated_digests(rows)).where("kept").select("row")
     same = narrow.groupBy(*ROW_KEY).agg((F.count(F.lit(1)) > 1).alias("__repeated"))
     staying = narrow.join(kept, "row").select(*ROW_KEY).join(same, list(ROW_KEY))
-    return one_row_per_key(keyed.join(staying, list(ROW_KEY)), docs.columns, "__repeated")
+    return one_row_per_key(keyed.join(staying, list(ROW_KEY)), columns_of(docs), "__repeated")

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import WORD, settle, text_or_empty
+from monthclose.llm.common import WORD, columns_of, settle, text_or_empty
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -229,12 +229,12 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 def mixed_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, limit: int = LIMIT):
     """``docs`` with every row repeated as often as the mix takes it; all columns as they came."""
     plan, _, _ = balanced(docs, weights, share, limit)
-    plan = plan.select(F.col("source").alias("__s"), F.col("size").alias("__z"), F.col("part").alias("__p"), "base", "last_draw")
+    plan = plan.select(F.col("source").alias("__s"), F.col("size").alias("__z"), F.col("part").alias("__p"), F.col("base").alias("__base"), F.col("last_draw").alias("__last"))
     rows = measured(docs)
     joined = rows.join(
         plan,
         rows.source.cast("string").eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__z")) & (F.col("__part") == F.col("__p")),
     )
-    copies = copies_of(F.col("base"), F.col("last_draw"), F.col("__draw")).cast("int")
+    copies = copies_of(F.col("__base"), F.col("__last"), F.col("__draw")).cast("int")
     repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest(copies, F.lit(1)))))
-    return repeated.where(copies > 0).select(*[repeated[c] for c in docs.columns])
+    return repeated.where(copies > 0).select(*columns_of(docs))

@@ -7,14 +7,53 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthclose.llm import exact_dedup, mixing, packing, token_counts
+from monthclose.llm import (
+    exact_dedup,
+    language,
+    license_scan,
+    line_quality,
+    mixing,
+    packing,
+    secret_scan,
+    simhash,
+    token_counts,
+    topk,
+)
 from monthclose.llm.common import ship_package, table
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["rule"] < len(secret_scan.BASE_RULES))
+    counts = {
+        f"n_{rule.kind}": F.expr(f"cast(size(filter(spans, s -> s.rule = {number})) AS long)")
+        for number, rule in enumerate(secret_scan.BASE_RULES)
+    }
+    return found.select(
+        "doc_id",
+        *[c.alias(name) for name, c in counts.items()],
+        F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -23,6 +62,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    joined = {name: F.array_join(name, ",").alias(name) for name in ("base_labels", "labels")}
+    return found.select(*[joined.get(c, F.col(c)) for c in found.columns])
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.digests(table(spark, sf_dir, "documents"))
     found = exact_dedup.exact_dedup(rows, exact_dedup.repeated_digests(rows))
@@ -45,14 +95,34 @@ WITH t AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r
 """
 
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s
+QUALIFY rank <= 10
+"""
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_line_quality": op2_line_quality,
+    "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
+    "op5_language": op5_language,
     "op6_source_mix": op6_source_mix,
     "op7_packing": op7_packing,
+    "op8_top_k": op8_top_k,
+    "op9_license_scan": op9_license_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
-SQL: dict[str, str] = {"op10_exact_dedup": EXACT_DEDUP_SQL}
+SQL: dict[str, str] = {"op8_top_k": TOP_K_SQL, "op10_exact_dedup": EXACT_DEDUP_SQL}
 
 
 def _shipped(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import ROW_KEY, numbers, one_row_per_key, runs, settle, with_row_key
+from monthclose.llm.common import ROW_KEY, columns_of, numbers, one_row_per_key, runs, settle, with_row_key
 
 WORDS, RADIUS, SEED = 4, 4, 42
 #: Nodes of a bucket that one task compares with each other; larger buckets are cut into parts.
@@ -305,4 +305,4 @@ def one_of_each(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> Da
     best = named.groupBy(F.coalesce(F.col("component_id").cast("string"), F.lit("-"))).agg(winner.alias("best"))
     same = prints.groupBy(*ROW_KEY).agg((F.count(F.lit(1)) > 1).alias("__repeated"))
     staying = best.select(*[F.col(f"best.{k}").alias(k) for k in ROW_KEY]).join(same, list(ROW_KEY))
-    return one_row_per_key(keyed.join(staying, list(ROW_KEY)), docs.columns, "__repeated")
+    return one_row_per_key(keyed.join(staying, list(ROW_KEY)), columns_of(docs), "__repeated")
