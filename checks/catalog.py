@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from checks import report_sql as sql
 from checks.driver_views import driver_sources
 from monthclose import plans
-from monthclose.params import ReportParams
+from monthclose.params import ReportParams, SkewPolicy
 
 ORDERS = ReportParams(
     as_of=dt.date(1998, 6, 15), cutover=dt.date(1998, 5, 10), sms_since=dt.date(2024, 1, 5)
@@ -21,6 +21,7 @@ ORDERS = ReportParams(
 EVENTS = ReportParams(
     as_of=dt.date(2024, 2, 15), cutover=dt.date(2024, 1, 10), sms_since=dt.date(2024, 1, 5)
 )
+HOT = SkewPolicy(share=0.001, salts=3)
 
 
 @dataclass(frozen=True)
@@ -75,6 +76,9 @@ REPORTS: dict[str, Check] = {
     "report_opt_outs": Check(_report("opt_outs", EVENTS), sql.OPT_OUTS),
     "report_scra": Check(_report("scra", ORDERS), sql.SCRA),
     "report_transactions": Check(_report("transactions", ORDERS), sql.TRANSACTIONS),
+    # The same rows when keys of the driver tables count as hot: the salted plans run.
+    "report_calls_hot_keys": Check(_report("calls", replace(EVENTS, skew=HOT)), sql.CALLS),
+    "report_transactions_hot_keys": Check(_report("transactions", replace(ORDERS, skew=HOT)), sql.TRANSACTIONS),
 }
 
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import report_sql as sql
-from checks.catalog import EVENTS, ORDERS, Check, plain
+from checks.catalog import EVENTS, HOT, ORDERS, Check, plain
 from checks.driver_views import driver_sources, with_views
 from monthclose import fixed_values as fv
 from monthclose import plans
@@ -44,7 +46,7 @@ from monthclose.operators.fraud import (
 )
 from monthclose.operators.identity import contact_identity, exclude_merged
 from monthclose.operators.joins import any_key_join
-from monthclose.operators.skew import filter_by_key, left_join
+from monthclose.operators.skew import filter_by_key, full_outer_join, left_join
 from monthclose.operators.tickets import merged_pairs, merged_resolution
 from monthclose.plans.transactions import rate_in_force
 
@@ -53,13 +55,16 @@ AS_OF = dt.date(1998, 6, 15)
 
 
 def check(sql_text: str | None):
-    """Register a function of (sources) as a query, with its SQL."""
+    """Register a function of (sources) as a query, with its SQL. One that takes a skew policy too is registered a
+    second time, with a policy that makes keys of the driver tables hot."""
 
     def register(function):
-        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(function(driver_sources(spark, sf_dir)))
+        def build(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+            return plain(function(driver_sources(spark, sf_dir), **options))
 
         OPERATORS[function.__name__] = Check(build, sql_text)
+        if "policy" in signature(function).parameters:
+            OPERATORS[f"{function.__name__}_hot_keys"] = Check(partial(build, policy=HOT), sql_text)
         return function
 
     return register
@@ -342,7 +347,7 @@ def accounts_of_calls(s):
 def left_join_constant_side(s):
     """Left join with a condition on the right side alone: the right side is filtered first."""
     spam = s["ticket_tag_history"].where(F.col("tag_name") == "spam")
-    joined = s["contact_calls"].select("ticket_id", "ticket_group").join(spam, "ticket_id", "left")
+    joined = left_join(s["contact_calls"].select("ticket_id", "ticket_group"), spam, ["ticket_id"], EVENTS.skew, hot_in=spam)
     return joined.groupBy("ticket_group", "tag_name").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -544,8 +549,8 @@ def cancellations_per_txn(s):
         f", {sql.CHAIN} SELECT * REPLACE (CAST(amount AS DOUBLE) AS amount) FROM chain",
     )
 )
-def disputes_with_log(s):
-    return dispute_chain(s["transactions"], s["disputes_log"], ORDERS.skew)
+def disputes_with_log(s, policy=ORDERS.skew):
+    return dispute_chain(s["transactions"], s["disputes_log"], policy)
 
 
 @check(
@@ -554,10 +559,10 @@ def disputes_with_log(s):
     FROM lineitem LEFT JOIN customer ON c_custkey = l_orderkey OR c_custkey = l_partkey OR c_custkey = l_suppkey
     GROUP BY 1, 2"""
 )
-def any_of_three_keys(s):
+def any_of_three_keys(s, policy=ORDERS.skew):
     lines = s.table("lineitem").select("l_returnflag", "l_linestatus", "l_orderkey", "l_partkey", "l_suppkey")
     customers = s.table("customer").select("c_custkey", F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))
-    joined = any_key_join(lines, ["l_orderkey", "l_partkey", "l_suppkey"], customers, "c_custkey", ORDERS.skew)
+    joined = any_key_join(lines, ["l_orderkey", "l_partkey", "l_suppkey"], customers, "c_custkey", policy)
     return joined.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("n"), F.count("c_custkey").alias("n_matched"), F.sum("balance").alias("balance")
     )
@@ -617,9 +622,9 @@ def signals_of_txns(s):
         CAST(final_apr AS DOUBLE) AS final_apr, effective_end_at_est FROM rated""",
     )
 )
-def rates_of_txns(s):
+def rates_of_txns(s, policy=ORDERS.skew):
     txns = s["transactions"].select("transaction_uuid", "credit_line_uuid", "transaction_confirmed_at_est")
-    return rate_in_force(txns, s["apr_history"], ORDERS.skew)
+    return rate_in_force(txns, s["apr_history"], policy)
 
 
 # Joins, sets, sorting, arithmetic
@@ -637,12 +642,13 @@ def full_outer_opt_outs(s):
     unsubscribed = (
         s["email_event"]
         .where(F.upper("event_type") == fv.EVENT_EMAIL_UNSUBSCRIBE)
-        .select(F.col("external_user_id").alias("email_user"))
+        .select(F.col("external_user_id").alias("consumer_uuid"))
         .distinct()
     )
-    events = s["subscription_event"]
-    joined = events.join(unsubscribed, events["external_user_id"] == unsubscribed["email_user"], "full_outer")
-    return joined.select(F.coalesce("external_user_id", "email_user").alias("consumer_uuid"), "channel", "time_at_est")
+    events = s["subscription_event"].select(F.col("external_user_id").alias("consumer_uuid"), "channel", "time_at_est")
+    return full_outer_join(events, unsubscribed, ["consumer_uuid"], EVENTS.skew).select(
+        "consumer_uuid", "channel", "time_at_est"
+    )
 
 
 @check(

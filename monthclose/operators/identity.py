@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthclose import fixed_values as fv
@@ -39,13 +41,29 @@ def identity_rows(
     """
     profile_rows = profiles.select("consumer_uuid", F.col("phone").alias("user_phone"))
     owners = profile_rows.distinct()
-    with_number = left_join(_calls_of_tickets(calls), _numbers_of_tickets(comments), ["ticket_id"], policy)
+    with_number = left_join(_calls_of_tickets(calls), _numbers_of_tickets(comments), ["ticket_id"], policy, hot_in=comments)
     with_owner = left_join(with_number, owners, ["user_phone"], policy, hot_in=profile_rows)
     return with_owner.groupBy("call_id", "ticket_id", "user_phone", "consumer_uuid").agg(
         F.sum(F.col("n_calls") * F.coalesce("n_numbers", F.lit(1))).alias(N_ROWS)
     )
 
 
+def identity_consumers(
+    calls: DataFrame, comments: DataFrame, profiles: DataFrame, policy: SkewPolicy
+) -> DataFrame:
+    """Distinct (call_id, consumer_uuid) with the number of identity rows of each.
+
+    Consumers are added up per ticket before calls are met, so a ticket with many numbers of one consumer is one row.
+    """
+    profile_rows = profiles.select("consumer_uuid", F.col("phone").alias("user_phone"))
+    owned = left_join(_numbers_of_tickets(comments), profile_rows.distinct(), ["user_phone"], policy, hot_in=profile_rows)
+    contacts = owned.groupBy("ticket_id", "consumer_uuid").agg(F.sum("n_numbers").alias("n_contacts"))
+    met = left_join(_calls_of_tickets(calls), contacts, ["ticket_id"], policy, hot_in=comments)
+    return met.groupBy("call_id", "consumer_uuid").agg(
+        F.sum(F.col("n_calls") * F.coalesce("n_contacts", F.lit(1))).alias(N_ROWS)
+    )
+
+
 def identity_counts(
     calls: DataFrame, comments: DataFrame, profiles: DataFrame, policy: SkewPolicy
 ) -> DataFrame:
@@ -72,14 +90,17 @@ def identity_counts(
     )
 
 
-def repeat_rows(df: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` times over; the count column is dropped.
+def repeat_rows(df: DataFrame, times: str, order: Sequence[Column] | None = None) -> DataFrame:
+    """Each row ``times`` times over, in ``order`` if given; the count column is dropped.
 
-    Two unfoldings, blocks and rows of a block, keep the arrays behind them short for any count.
+    Two unfoldings, blocks and rows of a block, keep the arrays behind them short for any count. Between them the
+    blocks are dealt out anew (by their values and number, or by the order's range partitioner), so the copies of
+    one row are written by many tasks.
     """
     block, left_over = 4096, "__rows"
     count = F.col(times)
     blocks = df.withColumn(left_over, F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1, F.lit(block).cast("bigint"))))
+    blocks = blocks.repartition(*df.columns, left_over) if order is None else blocks.orderBy(*order, left_over)
     in_block = F.least(count - F.col(left_over), F.lit(block).cast("bigint"))
     return blocks.withColumn(left_over, F.explode(F.array_repeat(F.lit(0), in_block.cast("int")))).drop(times, left_over)
 

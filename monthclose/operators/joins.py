@@ -4,32 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthclose import fixed_values as fv
-from monthclose.operators.skew import flag_hot, hot_keys, left_join
+from monthclose.operators.skew import left_join
 from monthclose.params import SkewPolicy
 
+_TUPLE = "__tuple"
+
 
 def any_key_join(
     left: DataFrame, keys: Sequence[str], right: DataFrame, right_key: str, policy: SkewPolicy
 ) -> DataFrame:
     """Left outer join where any of ``keys`` may equal ``right_key``; a pair of rows matches once at most.
 
-    An OR of equalities would compare all rows with all rows. Here each left row first learns, by one equi
-    join per key against the distinct right keys, which of its keys occur on the right. It is then unfolded
-    to one row per such key, equal ones once, or to a single row without a key if none occurs, and joined
-    to the right rows. ``right_key`` is kept, other column names must differ between the sides.
+    An OR of equalities would compare all rows with all rows. Here each distinct tuple of left keys first learns,
+    by one equi join per key against the distinct right keys, which of its keys occur on the right, and is
+    unfolded to one row per such key, equal ones once, or to a single row without a key if none occurs. The left
+    rows themselves are shuffled twice: to their tuple, and to the right rows. ``right_key`` is kept, other column
+    names must differ between the sides.
     """
     present = right.select(right_key).dropna().distinct()
     hits = {key: f"__hit_{i}" for i, key in enumerate(keys)}
-    rows = left
+    together = F.struct(*[F.col(k) for k in keys])  # equal as a value also where a key is null
+    tuples = left.select(*keys).distinct()
     for key, hit in hits.items():
-        rows = left_join(rows, present.select(F.col(right_key).alias(key), F.lit(True).alias(hit)), [key], policy)
+        tuples = left_join(tuples, present.select(F.col(right_key).alias(key), F.lit(True).alias(hit)), [key], policy)
     occurring = F.array_distinct(F.array_compact(F.array(*[F.when(F.col(hit), F.col(key)) for key, hit in hits.items()])))
-    unfolded = rows.withColumn(right_key, F.explode_outer(occurring)).drop(*hits.values())
-    return left_join(unfolded, right, [right_key], policy, hot_in=right)
+    unfolded = tuples.select(together.alias(_TUPLE), F.explode_outer(occurring).alias(right_key))
+    rows = left_join(left.withColumn(_TUPLE, together), unfolded, [_TUPLE], policy).drop(_TUPLE)
+    return left_join(rows, right, [right_key], policy, hot_in=right)
 
 
 def near_day_join(
@@ -56,10 +61,6 @@ def near_day_join(
     return unfolded.join(dated, [key, day]).drop(day)
 
 
-def _hour_number(ts: str) -> Column:
-    return F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint") * 24 + F.hour(ts)
-
-
 def interval_in_force(
     facts: DataFrame,
     intervals: DataFrame,
@@ -69,69 +70,47 @@ def interval_in_force(
     end: str,
     values: Sequence[str],
     policy: SkewPolicy,
-    keys_never_null: bool = False,
 ) -> DataFrame:
     """``facts`` plus ``values`` of the interval with ``start <= at < end`` (null ``end`` = open).
 
     Where several intervals cover a fact, the one ending last wins, then the one starting last, then the
     largest values; a fact covered by none gets nulls. One row out per fact.
 
-    Both sides are laid on one time line per key, and a running maximum of (end, start, values) over the
-    intervals started so far yields the winner: if the last-ending one has expired, so have all others.
-    That is one exchange and no pairs, against a range join that compares every fact of a key with every
-    interval of it. A hot key is cut into hours; what is still running at the start of an hour is handed
-    over as one carry row per hour, computed from per-hour maxima.
-
-    The result is partitioned by ``key`` as long as no key is hot and ``keys_never_null`` spares the union
-    with the facts that have none.
+    Distinct starts and distinct times of facts are laid on one time line per key, and a running maximum of
+    (end, start, values) over the intervals started so far yields the winner: if the last-ending one has expired,
+    so have all others. Intervals of equal start, and facts of equal time, are combined map-side first, so the
+    time line of a hot key is as long as it has distinct times. The facts themselves meet the line by an equi join
+    on (key, time), which can be split, instead of being compared with every interval of their key.
     """
-    slot, kind, best, time, open_end, hot = "__slot", "__kind", "__best", "__time", "__end", "__hot"
-    carry_kind, interval_kind, fact_kind = 0, 1, 2
-
-    started = intervals.where(F.col(start).isNotNull() & F.col(key).isNotNull()).select(
-        F.col(key),
-        F.lit(interval_kind).alias(kind),
-        F.col(start).alias(time),
-        F.struct(
-            F.coalesce(F.col(end), F.lit(fv.OPEN_END).cast("timestamp_ntz")).alias(open_end),
-            F.col(start).alias("__start"),
-            *[F.col(v) for v in values],
-        ).alias(best),
-    )
-    # Facts without a key match nothing and stay out of the exchange.
-    keyed = facts.where(F.col(key).isNotNull()).withColumns({kind: F.lit(fact_kind), time: F.col(at)})
-    both = keyed.unionByName(started, allowMissingColumns=True)
-    found = hot_keys(both, [key], policy)
-    if found is None:
-        line, group = both, [key]
-    else:
-        flagged = flag_hot(both, found, [key], hot).withColumn(slot, F.when(F.col(hot), _hour_number(time)))
-        # The best interval started before the hour, for the hours of a hot key that hold facts.
-        earlier = Window.partitionBy(key).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
-        carries = (
-            flagged.where(F.col(hot) & F.col(time).isNotNull())
-            .groupBy(key, slot)
-            .agg(F.max(best).alias(best), F.max(kind).alias(kind))
-            .withColumn(best, F.max(best).over(earlier))
-            .where((F.col(kind) == fact_kind) & F.col(best).isNotNull())
-            .withColumn(kind, F.lit(carry_kind))
+    kind, best, time, open_end = "__kind", "__best", "__time", "__end"
+    interval_kind, fact_kind = 1, 2
+
+    started = (
+        intervals.where(F.col(start).isNotNull() & F.col(key).isNotNull())
+        .select(
+            F.col(key),
+            F.lit(interval_kind).alias(kind),
+            F.col(start).alias(time),
+            F.struct(
+                F.coalesce(F.col(end), F.lit(fv.OPEN_END).cast("timestamp_ntz")).alias(open_end),
+                F.col(start).alias("__start"),
+                *[F.col(v) for v in values],
+            ).alias(best),
         )
-        line, group = flagged.drop(hot).unionByName(carries, allowMissingColumns=True), [key, slot]
-
-    # Carry rows have no time and sort first; at equal times intervals come before facts.
-    running = (
-        Window.partitionBy(*group)
-        .orderBy(F.col(time).asc_nulls_first(), F.col(kind))
-        .rowsBetween(Window.unboundedPreceding, 0)
+        .groupBy(key, kind, time)
+        .agg(F.max(best).alias(best))
     )
-    placed = (
-        line.withColumn(best, F.max(best).over(running)).where(F.col(kind) == fact_kind)
+    asked = facts.select(key, F.lit(fact_kind).alias(kind), F.col(at).alias(time)).dropna().distinct()
+    line = asked.unionByName(started, allowMissingColumns=True)
+    # At equal times intervals come before facts.
+    running = Window.partitionBy(key).orderBy(time, kind).rowsBetween(Window.unboundedPreceding, 0)
+    winners = (
+        line.withColumn(best, F.max(best).over(running))
+        .where(F.col(kind) == fact_kind)
+        .select(key, F.col(time).alias(at), best)
     )
     in_force = F.col(at) < F.col(best)[open_end]
-    rated = placed.select(
+    return left_join(facts, winners, [key, at], policy).select(
         *[F.col(c) for c in facts.columns],
         *[F.when(in_force, F.col(best)[v]).alias(v) for v in values],
     )
-    if keys_never_null:
-        return rated
-    return rated.unionByName(facts.where(F.col(key).isNull()), allowMissingColumns=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,27 +16,22 @@ _SALT = "__salt"
 _FOUND = "__found"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> DataFrame | None:
-    """Keys holding more than ``policy.share`` of all rows and more than ``policy.min_rows``, or None.
+def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> list[int]:
+    """Hashes of the keys that hold more than the policy's share of all rows; rows with a null key do not count.
 
-    Runs a job: counts per key, combined map-side, of which one row comes back; only if there are hot keys
-    does a second job fetch them. There can be no more than ``1 / policy.share``, so the list is small
-    however large the data is. Whatever uses it is exact with any list of keys; the list only decides how
-    rows are spread.
+    Runs one job: a sketch of the most frequent hashes, built map-side and merged, of which one row comes back.
+    There can be no more than ``1 / share``, so the list is small however large the data is. Whatever uses it is
+    exact with any list of keys, also an outdated one; the list only decides how rows are spread.
     """
-    counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
-    total, largest = counts.agg(F.sum(_N), F.max(_N)).first()
-    threshold = max((total or 0) * policy.share, policy.min_rows)
-    if (largest or 0) <= threshold:
-        return None
-    hot = counts.where(F.col(_N) > threshold).select(*keys)
-    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    share = policy.share_of(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    most = min(math.ceil(1 / share), 50_000)
+    hashed = df.select(*keys).dropna().select(_hash(keys).alias("h"))
+    top, total = hashed.agg(F.expr(f"approx_top_k(h, {most}, {min(8 * most, 1_000_000)})"), F.count(F.lit(1))).first()
+    return sorted(item for item, count in top or () if count > total * share)
 
 
-def flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], flag: str = _HOT) -> DataFrame:
-    """``df`` plus a boolean column; ``hot`` holds at most ``1 / share`` keys and is broadcast."""
-    marked = df.join(F.broadcast(hot.withColumn(flag, F.lit(True))), list(keys), "left")
-    return marked.withColumn(flag, F.coalesce(flag, F.lit(False)))
+def _hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
 
 
 def spread(columns: Sequence[str], parts: int) -> Column:
@@ -63,9 +59,10 @@ def left_join(
       It needs an exchange right below each side; the salt in the join key sees to that even where
       ``right`` is the result of an aggregation by the same key.
     * A hot key on the right cannot be split by AQE. Hot keys are looked for in ``hot_in``, the table
-      ``right`` is made from; all keys found there must occur in ``right``. Their right rows are salted
-      and their left rows copied once per salt. A hot key does have matches, so the null-extended copies
-      (from a salt that drew no row) are all spurious and are removed.
+      ``right`` is made from. Their right rows are salted. Left rows whose key is hot and does occur in
+      ``right`` (looked up in the same query) are copied once per salt; as they have matches, the
+      null-extended copies, from a salt that drew no row, are all spurious and are removed. All other left
+      rows meet no salted row and stay single, so a list that is out of date loses nothing.
     """
     on = list(on)
     shared = (set(left.columns) & set(right.columns)) - set(on)
@@ -74,25 +71,40 @@ def left_join(
     null_salt = F.when(_any_null(on), spread(left.columns, policy.salts) + 1).otherwise(0)
     # Always 0, but computed: the optimizer would turn a literal into a filter and hash on ``on`` alone.
     no_salt = spread(on, 1)
-    hot = hot_keys(hot_in, on, policy) if hot_in is not None else None
-    if hot is None:
+    hot = hot_keys(hot_in, on, policy) if hot_in is not None else []
+    if not hot:
         salted = left.withColumn(_SALT, null_salt)
         return salted.join(right.withColumn(_SALT, no_salt), [*on, _SALT], "left").drop(_SALT)
 
-    salted_right = (
-        flag_hot(right, hot, on)
-        .withColumn(_SALT, F.when(F.col(_HOT), spread(right.columns, policy.salts)).otherwise(no_salt))
-        .withColumn(_FOUND, F.lit(True))
-        .drop(_HOT)
+    is_hot = _hash(on).isin(hot)
+    # As many rows as there are hot keys, but for clashes of 64-bit hashes.
+    present = right.where(is_hot).select(*on).dropna().distinct().withColumn(_HOT, F.lit(True))
+    salted_right = right.withColumns(
+        {_SALT: F.when(is_hot, spread(right.columns, policy.salts)).otherwise(no_salt), _FOUND: F.lit(True)}
     )
     all_salts = F.sequence(F.lit(0), F.lit(policy.salts - 1))
-    salted_left = flag_hot(left, hot, on).withColumn(
-        _SALT, F.explode(F.when(F.col(_HOT), all_salts).otherwise(F.array(null_salt)))
-    )
+    marked = left.join(F.broadcast(present), on, "left").withColumn(_HOT, F.coalesce(_HOT, F.lit(False)))
+    salted_left = marked.withColumn(_SALT, F.explode(F.when(F.col(_HOT), all_salts).otherwise(F.array(null_salt))))
     joined = salted_left.join(salted_right, [*on, _SALT], "left")
     return joined.where(~F.col(_HOT) | F.col(_FOUND)).drop(_HOT, _SALT, _FOUND)
 
 
+def full_outer_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    policy: SkewPolicy,
+    hot_in: DataFrame | None = None,
+) -> DataFrame:
+    """Full outer join on the columns ``on``: the left join, and the right rows whose key does not occur on the left.
+
+    AQE never splits a full outer join; both parts can be split, and null keys are spread in both.
+    """
+    matched = left_join(left, right, on, policy, hot_in)
+    alone = filter_by_key(right, left, on, policy, anti=True)
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def filter_by_key(
     left: DataFrame, right: DataFrame, on: Sequence[str], policy: SkewPolicy, anti: bool = False
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from monthclose import fixed_values as fv
 from monthclose.functions.dates import local_date
 from monthclose.functions.text import blank_to_null
-from monthclose.operators.skew import left_join
+from monthclose.operators.skew import filter_by_key, left_join
 from monthclose.params import ReportParams
 
 
@@ -45,12 +45,15 @@ def merged_pairs(tickets: DataFrame) -> DataFrame:
 def merged_resolution(tickets: DataFrame, all_tickets: DataFrame, history: DataFrame, params: ReportParams) -> DataFrame:
     """``tickets`` plus ``solve_date``: own solve date, else the latest one among the tickets absorbed.
 
-    Absorbed tickets are looked up in ``all_tickets``. Both lookups use the same per-ticket solve dates,
-    which Spark exchanges once and reuses.
+    Absorbed tickets are looked up in ``all_tickets``. Only the pairs of ``tickets`` are followed, and solve dates
+    are worked out for these tickets and the ones they absorbed alone, from their whole history.
     """
-    solved = latest_solve_dates(history, params)
+    pairs = filter_by_key(merged_pairs(all_tickets), tickets, ["ticket_id"], params.skew).select(
+        "ticket_id", "merged_ticket_id"
+    )
+    needed = tickets.select("ticket_id").union(pairs.select("merged_ticket_id"))
+    solved = latest_solve_dates(filter_by_key(history, needed, ["ticket_id"], params.skew), params)
     of_merged = solved.withColumnsRenamed({"ticket_id": "merged_ticket_id", "solve_date": "merged_solve_date"})
-    pairs = merged_pairs(all_tickets).select("ticket_id", "merged_ticket_id")
     through_merge = (
         left_join(pairs, of_merged, ["merged_ticket_id"], params.skew)
         .where(F.col("merged_solve_date").isNotNull())
@@ -59,8 +62,7 @@ def merged_resolution(tickets: DataFrame, all_tickets: DataFrame, history: DataF
     )
     own = solved.withColumnRenamed("solve_date", "own_solve_date")
     return (
-        tickets.join(own, "ticket_id", "left")
-        .join(through_merge, "ticket_id", "left")
+        left_join(left_join(tickets, own, ["ticket_id"], params.skew), through_merge, ["ticket_id"], params.skew)
         .withColumn("solve_date", F.coalesce("own_solve_date", "merged_solve_date"))
         .drop("own_solve_date", "merged_solve_date")
     )

@@ -25,17 +25,19 @@ class Program:
 class SkewPolicy:
     """When a key counts as hot, and into how many parts its rows are split.
 
-    A key is hot if it holds more than ``share`` of all rows of the side looked at *and* more than
-    ``min_rows`` rows. The share bounds the number of hot keys by ``1 / share`` whatever the data
-    size, which is what makes the set of hot keys safe to broadcast.
+    A key is hot if it holds more than ``share`` of all rows of the side looked at, whatever their number. Not
+    given, it is a quarter of what one of ``spark.sql.shuffle.partitions`` holds on average. The share bounds the
+    number of hot keys by ``1 / share`` whatever the data size, which is what makes them safe to broadcast.
     """
 
-    share: float = 1e-4
-    min_rows: int = 1_000_000
+    share: float | None = None
     salts: int = 64
 
+    def share_of(self, shuffle_partitions: int) -> float:
+        return self.share if self.share is not None else 1 / (4 * max(1, shuffle_partitions))
+
     def __post_init__(self):
-        if not 0 < self.share <= 1:
+        if self.share is not None and not 0 < self.share <= 1:
             raise ValueError("share must lie in (0, 1]")
         if self.salts < 1:
             raise ValueError("salts must be at least 1")

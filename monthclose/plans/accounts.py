@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from monthclose import fixed_values as fv
 from monthclose.functions.dates import delinquent_since, month_end_snapshot, reported_month
 from monthclose.operators.dedup import first_event
-from monthclose.params import ReportParams
+from monthclose.operators.skew import filter_by_key
+from monthclose.params import ReportParams, SkewPolicy
 from monthclose.sources.registry import Sources
 
 
@@ -34,14 +35,21 @@ def _first_in_month(
     )
 
 
-def _of_program(events: DataFrame, accounts: DataFrame) -> DataFrame:
-    return events.join(accounts.select("product_account_uuid"), "product_account_uuid", "left_semi")
+def _of_program(events: DataFrame, accounts: DataFrame, policy: SkewPolicy) -> DataFrame:
+    return filter_by_key(events, accounts, ["product_account_uuid"], policy)
 
 
 def _with_merchant(events: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Events of the accounts plus the account's merchant name, still one row per account."""
-    named = events.join(accounts.select("product_account_uuid", "merchant_name"), "product_account_uuid")
-    return first_event(named, ["product_account_uuid"], ["merchant_name"])
+    """Events of the accounts plus the account's merchant name, still one row per account.
+
+    An account listed many times is reduced to its smallest name map-side, before it meets its one event.
+    """
+    names = (
+        accounts.where(F.col("product_account_uuid").isNotNull())
+        .groupBy("product_account_uuid")
+        .agg(F.min("merchant_name").alias("merchant_name"))
+    )
+    return events.join(names, "product_account_uuid")
 
 
 def id_theft(sources: Sources, params: ReportParams) -> DataFrame:
@@ -49,19 +57,19 @@ def id_theft(sources: Sources, params: ReportParams) -> DataFrame:
     events = _first_in_month(
         sources, params, F.col("status_reason_code") == fv.CODE_ID_THEFT, False, "status_reason_code"
     )
-    return _of_program(events, _program_accounts(sources, params))
+    return _of_program(events, _program_accounts(sources, params), params.skew)
 
 
 def bankruptcy(sources: Sources, params: ReportParams) -> DataFrame:
     """Accounts newly bankrupt in the month, with the earliest such status."""
     events = _first_in_month(sources, params, F.col("status_reason") == fv.REASON_BANKRUPTCY, True, "status_reason")
-    return _of_program(events, _program_accounts(sources, params))
+    return _of_program(events, _program_accounts(sources, params), params.skew)
 
 
 def charge_off(sources: Sources, params: ReportParams) -> DataFrame:
     """Accounts charged off in the month."""
     events = _first_in_month(sources, params, F.col("status") == fv.STATUS_CHARGE_OFF, False, "status")
-    return _of_program(events, _program_accounts(sources, params))
+    return _of_program(events, _program_accounts(sources, params), params.skew)
 
 
 def scra(sources: Sources, params: ReportParams) -> DataFrame:
@@ -76,7 +84,7 @@ def collections(sources: Sources, params: ReportParams) -> DataFrame:
     behind = (
         month_end_snapshot(sources["loan_tape"], "activity_date", params.as_of)
         .where(F.col("merchant_name").isin(*params.program.brand_names) & (F.col("days_past_due") > 0))
-        .join(sources["accounts"].select("credit_line_uuid", "product_account_uuid"), "credit_line_uuid")
+        .join(sources["accounts"].select("credit_line_uuid", "product_account_uuid").distinct(), "credit_line_uuid")
         .select(
             "product_account_uuid",
             delinquent_since(F.col("days_past_due"), params.as_of).cast("timestamp_ntz").alias("started_at_est"),
@@ -99,9 +107,13 @@ def mla(sources: Sources, params: ReportParams) -> DataFrame:
     """Accounts whose application was flagged for military lending in the month; one row per application."""
     pulls = reported_month(sources["hardpull"].where(F.col("mla_flag")), "updated_at_est", params)
     first = first_event(pulls, ["application_uuid"], ["updated_at_est"])
-    accounts = _program_accounts(sources, params).select("application_uuid", "product_account_uuid")
-    named = first.join(accounts, "application_uuid")
-    return first_event(named, ["application_uuid"], ["product_account_uuid"]).select("product_account_uuid", "mla_flag")
+    accounts = (
+        _program_accounts(sources, params)
+        .where(F.col("application_uuid").isNotNull())
+        .groupBy("application_uuid")
+        .agg(F.min("product_account_uuid").alias("product_account_uuid"))
+    )
+    return first.join(accounts, "application_uuid").select("product_account_uuid", "mla_flag")
 
 
 def applications(sources: Sources, params: ReportParams) -> DataFrame:

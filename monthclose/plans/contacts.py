@@ -9,7 +9,13 @@ from monthclose import fixed_values as fv
 from monthclose.functions.dates import reported_month
 from monthclose.functions.labels import inbound_agent_call, program_of
 from monthclose.operators.calls import call_funnel, sla_ratio
-from monthclose.operators.identity import N_ROWS, exclude_merged, identity_counts, identity_rows, repeat_rows
+from monthclose.operators.identity import (
+    N_ROWS,
+    exclude_merged,
+    identity_consumers,
+    identity_counts,
+    repeat_rows,
+)
 from monthclose.operators.skew import filter_by_key, left_join
 from monthclose.params import ReportParams
 from monthclose.sources.registry import Sources
@@ -23,8 +29,8 @@ def _program_calls(sources: Sources, params: ReportParams) -> DataFrame:
     return sources["contact_calls"].where(F.col("brand_id").isin(*params.program.brand_ids))
 
 
-def _identity_of(calls: DataFrame, sources: Sources, params: ReportParams, identities=identity_rows) -> DataFrame:
-    """Identity rows (or counts) of the call ids in ``calls``, over all rows carrying one of these ids."""
+def _identity_of(calls: DataFrame, sources: Sources, params: ReportParams, identities) -> DataFrame:
+    """Identity counts, per call or per call and consumer, of the call ids in ``calls``, over all rows carrying one of these ids."""
     every_call = sources["contact_calls"].select("call_id", "ticket_id")
     rows = filter_by_key(every_call, calls, ["call_id"], params.skew)
     return identities(rows, sources["ticket_comments"], sources["profiles"], params.skew)
@@ -100,12 +106,10 @@ def calls(sources: Sources, params: ReportParams) -> DataFrame:
         program_of(F.col("brand_id"), params.program, other=fv.OTHER_PROGRAM_IN_CALLS).alias("program_name"),
         "call_direction",
     )
-    lookup = (
-        _identity_of(month, sources, params)
-        .groupBy("call_id", F.col("consumer_uuid").alias("phone_consumer"))
-        .agg(F.sum(N_ROWS).alias("n_identities"))
+    lookup = _identity_of(month, sources, params, identity_consumers).withColumnsRenamed(
+        {"consumer_uuid": "phone_consumer", N_ROWS: "n_identities"}
     )
-    identified = left_join(month, lookup, ["call_id"], params.skew).withColumn(
+    identified = left_join(month, lookup, ["call_id"], params.skew, hot_in=sources["contact_calls"]).withColumn(
         "consumer_uuid", F.coalesce("ticket_consumer", "phone_consumer")
     )
     with_account = _with_accounts(identified, sources, params, ["product_account_uuid"])
@@ -122,10 +126,9 @@ def calls(sources: Sources, params: ReportParams) -> DataFrame:
         "call_direction",
     ]
     rest = [F.col(c).asc_nulls_last() for c in columns if c != "call_timestamp"]
-    # Sorted before rows are repeated, which leaves the order alone: fewer rows to move, and any number of
-    # copies of a call is one row to the range partitioner.
-    ordered = counted.select(*columns, N_ROWS).orderBy(F.col("call_timestamp").desc_nulls_first(), *rest)
-    return repeat_rows(ordered, N_ROWS)
+    # Sorted as blocks of copies: fewer rows to move, and the range partitioner can part the blocks of a call.
+    order = [F.col("call_timestamp").desc_nulls_first(), *rest]
+    return repeat_rows(counted.select(*columns, N_ROWS), N_ROWS, order)
 
 
 def call_kpis(sources: Sources, params: ReportParams, distinct_wait: bool = True) -> DataFrame:

@@ -14,7 +14,7 @@ from monthclose.sources.registry import Sources
 
 
 def rate_in_force(
-    txns: DataFrame, rates: DataFrame, policy: SkewPolicy, keys_never_null: bool = False
+    txns: DataFrame, rates: DataFrame, policy: SkewPolicy
 ) -> DataFrame:
     """Transactions plus ``final_apr`` valid at confirmation and the end of its interval.
 
@@ -29,7 +29,6 @@ def rate_in_force(
         end="effective_end_at_est",
         values=["final_apr", "effective_end_at_est"],
         policy=policy,
-        keys_never_null=keys_never_null,
     )
 
 
@@ -86,7 +85,7 @@ def transactions(sources: Sources, params: ReportParams) -> DataFrame:
     ]
     # Transactions without a credit line have no account and are not reported.
     on_line = month.where(F.col("credit_line_uuid").isNotNull())
-    rated = rate_in_force(on_line, rates, params.skew, keys_never_null=True).join(accounts, "credit_line_uuid")
+    rated = rate_in_force(on_line, rates, params.skew).join(accounts, "credit_line_uuid")
     # A transaction listed more than once keeps the row whose rate ends last; no rate counts as open.
     open_end = F.lit(fv.OPEN_END).cast("timestamp_ntz")
     latest_end = F.coalesce("effective_end_at_est", open_end).desc()

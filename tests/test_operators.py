@@ -10,9 +10,9 @@ from monthclose import fixed_values as fv
 from monthclose.operators import calls, dedup, fraud, identity, joins, skew, tickets
 from monthclose.params import ReportParams, SkewPolicy
 
-# Everything with more than two rows and a tenth of the table counts as hot.
-EAGER = SkewPolicy(share=0.1, min_rows=2, salts=3)
-NEVER = SkewPolicy()
+# Everything with more than a tenth of the table counts as hot; no key has more than all rows.
+EAGER = SkewPolicy(share=0.1, salts=3)
+NEVER = SkewPolicy(share=1.0)
 POLICIES = pytest.mark.parametrize("policy", [EAGER, NEVER], ids=["hot keys split", "no hot keys"])
 
 
@@ -81,16 +81,45 @@ def test_left_join_refuses_ambiguous_columns(table):
 
 def test_left_join_splits_a_hot_key(table):
     left, right = _skewed(table)
-    assert [tuple(r) for r in skew.hot_keys(right, ["k", "g"], EAGER).collect()] == [("hot", "x")]
-    assert skew.hot_keys(right, ["k", "g"], NEVER) is None
-    assert skew.hot_keys(right.limit(0), ["k", "g"], EAGER) is None
+    hot = right.where("k = 'hot' AND g = 'x'").select(F.xxhash64("k", "g")).first()[0]
+    assert skew.hot_keys(right, ["k", "g"], SkewPolicy(share=0.2)) == [hot]
+    assert skew.hot_keys(right, ["k", "g"], NEVER) == []
+    assert skew.hot_keys(right.limit(0), ["k", "g"], EAGER) == []
+
+
+def test_share_follows_the_shuffle_partitions():
+    assert SkewPolicy().share_of(50) == 1 / 200
+    assert SkewPolicy(share=0.3).share_of(50) == 0.3
+
+
+def test_plan_of_a_hot_key_holds_the_salt(table):
+    left, right = _skewed(table)
+    plan = skew.left_join(left, right, ["k", "g"], EAGER, hot_in=right)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in plan and "__hot" in plan
+
+
+def test_outdated_list_of_hot_keys_loses_no_left_row(table):
+    """The key was hot in an earlier state of the right table and has left it since."""
+    left = table("k string, l int", ("gone", 1), ("gone", 2), ("here", 3))
+    earlier = table("k string, r int", *[("gone", i) for i in range(9)], ("here", 1))
+    now = table("k string, r int", ("here", 1))
+    joined = skew.left_join(left, now, ["k"], EAGER, hot_in=earlier)
+    assert bag(joined) == Counter({("gone", 1, None): 1, ("gone", 2, None): 1, ("here", 3, 1): 1})
+
+
+@POLICIES
+def test_full_outer_join_equals_the_plain_one(table, policy):
+    left, right = _skewed(table)
+    assert bag(skew.full_outer_join(left, right, ["k", "g"], policy, hot_in=right)) == bag(
+        left.join(right, ["k", "g"], "full_outer")
+    )
 
 
 def test_hot_left_key_missing_from_a_salt_leaves_no_trace(table):
     """More salts than right rows: some copies of the left row meet nothing and must vanish."""
     left = table("k string, l int", ("hot", 1), ("hot", 2))
     right = table("k string, r int", *[("hot", i) for i in range(3)])
-    policy = SkewPolicy(share=0.1, min_rows=2, salts=50)
+    policy = SkewPolicy(share=0.1, salts=50)
     joined = skew.left_join(left, right, ["k"], policy, hot_in=right)
     assert bag(joined) == Counter({("hot", i, j): 1 for i in (1, 2) for j in range(3)})
 
