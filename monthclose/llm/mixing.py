@@ -140,7 +140,7 @@ def tilts(classes: DataFrame, goals: DataFrame, limit: float = LIMIT, tolerance:
 
 def _round_class(rows: pd.DataFrame) -> pd.DataFrame:
     """Copies of each class, largest documents first; what a class is short of is carried to the next one."""
-    rows = rows.sort_values("size", ascending=False, kind="stable")
+    rows = rows.sort_values(["size", "part"], ascending=[False, True])
     copies, carry = [], 0.0
     for size, n, rate, limit in zip(rows["size"], rows["n"], rows["rate"], rows["limit"], strict=True):
         wanted = n * rate * size + carry

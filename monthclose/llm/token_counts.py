@@ -66,6 +66,7 @@ class _Lengths(dict):
         super().__init__(frequent)
         self.frequent = frequent
         self.encode = sentencepiece.SentencePieceProcessor(model_proto=model).encode
+        self.last_space = len(self.encode("a ")) - len(self.encode("a"))
 
     def __missing__(self, word: str) -> int:
         if not word or word[-1] == "▁":
@@ -88,10 +89,13 @@ class _Lengths(dict):
         if "▁" in text:
             return len(self.encode(text))
         # The tokenizer sees one space before the text; of a run of spaces, encode() adds the first itself.
-        return sum(
-            len(self.encode(piece[1:])) if len(piece) == 1 or piece[1] == " " else self[piece[1:]]
-            for piece in _SPACE_RUN.findall(" " + text)
-        )
+        total = 0
+        for piece in _SPACE_RUN.findall(" " + text):
+            if len(piece) == 1:  # a space that ends the text
+                total += self.last_space
+            else:
+                total += len(self.encode(piece[1:])) if piece[1] == " " else self[piece[1:]]
+        return total
 
 
 _LENGTHS: dict[int, _Lengths] = {}
