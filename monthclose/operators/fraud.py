@@ -11,7 +11,7 @@ from monthclose import fixed_values as fv
 from monthclose.functions.dates import day_distance, day_literal
 from monthclose.operators.dedup import first_event
 from monthclose.operators.joins import any_key_join, near_day_join
-from monthclose.operators.skew import left_join
+from monthclose.operators.skew import filter_by_key, left_join
 from monthclose.params import ReportParams, SkewPolicy
 
 N_ALL = "n_all"
@@ -111,12 +111,14 @@ def dispute_tally(
 ) -> DataFrame:
     """Per authorisation: rows of :func:`dispute_chain`, and those that are fraudulent, as counts.
 
-    ``auths`` are the transaction rows to look at as authorisations, all if not given. The chain is walked
-    back from them by inner joins, which shrink with them and which AQE can split on both sides.
+    ``auths`` are the transaction rows to look at as authorisations, all if not given.
 
     The log is counted per transaction first: all entries, those granted to the borrower, and of these the
-    ones naming unauthorized use. The counts of a chain row are the sums over its distinct keys, and a row
-    without any entry counts once.
+    ones naming unauthorized use. With x the entries of a dispute and its posted transaction and E those of the
+    authorisation, a chain row counts max(x + E, 1). Over the n disputes of an original id that is
+    sum(x) + n * E, plus one for each x of 0 if E is 0: one row of sums per original id is all an authorisation
+    meets. Where the authorisation is itself the posted or disputing transaction, its entries are in x already;
+    those rows are counted per (original id, transaction) and taken off.
     """
     granted = (F.col("workflow_stage") == fv.STAGE_RESOLUTION) & (
         F.col("billing_error_status_resolution") == fv.RESOLVED_FOR_BORROWER
@@ -132,39 +134,66 @@ def dispute_tally(
             F.count_if(granted & unauthorized).alias("unauthorized"),
         )
     )
-    auth = (txns if auths is None else auths).select(
-        F.col("source_transaction_id").alias("original_id"), F.col("transaction_uuid").alias("auth_transaction_uuid")
-    )
-    posted = txns.select("original_id", F.col("transaction_uuid").alias("posted_transaction_uuid"))
     disputes = txns.where(F.col("transaction_type") == fv.TYPE_DISPUTE).select(
-        F.col("source_transaction_id").alias("posted_transaction_uuid"),
-        F.col("transaction_uuid").alias("dispute_transaction_uuid"),
-        "dispute_reason",
-    )
-    rows = (
-        auth.where(F.col("auth_transaction_uuid").isNotNull())
-        .join(posted, "original_id")
-        .join(disputes, "posted_transaction_uuid")
-        .select(*_DISPUTE_KEYS, "dispute_reason")
+        F.col("source_transaction_id").alias("posted"),
+        F.col("transaction_uuid").alias("dispute"),
+        F.coalesce(F.col("dispute_reason") == fv.DISPUTE_FRAUDULENT, F.lit(False)).alias("fraudulent"),
     )
-    for i, key in enumerate(_DISPUTE_KEYS):
-        of_key = entries.withColumnsRenamed({"transaction_uuid": key, **{p: f"{p}_{i}" for p in parts}})
+    rows = disputes.where(F.col("posted").isNotNull())
+    for key in ("dispute", "posted"):
+        of_key = entries.withColumnsRenamed({"transaction_uuid": key, **{p: f"{p}_{key}" for p in parts}})
         rows = left_join(rows, of_key, [key], policy)
 
-    def counted(i: int, part: str) -> Column:
-        """Counts of key ``i``, unless an earlier key is the same transaction."""
-        count = F.coalesce(f"{part}_{i}", F.lit(0))
-        for earlier in _DISPUTE_KEYS[:i]:
-            count = F.when(F.col(_DISPUTE_KEYS[i]).eqNullSafe(F.col(earlier)), 0).otherwise(count)
-        return count
-
-    sums = {p: reduce(lambda a, b: a + b, [counted(i, p) for i in range(len(_DISPUTE_KEYS))]) for p in parts}
-    is_fraudulent = F.col("dispute_reason") == fv.DISPUTE_FRAUDULENT
+    def of_both(part: str) -> Column:
+        """Counts of the dispute and the posted transaction, once if they are the same."""
+        of_posted = F.when(F.col("posted").eqNullSafe(F.col("dispute")), 0).otherwise(F.coalesce(f"{part}_posted", F.lit(0)))
+        return F.coalesce(f"{part}_dispute", F.lit(0)) + of_posted
+
+    signal = F.when(F.col("fraudulent"), of_both("granted")).otherwise(of_both("unauthorized"))
+    per_pair = rows.groupBy("posted", "dispute").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("fraudulent").alias("n_f"),
+        F.sum(of_both("entries")).alias("x"),
+        F.count_if(of_both("entries") == 0).alias("n_silent"),
+        F.sum(signal).alias("signals"),
+    )
+    sums = ("n", "n_f", "x", "n_silent", "signals")
+    per_posted = per_pair.groupBy("posted").agg(*[F.sum(c).alias(c) for c in sums])
+    # Of the whole history, the posted transactions some dispute names.
+    posted = txns.select(F.col("transaction_uuid").alias("posted"), "original_id").where(F.col("original_id").isNotNull())
+    named = filter_by_key(posted, disputes, ["posted"], policy).groupBy("posted", "original_id").agg(
+        F.count(F.lit(1)).alias("m")
+    )
+    times = named.join(per_posted, "posted").select("original_id", "posted", *[(F.col(c) * F.col("m")).alias(c) for c in sums])
+    per_original = times.groupBy("original_id").agg(*[F.sum(c).alias(c) for c in sums])
+    own_dispute = (
+        per_pair.where(F.col("dispute") != F.col("posted"))
+        .join(named, "posted")
+        .select("original_id", "dispute", F.col("n") * F.col("m"), F.col("n_f") * F.col("m"))
+    )
+    itself = (
+        times.select("original_id", "posted", "n", "n_f")
+        .union(own_dispute)
+        .toDF("original_id", "auth", "n_same", "n_f_same")
+        .groupBy("original_id", "auth")
+        .agg(F.sum("n_same").alias("n_same"), F.sum("n_f_same").alias("n_f_same"))
+    )
+    auth = (
+        (txns if auths is None else auths)
+        .select(F.col("source_transaction_id").alias("original_id"), F.col("transaction_uuid").alias("auth"))
+        .where(F.col("auth").isNotNull())
+        .join(per_original, "original_id")
+    )
+    logged = left_join(auth, entries.withColumnRenamed("transaction_uuid", "auth"), ["auth"], policy)
+    whole = left_join(logged, itself, ["original_id", "auth"], policy)
+    own = {p: F.coalesce(p, F.lit(0)) for p in parts}
+    n = F.col("n") - F.coalesce("n_same", F.lit(0))
+    n_f = F.col("n_f") - F.coalesce("n_f_same", F.lit(0))
     return (
-        rows.select(
-            F.col("auth_transaction_uuid").alias("transaction_uuid"),
-            F.greatest(sums["entries"], F.lit(1)).alias(N_ALL),
-            F.when(is_fraudulent, sums["granted"]).otherwise(sums["unauthorized"]).alias(N_FRAUD),
+        whole.select(
+            F.col("auth").alias("transaction_uuid"),
+            (F.col("x") + n * own["entries"] + F.when(own["entries"] == 0, F.col("n_silent")).otherwise(0)).alias(N_ALL),
+            (F.col("signals") + n_f * own["granted"] + (n - n_f) * own["unauthorized"]).alias(N_FRAUD),
         )
         .groupBy("transaction_uuid")
         .agg(F.sum(N_ALL).alias(N_ALL), F.sum(N_FRAUD).alias(N_FRAUD))
