@@ -82,7 +82,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
             "original_id": _TXN_ID,
             "product_account_uuid": "'A' || cast(l_partkey as string)",
             "consumer_uuid": "'C' || cast(l_partkey - l_partkey % 2 as string)",
-            "credit_line_uuid": "'L' || cast(l_partkey as string)",
+            "credit_line_uuid": "case when l_linenumber <> 6 then 'L' || cast(l_partkey as string) end",
             "card_uuid": "'K' || cast(l_partkey as string)",
             "auth_user_uuid": "'U' || cast(l_suppkey as string)",
             "amount": "cast(l_extendedprice as decimal(18,2))",
@@ -117,7 +117,7 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
         {
             "call_id": f"case when {_K} >= 90 then null when event_type = 'error' then "
             "'E' || cast(event_id - event_id % 4 as string) else 'E' || cast(event_id as string) end",
-            "ticket_id": "'K' || cast(event_id as string)",
+            "ticket_id": "case when event_id % 41 <> 7 then 'K' || cast(event_id as string) end",
             "custom_imprint_uuid": "case when event_type = 'view' then null else 'C' || cast(user_id as string) end",
             "brand_id": _BRAND_OF_EVENT,
             "ticket_group": f"case when {_K} < 40 then 'Disputes' when {_K} < 75 then 'Fraud Ops' else 'General' end",

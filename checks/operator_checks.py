@@ -313,12 +313,11 @@ def semi_join_rows(s):
 @check(
     with_views(
         ["contact_calls", "accounts"],
-        f"""SELECT c.ticket_id, p.program_name, a.product_account_uuid
-        FROM v_contact_calls c
-        JOIN (SELECT ticket_id, CASE WHEN brand_id IN {sql.BRANDS} THEN {sql.COMB} ELSE 'Elsewhere' END AS program_name
-              FROM v_contact_calls) p ON p.ticket_id = c.ticket_id
+        f"""SELECT c.ticket_id, c.program_name, a.product_account_uuid
+        FROM (SELECT *, CASE WHEN brand_id IN {sql.BRANDS} THEN {sql.COMB} ELSE 'Elsewhere' END AS program_name
+              FROM v_contact_calls) c
         LEFT JOIN v_accounts a ON a.consumer_uuid = coalesce(c.custom_imprint_uuid, 'C' || substr(c.submitter_user_id, 2))
-                              AND a.merchant_combname = p.program_name""",
+                              AND a.merchant_combname = c.program_name""",
     )
 )
 def accounts_of_calls(s):

@@ -111,7 +111,8 @@ LOOKUP = f"""numbers AS (SELECT DISTINCT ticket_id, call_from_number FROM v_tick
     owners AS (SELECT DISTINCT phone, consumer_uuid FROM v_profiles),
     lookup AS (SELECT p.call_id, p.ticket_id, p.user_phone, o.consumer_uuid
                FROM phones p LEFT JOIN owners o ON o.phone = p.user_phone)"""
-NOT_MERGED = f"c.ticket_id NOT IN (SELECT ticket_id FROM v_ticket_tag_history WHERE tag_name = '{fv.TAG_MERGED}')"
+NOT_MERGED = f"""NOT EXISTS (SELECT 1 FROM v_ticket_tag_history m
+    WHERE m.tag_name = '{fv.TAG_MERGED}' AND m.ticket_id = c.ticket_id)"""
 CONTACT_VIEWS = ["contact_calls", "ticket_comments", "profiles", "accounts", "ticket_tag_history"]
 
 AGENT_CALL = f"""(c.call_direction = 'inbound' AND c.custom_reason_code IS DISTINCT FROM '{fv.REASON_TESTING}'
