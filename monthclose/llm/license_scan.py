@@ -44,12 +44,12 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
-_BREAK = r"[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
     """Lower-case words. Full lower-casing differs from A-Z alone in characters that are no word breaks either way."""
-    return F.array_remove(F.split(F.lower(text), _BREAK.replace("\\\\", "\\")), "")
+    return F.array_remove(F.split(F.lower(text), _BREAK), "")
 
 
 def _set(text: str) -> frozenset[str]:
