@@ -12,6 +12,10 @@ leaves a whole group as soon as they exceed the radius. A bucket of many nodes (
 into parts, and each pair of parts is a task of its own; a task hands on a spanning forest of its links, not all
 pairs. Components come from star contraction over these edges.
 
+For a stage that is to find looser copies there is ``similar``: a wider radius, whose chance hits are ruled out by a
+second fingerprint from independent hashes of the same shingles. Within a component of the first, documents stay
+together if the second ones link within ``check_radius``.
+
 Null and empty texts, and texts of white space, have fingerprint zero and are linked like any other. Null ids lose
 against any other id. Repeated rows share a component. An empty table gives an empty result.
 """
@@ -37,34 +41,61 @@ SHORT_RUN = 48
 LEAF, FAN = 32, 8
 
 
-def fingerprint(text: str | None, words: int = WORDS) -> int:
-    """As a signed 64-bit number."""
+def _vote(hashes: np.ndarray) -> int:
+    """Majority of each bit of big-endian hashes, as a signed 64-bit number."""
+    votes = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(votes * 2 > len(hashes)).view(">i8")[0])
+
+
+def _shingle_hashes(text: str | None, words: int) -> np.ndarray:
     tokens = (text or "").encode().lower().split()
     if not tokens:
-        return 0
+        return np.empty(0, ">u8")
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(tokens) - words + 1)
     last = ends[words - 1 :] if len(tokens) >= words else ends[-1:]
     digest = xxhash.xxh64_digest
-    hashes = b"".join([digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist(), strict=True)])
-    votes = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(n, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(votes * 2 > n).view(">i8")[0])
+    return np.frombuffer(
+        b"".join([digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist(), strict=True)]), ">u8"
+    )
+
+
+def fingerprint(text: str | None, words: int = WORDS) -> int:
+    """As a signed 64-bit number."""
+    hashes = _shingle_hashes(text, words)
+    return _vote(hashes) if len(hashes) else 0
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, columns: list | None = None) -> DataFrame:
-    """``columns`` (doc_id) and fp of every row; whole texts are read where they lie."""
+def fingerprint_pair(text: str | None, words: int = WORDS) -> tuple[int, int]:
+    """The fingerprint, and a second one from the same hashes mixed once more."""
+    hashes = _shingle_hashes(text, words)
+    if not len(hashes):
+        return 0, 0
+    with np.errstate(over="ignore"):
+        x = (hashes.astype(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x = x ^ (x >> np.uint64(31))
+    return _vote(hashes), _vote(x.astype(">u8"))
+
+
+def fingerprints(docs: DataFrame, words: int = WORDS, columns: list | None = None, second: bool = False) -> DataFrame:
+    """``columns`` (doc_id) and fp of every row, and fp2 if a ``second`` one is wanted; whole texts are read where
+    they lie."""
     columns = columns or [F.col("doc_id").cast("long").alias("doc_id")]
     chosen = docs.select(*columns, "text")
+    names = ["fp", "fp2"] if second else ["fp"]
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = pa.array([fingerprint(t, words) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], fps], names=[*batch.schema.names[:-1], "fp"])
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            prints = [fingerprint_pair(t, words) if second else (fingerprint(t, words),) for t in texts]
+            added = [pa.array([p[i] for p in prints], pa.int64()) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names=[*batch.schema.names[:-1], *names])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(mapped, f"{kinds}, fp long")
+    return chosen.mapInArrow(mapped, f"{kinds}, " + ", ".join(f"{n} long" for n in names))
 
 
 def _blocks(radius: int) -> list[tuple[int, int]]:
@@ -137,6 +168,8 @@ def _roots(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     """Smallest member of each member's component."""
     root = np.arange(n)
     for a, b in pairs:
+        if not root.any():
+            break  # all are one component; more links change nothing
         while len(a):
             x, y = root[a], root[b]
             apart = x != y
@@ -167,9 +200,10 @@ def _forest(codes: np.ndarray, others: np.ndarray | None, radius: int) -> tuple[
     return every[root[member]], every[member]
 
 
-def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Sorted by (bucket, a, b): edges of each run. Short runs are compared across many runs at once."""
-    blocks = _blocks(radius)
+def _links(batches: Iterator[pa.RecordBatch], radius: int, tables: bool = True) -> Iterator[pa.RecordBatch]:
+    """Sorted by (bucket, a, b): edges of each run. Short runs are compared across many runs at once. ``tables``: the
+    buckets are those of ``buckets``, in several of which a link can be met."""
+    blocks = _blocks(radius) if tables else []
     first = np.full(1 << len(blocks), -1)
     for number, (i, j) in reversed(list(enumerate(combinations(range(len(blocks)), 2)))):
         agreeing = np.arange(len(first))
@@ -187,6 +221,10 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
             differ = codes[same] ^ codes[same + step]
             near = np.bitwise_count(differ) <= radius
             same, differ = same[near], differ[near]
+            if not tables:
+                if len(same):
+                    yield edges(codes[same], codes[same + step])
+                continue
             agreeing = np.zeros(len(same), np.int64)
             for place, (at, width) in enumerate(blocks):
                 free = (differ >> np.uint64(at)) & np.uint64((1 << width) - 1) == 0
@@ -236,7 +274,11 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
 
 def links(nodes: DataFrame, radius: int = RADIUS, part_nodes: int = PART_NODES) -> DataFrame:
     """(u, v), u < v: edges that connect exactly what links within the radius connect."""
-    dealt = buckets(nodes, radius)
+    return links_within(buckets(nodes, radius), radius, part_nodes)
+
+
+def links_within(dealt: DataFrame, radius: int, part_nodes: int = PART_NODES, tables: bool = True) -> DataFrame:
+    """The edges of ``links`` among the codes of each bucket of ``dealt`` (fp, bucket)."""
     sizes = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     large = settle(sizes.where(F.col("n") > part_nodes).select("bucket", F.ceil(F.col("n") / part_nodes).cast("int").alias("parts")))
     cut = dealt.join(large, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
@@ -253,7 +295,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, part_nodes: int = PART_NODES)
         )
     )
     sorted_runs = spread.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
-    return sorted_runs.mapInArrow(lambda batches: _links(batches, radius), "u long, v long").distinct()
+    return sorted_runs.mapInArrow(lambda batches: _links(batches, radius, tables), "u long, v long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -293,16 +335,37 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
     return prints.join(classes(prints, radius), "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each component: the one of smallest id, of rows that share it the one whose text
-    has the smallest hash. All columns as they came."""
+def _rooted(codes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(fp, root): the component of each code, itself if it has no edge."""
+    roots = components(edges).withColumnRenamed("v", "fp")
+    return codes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def similar(prints: DataFrame, radius: int, check_radius: int) -> DataFrame:
+    """(fp, fp2, group, group2) of the distinct pairs of fingerprints of ``prints``: documents are near duplicates if
+    they agree in both groups."""
+    pairs = settle(prints.select("fp", "fp2").distinct())
+    codes = pairs.select("fp").distinct()
+    first = _rooted(codes, links(codes, radius)).withColumnRenamed("root", "group")
+    grouped = settle(pairs.join(first, "fp"))
+    seconds = grouped.select(F.col("fp2").alias("fp"), F.col("group").alias("bucket")).distinct()
+    # Within one group of the first, compared as a bucket of its own.
+    edges = links_within(seconds, check_radius, tables=False)
+    second = _rooted(seconds.select("fp").distinct(), edges).toDF("fp2", "group2")
+    return settle(grouped.join(second, "fp2").select("fp", "fp2", "group", "group2"))
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, check_radius: int | None = None) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the one of smallest id, of rows that share it the one
+    whose text has the smallest hash. With a ``check_radius`` groups are those of ``similar``, else the components.
+    All columns as they came."""
     keyed = with_row_key(docs)
     chosen = [F.col("doc_id").cast("long").alias("doc_id"), *ROW_KEY]
-    prints = settle(fingerprints(keyed, words, chosen))
-    named = prints.join(classes(prints, radius), "fp")
+    prints = settle(fingerprints(keyed, words, chosen, second=True))
+    alike = similar(prints, radius, 64 if check_radius is None else check_radius)
+    named = prints.join(alike, ["fp", "fp2"])
     winner = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", *ROW_KEY))
-    # A component without any id is known by its fingerprints alone; all of them form one class.
-    best = named.groupBy(F.coalesce(F.col("component_id").cast("string"), F.lit("-"))).agg(winner.alias("best"))
+    best = named.groupBy("group", "group2").agg(winner.alias("best"))
     same = prints.groupBy(*ROW_KEY).agg((F.count(F.lit(1)) > 1).alias("__repeated"))
     staying = best.select(*[F.col(f"best.{k}").alias(k) for k in ROW_KEY]).join(same, list(ROW_KEY))
     return one_row_per_key(keyed.join(staying, list(ROW_KEY)), columns_of(docs), "__repeated")

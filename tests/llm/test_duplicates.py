@@ -147,6 +147,33 @@ def test_one_of_each(docs, nothing):
     assert simhash.one_of_each(nothing).count() == 0
 
 
+def test_looser_copies_go_and_chance_hits_stay(spark):
+    """Groups are what both fingerprints link; texts that share nothing stay."""
+    draw = np.random.default_rng(9)
+    rows, n = [], 0
+    for _ in range(40):
+        words = [f"w{x}" for x in draw.integers(0, 10**9, 150)]
+        for _ in range(3):
+            rows.append((n, " ".join(words)))
+            n += 1
+            words = list(words)
+            for at in draw.choice(150, 2, replace=False):
+                words[at] = f"x{draw.integers(10**9)}"
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = [simhash.fingerprint_pair(t, 5) for _, t in rows]
+    mask = 2**64 - 1
+    first = reachable([a & mask for a, _ in prints], 8)
+    want, seen = [], {}
+    for i, group in enumerate(first):
+        same = [j for j in range(len(rows)) if first[j] == group]
+        second = reachable([prints[j][1] & mask for j in same], 16)
+        want.append((group, second[same.index(i)]))
+        seen.setdefault(want[-1], i)
+    kept = {r.doc_id for r in simhash.one_of_each(df, 5, 8, 16).collect()}
+    assert kept == set(seen.values())
+    assert len(kept) < 100 and all(any(3 * k <= i < 3 * k + 3 for i in kept) for k in range(40))
+
+
 VECTORS = [(i, [float(x) for x in row]) for i, row in enumerate(np.random.default_rng(2).normal(0, 0.2, (500, 8)))]
 ODD = [(1000, None), (1100, []), (1200, [float("nan")] * 8), (1300, [None] * 8), (None, [0.5] * 8), (200, VECTORS[200][1]), (1400, [1.0, 2.0])]
 
