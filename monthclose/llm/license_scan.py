@@ -1,7 +1,10 @@
 """License scan as an exact set-similarity join. Built-in functions only.
 
-Every line of a text, and every window of ``WINDOW_LINES`` lines, is a block; a block belongs to a template if it
-holds at least ``THRESHOLD`` of the template's distinct words. Words are ordered by how many documents hold them,
+Every line of a text, every window of ``WINDOW_LINES`` lines taken every ``WINDOW_STEP``, and windows of the text's word
+sequence whatever its lines are blocks; a block belongs to a template if it holds at least ``THRESHOLD`` of the
+template's distinct words. For a template of span t (its words and a quarter more, up to the next power of two) there is
+a window of 2 t words every t words, so every stretch of up to t + 1 words lies in one, over however many lines it is
+spread. A stretch of more words is found only if it lies in a line, a window of lines or by chance of its place. Words are ordered by how many documents hold them,
 rarest first. With a template of t words of which a = ceil(THRESHOLD * t) must be met, only the first t - a + 1
 words of the template and the first |block| - a + 1 of the block can be the first they share (prefix), the block
 needs a words (length), and what follows the shared word must still suffice (position). Pairs that pass are
@@ -56,6 +59,12 @@ def _set(text: str) -> frozenset[str]:
     return frozenset("".join(c if c.isalnum() else " " for c in text.lower()).split())
 
 
+def _span(text: str) -> int:
+    """Words a notice after this template may take: a power of two."""
+    n = len("".join(c if c.isalnum() else " " for c in text).split())
+    return 1 << max(0, math.ceil(1.25 * n) - 1).bit_length()
+
+
 def _key() -> Column:
     return F.xxhash64("doc_id", "text", F.col("text").isNull())
 
@@ -103,10 +112,10 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) ->
         need = math.ceil(threshold * len(words) - 1e-9)
         ranked = sorted(words, key=rank.get)
         for place, word in enumerate(ranked[: len(words) - need + 1]):
-            prefixes.append((word, number, label, place, len(words), need, ranked))
+            prefixes.append((word, number, label, place, len(words), need, ranked, _span(templates[number][1])))
             first_words.add(word)
     wanted = spark.createDataFrame(
-        prefixes, "word string, template int, label string, place int, t int, need int, members array<string>"
+        prefixes, "word string, template int, label string, place int, t int, need int, members array<string>, reach int"
     )
     least = min(math.ceil(threshold * len(s) - 1e-9) for _, s in sets)
     ordered = F.array(*[F.lit(w) for w in order])
@@ -118,15 +127,29 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES) ->
         f"CASE WHEN size(lines) > 1 THEN transform(sequence(0, size(lines) - 1, {WINDOW_STEP}),"
         f" i -> concat_ws('\n', slice(lines, i + 1, {WINDOW_LINES}))) ELSE array() END"
     )
+    by_lines = lines.select("key", F.lit(0).alias("span"), F.explode(F.concat("lines", windows)).alias("block")).select(
+        "key", "span", words_of(F.col("block")).alias("words")
+    )
+    stretches = ", ".join(
+        f"transform(sequence(0, size(words) - 1, {t}), i -> struct({t} AS span, slice(words, i + 1, {2 * t}) AS words))"
+        for t in sorted({_span(text) for _, text in templates})
+    )
+    by_words = (
+        gated.select(_key().alias("key"), words_of(text_or_empty()).alias("words"))
+        .where(F.size("words") > 0)
+        .select("key", F.explode(F.expr(f"concat({stretches})")).alias("block"))
+        .select("key", "block.span", "block.words")
+    )
     blocks = (
-        lines.select("key", F.explode(F.concat("lines", windows)).alias("block"))
-        .select("key", F.array_intersect(ordered, words_of(F.col("block"))).alias("held"))  # rarest first
+        by_lines.union(by_words)
+        .select("key", "span", F.array_intersect(ordered, F.col("words")).alias("held"))  # rarest first
         .where(F.size("held") >= least)
     )
     pairs = (
-        blocks.select("key", "held", F.size("held").alias("b"), F.posexplode("held").alias("at", "word"))
+        blocks.select("key", "span", "held", F.size("held").alias("b"), F.posexplode("held").alias("at", "word"))
         .where(F.col("at") <= F.col("b") - least)
         .join(F.broadcast(wanted), "word")  # one row per prefix word of the templates
+        .where("span IN (0, reach)")
         .where("b >= need AND at <= b - need AND least(t - 1 - place, b - 1 - at) + 1 >= need - least(place, at)")
     )
     verified = pairs.withColumn("shared", F.size(F.array_intersect("held", "members"))).where("shared >= need")
