@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -79,6 +79,19 @@ def crc_share(key: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+_STATE: dict = {}
+
+
+def worker_state(name: str, value, make: Callable):
+    """``make(value)``, kept by this worker until another name or value is asked for. One slot for all operators: a
+    worker that Spark uses again in a later stage holds nothing of the earlier ones."""
+    key = (name, value)
+    if key not in _STATE:
+        _STATE.clear()
+        _STATE[key] = make(value)
+    return _STATE[key]
+
+
 def numbers(column: pa.Array | pa.ChunkedArray, dtype=np.int64) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(dtype, copy=False)
 
@@ -115,3 +128,12 @@ def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tup
         ends = np.append(starts[1:], batch.num_rows)
         for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
             yield tuple(int(c[a]) for c in columns), batch.slice(a, b - a)
+
+
+def whole_numbers(column: pa.Array, scale: int) -> np.ndarray:
+    """floor(scale * x) of the components x of vectors, as a matrix; all are of one length, without nulls."""
+    width = len(column[0]) if len(column) else 0
+    scaled = np.floor(numbers(column.flatten(), np.float64).reshape(len(column), width) * scale)
+    if scaled.size and np.abs(scaled).max() >= 2.0**62:
+        raise OverflowError("a vector's component does not fit a 64-bit whole number")
+    return scaled.astype(np.int64)

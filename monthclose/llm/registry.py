@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthclose.llm import (
+    byte_bpe,
+    clustering,
     exact_dedup,
+    hard_negatives,
     language,
     license_scan,
     line_quality,
@@ -81,6 +84,29 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    vectors = hard_negatives.usable(table(spark, sf_dir, "embeddings"), label)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = clustering.cluster(clustering.usable(table(spark, sf_dir, "embeddings")))
+    listed = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.withColumn("centroid_sha256", F.sha2(listed.cast("binary"), 256)).drop("centroid")
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 EXACT_DEDUP_SQL = """
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -109,6 +135,77 @@ FROM s
 QUALIFY rank <= 10
 """
 
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id
+  WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+            AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+def _centroids_sql(k: int, rounds: int) -> str:
+    """Each round is a step of its own; vectors and centroids are one row per component."""
+    steps = [
+        """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings WHERE len(embedding) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS cluster, v AS c
+  FROM v QUALIFY cluster < """
+        + str(k)
+        + "\n)"
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, v, cluster, CAST(d AS BIGINT) AS distance FROM (
+    SELECT vec_id, v, cluster, list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c) AS d
+    FROM v, c{r})
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) = 1
+)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(n.c, c.c) AS c
+  FROM c{r} c LEFT JOIN (
+    SELECT cluster, list(m ORDER BY i) AS c FROM (
+      SELECT cluster, i, floor(sum(x) / count(*)) AS m
+      FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY cluster, i)
+    GROUP BY cluster) n USING (cluster)
+)"""
+            )
+    return (
+        ",\n".join(steps)
+        + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)
+"""
+    )
+
+
+CENTROIDS_SQL = _centroids_sql(clustering.CENTROIDS, clustering.ROUNDS)
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_line_quality": op2_line_quality,
@@ -120,9 +217,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_k": op8_top_k,
     "op9_license_scan": op9_license_scan,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_centroids": op12_centroids,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
-SQL: dict[str, str] = {"op8_top_k": TOP_K_SQL, "op10_exact_dedup": EXACT_DEDUP_SQL}
+SQL: dict[str, str] = {
+    "op8_top_k": TOP_K_SQL,
+    "op10_exact_dedup": EXACT_DEDUP_SQL,
+    "op11_hard_negatives": HARD_NEGATIVES_SQL,
+    "op12_centroids": CENTROIDS_SQL,
+}
 
 
 def _shipped(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
