@@ -33,9 +33,9 @@ from pyspark.sql import DataFrame
 from monthclose.llm.common import utf8, worker_state
 
 #: Code points scanned at a time, and texts' bytes of one output batch (one text at least).
-STRETCH, OUT_BYTES = 1 << 19, 4 << 20
+STRETCH, OUT_BYTES = 1 << 18, 1 << 20
 #: Pre-tokens a worker remembers (a full cache is emptied), and the longest one remembered, in bytes.
-CACHE_ENTRIES, CACHE_BYTES = 300_000, 48
+CACHE_ENTRIES, CACHE_BYTES = 200_000, 48
 #: Pre-tokens up to so many bytes are merged without a heap.
 SHORT_BYTES = 40
 NO_RANK = 1 << 40
