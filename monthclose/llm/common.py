@@ -22,12 +22,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors see, as the cluster names it. A local session may do without: it has one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="checkpoint-")
+    return named
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read from there: no lineage, survives lost executors."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -53,25 +67,28 @@ def columns_of(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
-def with_row_key(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Two 64-bit hashes of id and text; rows that agree in both columns share it, null and '' differ."""
-    absent = F.col(text).isNull()
-    return df.withColumns(
+def carried(df: DataFrame) -> DataFrame:
+    """All columns of ``df`` as one column ``row``, so that none can share a name with what is computed beside them;
+    ``select("row.*")`` gives them back as they were."""
+    return df.select(F.struct(*columns_of(df)).alias("row"))
+
+
+def with_row_key(rows: DataFrame) -> DataFrame:
+    """``rows`` (row) plus two 64-bit hashes of doc_id and text; rows that agree in both columns share them, null and
+    '' differ."""
+    key, text, absent = F.col("row.doc_id"), F.col("row.text"), F.col("row.text").isNull()
+    return rows.withColumns(
         {ROW_KEY[0]: F.xxhash64(key, text, absent), ROW_KEY[1]: F.xxhash64(absent, text, key, F.lit(1))}
     )
 
 
-def one_row_per_key(df: DataFrame, columns: Sequence[Column], repeated: str) -> DataFrame:
-    """``columns`` of ``df`` (with a row key), reduced to one row per row key. Only rows flagged ``repeated`` are
-    grouped, after a map-side combine; all others pass as they are."""
-    alone = df.where(~F.col(repeated)).select(*columns)
-    alike = (
-        df.where(F.col(repeated))
-        .groupBy(*ROW_KEY)
-        .agg(F.first(F.struct(*columns)).alias("__row"))
-        .select("__row.*")
-    )
-    return alone.unionByName(alike)
+def one_row_per_key(rows: DataFrame, staying: DataFrame) -> DataFrame:
+    """The rows (row, with their key) whose key is in ``staying`` (the key, n: how many rows share it), one for each
+    key. Only keys of several rows are grouped, after a map-side combine; all others pass as they are."""
+    kept = rows.join(staying, list(ROW_KEY))
+    alone = kept.where("n = 1").select("row")
+    alike = kept.where("n > 1").groupBy(*ROW_KEY).agg(F.first("row").alias("row")).select("row")
+    return alone.unionByName(alike).select("row.*")
 
 
 def crc_share(key: str, modulus: int) -> Column:

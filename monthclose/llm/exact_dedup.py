@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from monthclose.llm.common import (
     ROW_KEY,
     WHITE,
-    columns_of,
+    carried,
     numbers,
     one_row_per_key,
     raw_bytes,
@@ -220,19 +220,19 @@ def repeated_digests(rows: DataFrame) -> DataFrame:
 
 
 def dedup_rows(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows that repeat another's text; all columns as they came."""
-    keyed = with_row_key(docs)
+    """``docs`` without the rows that repeat another's text; all columns as they came, whatever their names."""
+    keyed = with_row_key(carried(docs))
     narrow = settle(
         keyed.select(
             F.monotonically_increasing_id().alias("row"),
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.length(text_or_empty()).cast("long").alias("n_chars"),
-            digest_of().alias("digest"),
+            F.col("row.doc_id").cast("long").alias("doc_id"),
+            F.length(text_or_empty("row.text")).cast("long").alias("n_chars"),
+            digest_of("row.text").alias("digest"),
             *ROW_KEY,
         )
     )
     rows = narrow.select(*DIGEST_COLUMNS)
     kept = exact_dedup(rows, repeated_digests(rows)).where("kept").select("row")
-    same = narrow.groupBy(*ROW_KEY).agg((F.count(F.lit(1)) > 1).alias("__repeated"))
+    same = narrow.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("n"))
     staying = narrow.join(kept, "row").select(*ROW_KEY).join(same, list(ROW_KEY))
-    return one_row_per_key(keyed.join(staying, list(ROW_KEY)), columns_of(docs), "__repeated")
+    return one_row_per_key(keyed, staying)

@@ -20,10 +20,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import columns_of, crc_share
+from monthclose.llm.common import carried, crc_share
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -145,16 +145,14 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts = [grams(text) for text in batch.column(1).to_pylist()]
-        at = [np.flatnonzero(c) for c in counts]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array([a.astype("<i4").tobytes() for a in at], pa.binary()),
-                pa.array([c[a].astype("<i4").tobytes() for a, c in zip(at, counts, strict=True)], pa.binary()),
-            ],
-            names=["lang", "at", "n"],
-        )
+        places, counts = [], []
+        for text in batch.column(1).to_pylist():
+            count = grams(text)  # dense, so one at a time
+            at = np.flatnonzero(count)
+            places.append(at.astype("<i4").tobytes())
+            counts.append(count[at].astype("<i4").tobytes())
+        arrays = [batch.column(0), pa.array(places, pa.binary()), pa.array(counts, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, names=["lang", "at", "n"])
 
 
 def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
@@ -189,16 +187,24 @@ def hash_of(data: bytes) -> int:
     return zlib.crc32(data)
 
 
-def with_language(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` plus the predicted language and its probability, from the text alone."""
+def predictions(model: Model, docs: DataFrame, text: str) -> Column:
+    """A struct of lang and score for each row of ``docs``, from its column ``text`` alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x labels floats
 
-    @F.pandas_udf(f"{lang} string, {score} double")
+    @F.pandas_udf("lang string, score double")
     def predicted(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=[lang, score])
+        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang", "score"])
 
-    found = docs.withColumn("__language", predicted("text"))
-    return found.select(*columns_of(docs), F.col(f"__language.{lang}"), F.col(f"__language.{score}"))
+    return predicted(text)
+
+
+def of_known_language(docs: DataFrame, model: Model, least_score: float) -> DataFrame:
+    """The rows of ``docs`` whose language the model tells with ``least_score`` or more; all columns as they came.
+    A model without labels lets every row stay."""
+    rows = carried(docs)
+    found = rows.withColumn("found", predictions(model, rows, "row.text"))
+    known = (F.col("found.lang") != UNKNOWN) & (F.col("found.score") >= least_score)
+    return found.where(known | F.lit(not model.labels)).select("row.*")
 
 
 def trainable(docs: DataFrame) -> DataFrame:
@@ -209,4 +215,5 @@ def languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; learnt from the rows that are not held out."""
     model = train(trainable(docs), sample_docs)
     asked = docs.select("doc_id", "text", (crc_share("doc_id", 4) == 2).alias("held_out"))
-    return with_language(asked, model).select("doc_id", "held_out", "lang_pred", "score")
+    found = asked.withColumn("found", predictions(model, asked, "text"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")

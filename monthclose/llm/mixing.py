@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import WORD, columns_of, settle, text_or_empty
+from monthclose.llm.common import WORD, carried, settle, text_or_empty
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -42,10 +42,12 @@ def size_of(text: str = "text") -> Column:
     return F.regexp_count(text_or_empty(text), F.lit(WORD)).cast("long")
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` plus size, part and a hash that orders the documents of a class."""
-    draw = F.xxhash64("doc_id", "text", F.lit(6))
-    return docs.withColumns({"__size": size_of(), "__draw": draw, "__part": F.pmod(draw, F.lit(PARTS)).cast("int")})
+def measured(rows: DataFrame) -> DataFrame:
+    """``rows`` (row) plus source, size, part and a hash that orders the documents of a class."""
+    draw = F.xxhash64("row.doc_id", "row.text", F.lit(6))
+    source = F.col("row.source").cast("string")
+    part = F.pmod(draw, F.lit(PARTS)).cast("int")
+    return rows.withColumns({"source": source, "size": size_of("row.text"), "part": part, "draw": draw})
 
 
 def classes_of(sizes: DataFrame) -> DataFrame:
@@ -190,15 +192,8 @@ def copy_plan(sizes: DataFrame, classes: DataFrame, solved: DataFrame, limit: in
 
 def balanced(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, limit: int = LIMIT):
     """The plan of ``copy_plan`` for ``docs``, the sizes it was made from, and the solved sources."""
-    sizes = settle(
-        measured(docs.select("doc_id", "source", "text")).select(
-            "doc_id",
-            F.col("source").cast("string").alias("source"),
-            F.col("__size").alias("size"),
-            F.col("__part").alias("part"),
-            F.col("__draw").alias("draw"),
-        )
-    )
+    rows = measured(carried(docs.select("doc_id", "source", "text")))
+    sizes = settle(rows.select(F.col("row.doc_id").alias("doc_id"), *CLASS, "draw"))
     classes = classes_of(sizes)
     solved = tilts(classes, targets(classes, weights, share, limit), limit)
     return copy_plan(sizes, classes, solved, limit), sizes, solved
@@ -227,14 +222,11 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
 
 def mixed_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, limit: int = LIMIT):
-    """``docs`` with every row repeated as often as the mix takes it; all columns as they came."""
+    """``docs`` with every row repeated as often as the mix takes it; all columns as they came, whatever their names."""
     plan, _, _ = balanced(docs, weights, share, limit)
-    plan = plan.select(F.col("source").alias("__s"), F.col("size").alias("__z"), F.col("part").alias("__p"), F.col("base").alias("__base"), F.col("last_draw").alias("__last"))
-    rows = measured(docs)
-    joined = rows.join(
-        plan,
-        rows.source.cast("string").eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__z")) & (F.col("__part") == F.col("__p")),
-    )
-    copies = copies_of(F.col("__base"), F.col("__last"), F.col("__draw")).cast("int")
-    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest(copies, F.lit(1)))))
-    return repeated.where(copies > 0).select(*columns_of(docs))
+    plan = plan.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("part").alias("p"), "base", "last_draw")
+    rows = measured(carried(docs))
+    same = rows.source.eqNullSafe(F.col("s")) & (rows["size"] == F.col("z")) & (rows.part == F.col("p"))
+    copies = copies_of(F.col("base"), F.col("last_draw"), F.col("draw")).cast("int")
+    taken = rows.join(plan, same).withColumn("copies", copies).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

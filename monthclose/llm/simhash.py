@@ -6,15 +6,12 @@ a document's component is the smallest id that can be reached over links.
 
 Equal fingerprints are one node. The 64 bits are cut into ``radius + 2`` blocks; two fingerprints within the radius
 agree in at least two whole blocks, so nodes are dealt out once per pair of blocks, keyed by the bits of that pair,
-and every link is met in some bucket. A bucket is sorted by Gray rank and indexed as a tree: nodes above hold the
-bits all their codes agree in, nodes below only what is left, and a search adds up differences on its way down and
-leaves a whole group as soon as they exceed the radius. A bucket of many nodes (near copies of one text) is cut
-into parts, and each pair of parts is a task of its own; a task hands on a spanning forest of its links, not all
-pairs. Components come from star contraction over these edges.
-
-For a stage that is to find looser copies there is ``similar``: a wider radius, whose chance hits are ruled out by a
-second fingerprint from independent hashes of the same shingles. Within a component of the first, documents stay
-together if the second ones link within ``check_radius``.
+and every link is met in some bucket. All buckets of a task form one index: sorted by bucket and Gray rank, a forest
+whose upper nodes hold the bits all their codes agree in and whose lower nodes only what is left. Every search goes
+down from the top of its bucket, adds up differences on the way and leaves a whole group as soon as they exceed the
+radius; there is no other way to a link. A bucket of many nodes (near copies of one text) is cut into parts, and each
+pair of parts is a task of its own; a task hands on a spanning forest of such a bucket's links, not all pairs.
+Components come from star contraction over these edges.
 
 Null and empty texts, and texts of white space, have fingerprint zero and are linked like any other. Null ids lose
 against any other id. Repeated rows share a component. An empty table gives an empty result.
@@ -31,19 +28,23 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import ROW_KEY, columns_of, numbers, one_row_per_key, runs, settle, with_row_key
+from monthclose.llm.common import ROW_KEY, carried, numbers, one_row_per_key, runs, settle, with_row_key
 
 WORDS, RADIUS, SEED = 4, 4, 42
 #: Nodes of a bucket that one task compares with each other; larger buckets are cut into parts.
 PART_NODES = 4_096
-#: Runs up to this length are compared directly, longer ones through the tree.
-SHORT_RUN = 48
-LEAF, FAN = 32, 8
+#: Codes under a leaf, nodes under an inner node; shingles that vote, codes that search, and codes held, at a time.
+LEAF, FAN = 8, 4
+VOTES, SEARCHES, HELD = 1 << 16, 1 << 16, 1 << 17
+#: Of runs of more codes (often near copies of one text) a spanning forest is handed on, of smaller ones every link.
+DENSE = 48
 
 
 def _vote(hashes: np.ndarray) -> int:
     """Majority of each bit of big-endian hashes, as a signed 64-bit number."""
-    votes = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    votes = np.zeros(64, np.int64)
+    for a in range(0, len(hashes), VOTES):
+        votes += np.unpackbits(hashes[a : a + VOTES].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int(np.packbits(votes * 2 > len(hashes)).view(">i8")[0])
 
 
@@ -68,34 +69,18 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return _vote(hashes) if len(hashes) else 0
 
 
-def fingerprint_pair(text: str | None, words: int = WORDS) -> tuple[int, int]:
-    """The fingerprint, and a second one from the same hashes mixed once more."""
-    hashes = _shingle_hashes(text, words)
-    if not len(hashes):
-        return 0, 0
-    with np.errstate(over="ignore"):
-        x = (hashes.astype(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x = x ^ (x >> np.uint64(31))
-    return _vote(hashes), _vote(x.astype(">u8"))
-
-
-def fingerprints(docs: DataFrame, words: int = WORDS, columns: list | None = None, second: bool = False) -> DataFrame:
-    """``columns`` (doc_id) and fp of every row, and fp2 if a ``second`` one is wanted; whole texts are read where
-    they lie."""
-    columns = columns or [F.col("doc_id").cast("long").alias("doc_id")]
-    chosen = docs.select(*columns, "text")
-    names = ["fp", "fp2"] if second else ["fp"]
+def fingerprints(docs: DataFrame, words: int = WORDS, columns: list | None = None) -> DataFrame:
+    """``columns`` (doc_id) and fp of every row; whole texts are read where they lie."""
+    chosen = docs.select(*(columns or [F.col("doc_id").cast("long").alias("doc_id")]), F.col("text").alias("text"))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            prints = [fingerprint_pair(t, words) if second else (fingerprint(t, words),) for t in texts]
-            added = [pa.array([p[i] for p in prints], pa.int64()) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], names=[*batch.schema.names[:-1], *names])
+            prints = [fingerprint(t, words) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            arrays = [*batch.columns[:-1], pa.array(prints, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[:-1], "fp"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
-    return chosen.mapInArrow(mapped, f"{kinds}, " + ", ".join(f"{n} long" for n in names))
+    return chosen.mapInArrow(mapped, f"{kinds}, fp long")
 
 
 def _blocks(radius: int) -> list[tuple[int, int]]:
@@ -127,43 +112,57 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
 
 
 class GrayIndex:
-    """Codes in Gray order under a tree of nodes that hold the bits all codes below agree in."""
-
-    def __init__(self, codes: np.ndarray):
-        self.codes = codes[np.argsort(gray_rank(codes), kind="stable")]
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []  # (pattern, mask) from the leaves upwards
-        size, low, high = LEAF, self.codes, self.codes
-        while True:
-            at = np.arange(0, len(low), size)
-            low, high = np.bitwise_and.reduceat(low, at), np.bitwise_or.reduceat(high, at)
-            self.levels.append((low, ~(low ^ high)))
-            if len(low) <= FAN:
-                break
+    """Codes by run (bucket) and Gray rank, under a forest of nodes that hold the bits all codes below agree in.
+
+    ``levels`` go from the leaves upwards: (pattern, mask, place of the first child and behind the last one)."""
+
+    def __init__(self, codes: np.ndarray, run: np.ndarray | None = None):
+        run = np.zeros(len(codes), np.int64) if run is None else run
+        order = np.lexsort((gray_rank(codes), run))
+        self.codes, self.run = codes[order], run[order]
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.visited = 0
+        low, high, owner, size = self.codes, self.codes, self.run, LEAF
+        while len(low) and (not self.levels or (owner[FAN:] == owner[:-FAN]).any()):
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            place = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
+            at = np.flatnonzero(place % size == 0)
+            low, high, owner = np.bitwise_and.reduceat(low, at), np.bitwise_or.reduceat(high, at), owner[at]
+            self.levels.append((low, ~(low ^ high), np.append(at, len(place))))
             size = FAN
-
-    def near(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query number, place of the code) of all pairs within the radius."""
-        top, mask = self.levels[-1]
-        query = np.repeat(np.arange(len(queries)), len(top))
-        node = np.tile(np.arange(len(top)), len(queries))
-        apart = np.bitwise_count((queries[query] ^ top[node]) & mask[node]).astype(np.int16)
-        keep = apart <= radius
-        query, node, apart = query[keep], node[keep], apart[keep]
-        for level in range(len(self.levels) - 2, -2, -1):
-            fan = FAN if level >= 0 else LEAF
-            pattern, mask = self.levels[level] if level >= 0 else (self.codes, np.full(len(self.codes), ~np.uint64(0)))
-            above = self.levels[level + 1][1]
-            child = (node[:, None] * fan + np.arange(fan)).ravel()
-            query, apart, parent = np.repeat(query, fan), np.repeat(apart, fan), np.repeat(node, fan)
-            there = child < len(pattern)
-            child, query, apart, parent = child[there], query[there], apart[there], parent[there]
-            # Bits shared further up are counted already.
-            apart = apart + np.bitwise_count((queries[query] ^ pattern[child]) & mask[child] & ~above[parent])
+        self.top = owner
+
+    def near(self, queries: np.ndarray, radius: int, run: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(query number, place of the code) of all pairs of one run within the radius."""
+        run = np.zeros(len(queries), np.int64) if run is None else run
+        begin, end = np.searchsorted(self.top, run), np.searchsorted(self.top, run, "right")
+        query, node = _spread(begin, end)
+        apart = np.zeros(len(query), np.int64)
+        above = np.zeros(len(query), np.uint64)  # bits counted already
+        for level in range(len(self.levels) - 1, -2, -1):
+            if level >= 0:
+                pattern, mask, edges = self.levels[level]
+                shared = mask[node]
+            else:
+                pattern, shared = self.codes, ~np.uint64(0)
+            self.visited += len(node) if level >= 0 else 0
+            apart = apart + np.bitwise_count((queries[query] ^ pattern[node]) & shared & ~above)
             keep = apart <= radius
-            query, node, apart = query[keep], child[keep], apart[keep]
+            query, node, apart = query[keep], node[keep], apart[keep]
+            if level >= 0:
+                above = shared[keep]
+                parent, child = _spread(edges[node], edges[node + 1])
+                query, apart, above, node = query[parent], apart[parent], above[parent], child
         return query, node
 
 
+def _spread(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, x) for every i and every x from begin[i] to before end[i]."""
+    count = end - begin
+    owner = np.repeat(np.arange(len(count)), count)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count) + begin[owner]
+
+
 def _roots(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Smallest member of each member's component."""
     root = np.arange(n)
@@ -200,10 +199,10 @@ def _forest(codes: np.ndarray, others: np.ndarray | None, radius: int) -> tuple[
     return every[root[member]], every[member]
 
 
-def _links(batches: Iterator[pa.RecordBatch], radius: int, tables: bool = True) -> Iterator[pa.RecordBatch]:
-    """Sorted by (bucket, a, b): edges of each run. Short runs are compared across many runs at once. ``tables``: the
-    buckets are those of ``buckets``, in several of which a link can be met."""
-    blocks = _blocks(radius) if tables else []
+def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """Sorted by (bucket, a, b): edges of each run. Runs of one task are searched together."""
+    blocks = _blocks(radius)
+    # By which blocks two codes agree in: the first table in whose buckets they meet.
     first = np.full(1 << len(blocks), -1)
     for number, (i, j) in reversed(list(enumerate(combinations(range(len(blocks)), 2)))):
         agreeing = np.arange(len(first))
@@ -213,27 +212,23 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int, tables: bool = True)
         a, b = a.view(np.int64), b.view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["u", "v"])
 
-    def short(codes: np.ndarray, run: np.ndarray, number: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for step in range(1, SHORT_RUN):
-            same = np.flatnonzero(run[step:] == run[:-step])
-            if not len(same):
-                return
-            differ = codes[same] ^ codes[same + step]
-            near = np.bitwise_count(differ) <= radius
-            same, differ = same[near], differ[near]
-            if not tables:
-                if len(same):
-                    yield edges(codes[same], codes[same + step])
-                continue
-            agreeing = np.zeros(len(same), np.int64)
-            for place, (at, width) in enumerate(blocks):
-                free = (differ >> np.uint64(at)) & np.uint64((1 << width) - 1) == 0
-                agreeing |= free.astype(np.int64) << place
-            same = same[first[agreeing] == number[same]]  # a link is handed on by the first table it is met in
-            if len(same):
-                yield edges(codes[same], codes[same + step])
-
-    held: list[tuple[np.ndarray, int]] = []
+    def together(codes: np.ndarray, run: np.ndarray, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Every link of many runs, handed on by the first table it is met in."""
+        index = GrayIndex(codes, run)
+        for at in range(0, len(codes), SEARCHES):
+            asking = index.codes[at : at + SEARCHES]
+            query, place = index.near(asking, radius, index.run[at : at + SEARCHES])
+            once = query + at < place
+            query, place = query[once], place[once]
+            differ, agreeing = asking[query] ^ index.codes[place], np.zeros(len(query), np.int64)
+            for number, (bit, width) in enumerate(blocks):
+                free = (differ >> np.uint64(bit)) & np.uint64((1 << width) - 1) == 0
+                agreeing |= free.astype(np.int64) << number
+            mine = first[agreeing] == table[index.run[place]]
+            yield edges(asking[query[mine]], index.codes[place[mine]])
+
+    held: list[np.ndarray] = []
+    tables: list[int] = []
     held_rows, here, parts = 0, None, []
 
     def close() -> Iterator[pa.RecordBatch]:
@@ -242,30 +237,29 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int, tables: bool = True)
             return
         codes = np.concatenate([p[0] for p in parts]).view(np.uint64)
         left = np.concatenate([p[1] for p in parts])
-        _, a, b = here
+        bucket, a, b = here
         if a != b:
             if left.any() and not left.all():
                 yield edges(*_forest(codes[left], codes[~left], radius))
-        elif len(codes) > SHORT_RUN:
+        elif len(codes) > DENSE:
             yield edges(*_forest(codes, None, radius))
         elif len(codes) > 1:
-            held.append((codes, here[0]))
+            held.append(codes)
+            tables.append(bucket % 4096)
             held_rows += len(codes)
 
     def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal held, held_rows
+        nonlocal held, held_rows, tables
         if held:
-            codes = np.concatenate([c for c, _ in held])
-            run = np.repeat(np.arange(len(held)), [len(c) for c, _ in held])
-            number = np.repeat(np.array([b % 4096 for _, b in held]), [len(c) for c, _ in held])
-            yield from short(codes, run, number)
-        held, held_rows = [], 0
+            run = np.repeat(np.arange(len(held)), [len(c) for c in held])
+            yield from together(np.concatenate(held), run, np.array(tables))
+        held, tables, held_rows = [], [], 0
 
     for key, rows in runs(batches, ("bucket", "a", "b")):
         if key != here:
             yield from close()
             here, parts = key, []
-            if held_rows > 100_000:
+            if held_rows > HELD:
                 yield from flush()
         parts.append((numbers(rows.column("fp")), rows.column("left").to_numpy(zero_copy_only=False)))
     yield from close()
@@ -274,11 +268,7 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int, tables: bool = True)
 
 def links(nodes: DataFrame, radius: int = RADIUS, part_nodes: int = PART_NODES) -> DataFrame:
     """(u, v), u < v: edges that connect exactly what links within the radius connect."""
-    return links_within(buckets(nodes, radius), radius, part_nodes)
-
-
-def links_within(dealt: DataFrame, radius: int, part_nodes: int = PART_NODES, tables: bool = True) -> DataFrame:
-    """The edges of ``links`` among the codes of each bucket of ``dealt`` (fp, bucket)."""
+    dealt = buckets(nodes, radius)
     sizes = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     large = settle(sizes.where(F.col("n") > part_nodes).select("bucket", F.ceil(F.col("n") / part_nodes).cast("int").alias("parts")))
     cut = dealt.join(large, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
@@ -295,7 +285,7 @@ def links_within(dealt: DataFrame, radius: int, part_nodes: int = PART_NODES, ta
         )
     )
     sorted_runs = spread.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b")
-    return sorted_runs.mapInArrow(lambda batches: _links(batches, radius, tables), "u long, v long").distinct()
+    return sorted_runs.mapInArrow(lambda batches: _links(batches, radius), "u long, v long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -320,13 +310,17 @@ def components(edges: DataFrame) -> DataFrame:
         before = mark
 
 
+def rooted(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``nodes`` (distinct fp and whatever else) plus the root of each one's component."""
+    roots = settle(components(links(nodes.select("fp"), radius)))
+    return nodes.join(roots.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, component_id) of every distinct fingerprint of ``prints`` (doc_id, fp)."""
-    nodes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = settle(components(links(nodes, radius)))
-    rooted = nodes.join(roots.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(named, "root").select("fp", "component_id")
+    nodes = rooted(settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least"))), radius)
+    named = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
+    return nodes.join(named, "root").select("fp", "component_id")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
@@ -335,37 +329,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
     return prints.join(classes(prints, radius), "fp").select("doc_id", "fp", "component_id")
 
 
-def _rooted(codes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(fp, root): the component of each code, itself if it has no edge."""
-    roots = components(edges).withColumnRenamed("v", "fp")
-    return codes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
-
-
-def similar(prints: DataFrame, radius: int, check_radius: int) -> DataFrame:
-    """(fp, fp2, group, group2) of the distinct pairs of fingerprints of ``prints``: documents are near duplicates if
-    they agree in both groups."""
-    pairs = settle(prints.select("fp", "fp2").distinct())
-    codes = pairs.select("fp").distinct()
-    first = _rooted(codes, links(codes, radius)).withColumnRenamed("root", "group")
-    grouped = settle(pairs.join(first, "fp"))
-    seconds = grouped.select(F.col("fp2").alias("fp"), F.col("group").alias("bucket")).distinct()
-    # Within one group of the first, compared as a bucket of its own.
-    edges = links_within(seconds, check_radius, tables=False)
-    second = _rooted(seconds.select("fp").distinct(), edges).toDF("fp2", "group2")
-    return settle(grouped.join(second, "fp2").select("fp", "fp2", "group", "group2"))
-
-
-def one_of_each(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, check_radius: int | None = None) -> DataFrame:
-    """``docs`` with one row of each group of near duplicates: the one of smallest id, of rows that share it the one
-    whose text has the smallest hash. With a ``check_radius`` groups are those of ``similar``, else the components.
-    All columns as they came."""
-    keyed = with_row_key(docs)
-    chosen = [F.col("doc_id").cast("long").alias("doc_id"), *ROW_KEY]
-    prints = settle(fingerprints(keyed, words, chosen, second=True))
-    alike = similar(prints, radius, 64 if check_radius is None else check_radius)
-    named = prints.join(alike, ["fp", "fp2"])
-    winner = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", *ROW_KEY))
-    best = named.groupBy("group", "group2").agg(winner.alias("best"))
-    same = prints.groupBy(*ROW_KEY).agg((F.count(F.lit(1)) > 1).alias("__repeated"))
-    staying = best.select(*[F.col(f"best.{k}").alias(k) for k in ROW_KEY]).join(same, list(ROW_KEY))
-    return one_row_per_key(keyed.join(staying, list(ROW_KEY)), columns_of(docs), "__repeated")
+def one_of_each(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each component: the one of smallest id, of rows that share it the one whose id and
+    text have the smallest hash, of equal ones any. All columns as they came, whatever their names."""
+    keyed = with_row_key(carried(docs))
+    chosen = [F.col("row.doc_id").cast("long").alias("doc_id"), *ROW_KEY]
+    prints = settle(fingerprints(keyed.select("*", "row.text"), words, chosen))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", *ROW_KEY))
+    nodes = rooted(settle(prints.groupBy("fp").agg(first.alias("first"))), radius)
+    best = nodes.groupBy("root").agg(F.min("first").alias("first")).select(*[F.col(f"first.{k}") for k in ROW_KEY])
+    same = prints.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return one_row_per_key(keyed, best.join(same, list(ROW_KEY)))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import utf8
+from monthclose.llm.common import utf8, worker_state
 from monthclose.llm.tokens import CACHE_ENTRIES, CACHE_LENGTH
 
 LIMIT = 4096
@@ -98,17 +98,14 @@ class _Lengths(dict):
         return total
 
 
-_LENGTHS: dict[int, _Lengths] = {}
+def _lengths(shared: tuple[bytes, str, bytes]) -> _Lengths:
+    model, words, lengths = shared
+    frequent = dict(zip(words.split(" "), np.frombuffer(lengths, np.uint16).tolist(), strict=True)) if words else {}
+    return _Lengths(model, frequent)
 
 
 def _counted(batches: Iterator[pa.RecordBatch], shared, limit: int) -> Iterator[pa.RecordBatch]:
-    model, words, lengths = shared.value
-    name = hash((model, words))
-    if name not in _LENGTHS:
-        _LENGTHS.clear()
-        frequent = dict(zip(words.split(" "), np.frombuffer(lengths, np.uint16).tolist(), strict=True)) if words else {}
-        _LENGTHS[name] = _Lengths(model, frequent)
-    count = _LENGTHS[name].count
+    count = worker_state("token_counts", shared.value, _lengths).count
     for batch in batches:
         n_bytes = pa.array(np.diff(utf8(batch.column(1))[1]), pa.int64())
         tokens = np.array([count(t) for t in batch.column(1).to_pylist()], np.int64)

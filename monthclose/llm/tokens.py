@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import base64
-import hashlib
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cache
 from pathlib import Path
 
 import public_tokenizers
 
+from monthclose.llm.common import worker_state
+
 #: Pre-tokens a worker remembers; a full cache is emptied.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000
 #: Longer pre-tokens are encoded each time.
 CACHE_LENGTH = 48
 
@@ -54,27 +57,29 @@ class _PieceIds(dict):
         return ids
 
 
-_LOADED: dict[str, Callable[[str], bytes]] = {}
-
-
 def byte_bpe(vocabulary: Vocabulary) -> Callable[[str], bytes]:
     """A function from text to ids as the tokenizer of ``vocabulary`` gives them, without added special tokens.
 
-    Texts that name a special token go to the tokenizer as they are; all others are cut into words, most of which
-    the worker has seen before.
+    Texts that name a special token go to the tokenizer as they are (it is loaded for the first of them); all others
+    are cut into words, most of which the worker has seen before. The worker keeps it until it does something else.
     """
-    name = hashlib.sha256(vocabulary.tokenizer + vocabulary.ranks).hexdigest()
-    if name in _LOADED:
-        return _LOADED[name]
+    return worker_state("tokens", vocabulary, _encoder)
+
+
+def _encoder(vocabulary: Vocabulary) -> Callable[[str], bytes]:
     import numpy as np
     import tiktoken
-    import tokenizers
 
-    whole = tokenizers.Tokenizer.from_buffer(vocabulary.tokenizer)
-    special = [t.content for t in whole.get_added_tokens_decoder().values()]
+    special = [t["content"] for t in json.loads(vocabulary.tokenizer)["added_tokens"]]
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.ranks.splitlines())}
     fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cache
+    def whole():
+        import tokenizers
+
+        return tokenizers.Tokenizer.from_buffer(vocabulary.tokenizer)
+
     def plain(text: str) -> bytes:
         return np.array(fast.encode_ordinary(text), "<u4").tobytes()
 
@@ -84,7 +89,7 @@ def byte_bpe(vocabulary: Vocabulary) -> Callable[[str], bytes]:
     def encode(text: str) -> bytes:
         for name in special:
             if name in text:
-                return np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                return np.array(whole().encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         first, space, rest = text.partition(" ")
         if not space or not first or first[-1].isspace():
             return plain(text)
@@ -93,5 +98,4 @@ def byte_bpe(vocabulary: Vocabulary) -> Callable[[str], bytes]:
         except _Together:
             return plain(text)
 
-    _LOADED[name] = encode
     return encode

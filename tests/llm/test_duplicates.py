@@ -1,5 +1,6 @@
 """Exact and near duplicates, and the top-k search, against brute force."""
 
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -147,31 +148,66 @@ def test_one_of_each(docs, nothing):
     assert simhash.one_of_each(nothing).count() == 0
 
 
-def test_looser_copies_go_and_chance_hits_stay(spark):
-    """Groups are what both fingerprints link; texts that share nothing stay."""
-    draw = np.random.default_rng(9)
-    rows, n = [], 0
-    for _ in range(40):
-        words = [f"w{x}" for x in draw.integers(0, 10**9, 150)]
-        for _ in range(3):
-            rows.append((n, " ".join(words)))
-            n += 1
-            words = list(words)
-            for at in draw.choice(150, 2, replace=False):
-                words[at] = f"x{draw.integers(10**9)}"
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    prints = [simhash.fingerprint_pair(t, 5) for _, t in rows]
-    mask = 2**64 - 1
-    first = reachable([a & mask for a, _ in prints], 8)
-    want, seen = [], {}
-    for i, group in enumerate(first):
-        same = [j for j in range(len(rows)) if first[j] == group]
-        second = reachable([prints[j][1] & mask for j in same], 16)
-        want.append((group, second[same.index(i)]))
-        seen.setdefault(want[-1], i)
-    kept = {r.doc_id for r in simhash.one_of_each(df, 5, 8, 16).collect()}
-    assert kept == set(seen.values())
-    assert len(kept) < 100 and all(any(3 * k <= i < 3 * k + 3 for i in kept) for k in range(40))
+@pytest.mark.parametrize("n", [0, 1, 5, 400])
+def test_gray_index_over_many_runs(n):
+    draw = np.random.default_rng(n)
+    codes, run = draw.integers(0, 2**12, n).astype(np.uint64), draw.integers(0, 1 + n // 9, n)
+    index = simhash.GrayIndex(codes, run)
+    query, place = index.near(codes, 2, run)
+    found = Counter((int(run[q]), int(codes[q]), int(index.codes[p])) for q, p in zip(query, place, strict=True))
+    assert all(run[q] == index.run[p] for q, p in zip(query, place, strict=True))
+    assert found == Counter(
+        (int(run[i]), int(codes[i]), int(codes[j]))
+        for i in range(n)
+        for j in range(n)
+        if run[i] == run[j] and int(codes[i] ^ codes[j]).bit_count() <= 2
+    )
+
+
+def test_upper_nodes_prune_groups():
+    draw = np.random.default_rng(8)
+    heads = draw.integers(0, 2**51, 64) << 12  # groups that share all but twelve bits
+    codes = np.unique((draw.choice(heads, 4096) + draw.integers(0, 2**12, 4096)).astype(np.uint64))
+    index = simhash.GrayIndex(codes)
+    index.near(codes[:100], 4)
+    assert 0 < index.visited < 0.5 * 100 * sum(len(level[0]) for level in index.levels)
+
+
+def test_links_of_driver_documents_come_from_the_tree(spark, monkeypatch):
+    """Each link that is handed on was found by a search that went down through nodes of the index."""
+    path = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001") + "/documents.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no driver tables")
+    nodes = simhash.fingerprints(spark.read.parquet(path)).select("fp").distinct()
+    dealt = simhash.buckets(nodes).selectExpr("bucket", "0 AS a", "0 AS b", "true AS left", "fp").orderBy("bucket")
+    visited, near = [], simhash.GrayIndex.near
+
+    def counted(index, *args):
+        before = index.visited
+        found = near(index, *args)
+        visited.append((index.visited - before, len(found[0])))
+        return found
+
+    monkeypatch.setattr(simhash.GrayIndex, "near", counted)
+    edges = [b for b in simhash._links(iter(dealt.toArrow().to_batches()), 4) if b.num_rows]
+    assert edges and visited and all(nodes_seen > 0 for nodes_seen, hits in visited if hits)
+    monkeypatch.undo()
+    codes = [r.fp for r in nodes.collect()]
+    place = {c: i for i, c in enumerate(sorted(codes))}
+    root = np.arange(len(codes))
+    for batch in edges:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            x, y = root[place[u]], root[place[v]]
+            root[root == max(x, y)] = min(x, y)
+    assert root.tolist() == reachable([c & (2**64 - 1) for c in sorted(codes)], 4)
+
+
+def test_votes_in_blocks(monkeypatch):
+    text = " ".join(f"w{n % 37}" for n in range(500))
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "VOTES", 7)
+    assert simhash.fingerprint(text) == whole
+    assert whole & (2**64 - 1) == fingerprint(text, 4)
 
 
 VECTORS = [(i, [float(x) for x in row]) for i, row in enumerate(np.random.default_rng(2).normal(0, 0.2, (500, 8)))]

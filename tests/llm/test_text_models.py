@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from monthclose.llm import language, line_quality, mixing, packing, token_counts, tokens
 
@@ -213,3 +214,41 @@ def test_pipeline_stages(spark, docs, nothing, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, "")
     assert empty.count() == 0
+
+
+INNER = ["row", "found", "__size", "__copy", "__key_a", "__repeated", "__lang", "size", "part", "draw", "copies", "n", "fp", "s"]
+
+
+def test_stages_leave_columns_with_inner_names_alone(spark, docs):
+    """Extra columns named as those a stage computes come back with their values."""
+    import corpus_pipeline
+
+    extra = docs.select("doc_id", "text", "lang", "source", *[F.concat(F.lit(f"{c} "), "key").alias(c) for c in INNER])
+    before = {tuple(r) for r in extra.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, extra, "")
+        assert out.columns == extra.columns, name
+        after = [tuple(r) for r in out.collect()]
+        assert after and set(after) <= before, name
+    assert corpus_pipeline.STAGES[-1][1](spark, extra, "").count() >= len(before)
+
+
+def test_near_copy_stage_keeps_one_of_each_component(spark, docs):
+    import corpus_pipeline
+    from monthclose.llm import simhash
+
+    named = simhash.near_duplicates(docs).collect()
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sorted(r.doc_id or -1 for r in kept) == sorted({r.component_id or -1 for r in named})
+
+
+def test_pipeline_removes_what_it_no_longer_needs(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    rows = [(i, f"plain text number {i} with some more words " * (1 + i % 3), "en", "a") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "shared_folder", lambda spark: f"{tmp_path}/shared")
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.count() > 0
+    (folder,) = (tmp_path / "shared").iterdir()
+    assert {p.name for p in folder.iterdir()} == {"mix"}
