@@ -6,28 +6,21 @@ written as Parquet and read again. All but the last return the columns of the do
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from monthclose.llm import exact_dedup, language, mixing, near_copies, packing
-from monthclose.llm.common import columns_of, ship_package, table
+from monthclose.llm import exact_dedup, language, mixing, packing, simhash
+from monthclose.llm.common import remove_folder, shared_folder, ship_package, table
 
 #: A text whose most likely language is less likely than this is rejected, besides those without any letter.
 LEAST_LANGUAGE_SCORE = 0.3
-#: Near duplicates share at least so much of the union of their shingles of five words.
-SHINGLE_WORDS, LEAST_SHARED = 5, 0.8
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter, or of no language the model knows, go. A null text goes too."""
     ship_package(spark)
-    model = language.train(language.trainable(docs))
-    found = language.with_language(docs, model, "__lang", "__score")
-    known = (F.col("__lang") != language.UNKNOWN) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)
-    return found.where(known | F.lit(not model.labels)).select(*columns_of(docs))
+    return language.of_known_language(docs, language.train(language.trainable(docs)), LEAST_LANGUAGE_SCORE)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +30,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one of smallest id."""
+    """One document of each component of near fingerprints stays, the one of smallest id."""
     ship_package(spark)
-    return near_copies.one_of_each(docs, SHINGLE_WORDS, LEAST_SHARED)
+    return simhash.one_of_each(docs, simhash.WORDS, simhash.RADIUS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,11 +61,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage for the documents of ``sf_dir``. What a stage keeps is written to the shared
-    checkpoint folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4()}"
-    docs = table(spark, sf_dir, "documents")
+    checkpoint folder, and removed once the next one's is there; the last one's stays, for the rows are read from it."""
+    folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4()}"
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove_folder(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
