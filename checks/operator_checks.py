@@ -611,7 +611,8 @@ def signals_of_txns(s):
         sms_outcome(s["sms_executions"], s["sms_execution_log"], s["sms_execution_steps"], ORDERS),
         ORDERS.skew,
     )
-    return flagged.select("transaction_uuid", "product_account_uuid", *_SIGNALS, "n_fraud_rows")
+    rows = F.col("n_fraud_rows").cast("long").alias("n_fraud_rows")
+    return flagged.select("transaction_uuid", "product_account_uuid", *_SIGNALS, rows)
 
 
 @check(

@@ -11,7 +11,8 @@ from monthclose import fixed_values as fv
 from monthclose.functions.dates import day_distance, day_literal
 from monthclose.operators.dedup import first_event
 from monthclose.operators.joins import any_key_join, near_day_join
-from monthclose.operators.skew import filter_by_key, left_join
+from monthclose.operators.skew import left_join
+from monthclose.operators.tagged import united
 from monthclose.params import ReportParams, SkewPolicy
 
 N_ALL = "n_all"
@@ -43,12 +44,13 @@ def cancel_tally(cards: DataFrame, txns: DataFrame, policy: SkewPolicy, days: in
     per_day = (
         canceled_cards(cards)
         .where(F.col("card_uuid").isNotNull())
-        .select("card_uuid", observed.alias("observed"), reason_is_fraud.cast("bigint").alias("fraud"))
-        .groupBy("card_uuid", "observed")
-        .agg(F.count(F.lit(1)).alias(N_ALL), F.sum("fraud").alias(N_FRAUD))
-        .withColumn("day", F.explode(F.sequence(F.date_sub("observed", days), F.col("observed"))))
+        .select(
+            "card_uuid",
+            reason_is_fraud.cast("bigint").alias("fraud"),
+            F.explode(F.sequence(F.date_sub(observed, days), observed)).alias("day"),
+        )
         .groupBy("card_uuid", "day")
-        .agg(F.sum(N_ALL).alias(N_ALL), F.sum(N_FRAUD).alias(N_FRAUD))
+        .agg(F.count(F.lit(1)).alias(N_ALL), F.sum("fraud").alias(N_FRAUD))
     )
     dated = txns.select("transaction_uuid", "card_uuid", F.to_date("created_at_est").alias("day"))
     return (
@@ -113,91 +115,83 @@ def dispute_tally(
 
     ``auths`` are the transaction rows to look at as authorisations, all if not given.
 
-    The log is counted per transaction first: all entries, those granted to the borrower, and of these the
-    ones naming unauthorized use. With x the entries of a dispute and its posted transaction and E those of the
-    authorisation, a chain row counts max(x + E, 1). Over the n disputes of an original id that is
-    sum(x) + n * E, plus one for each x of 0 if E is 0: one row of sums per original id is all an authorisation
-    meets. Where the authorisation is itself the posted or disputing transaction, its entries are in x already;
-    those rows are counted per (original id, transaction) and taken off.
+    The log is counted per transaction: all entries, those granted to the borrower, and of these the ones naming
+    unauthorized use. With x the entries of a dispute and its posted transaction and e those of the authorisation, a
+    chain row counts max(x + e, 1), which is x + e, and one more if both are 0. Over the n disputes of an original id
+    that is sum(x) + n * e, plus the number of disputes without entries if e is 0. All of it is linear but for e, so
+    sums per original id go to the authorisations that name it, and there meet the authorisation's own log entries
+    in one grouping (:func:`united`). Where the authorisation is itself the posted or disputing transaction, its
+    entries are in x already; such disputes are taken off n again.
+
+    An original id hands out its sums, and each of its disputes and posted transactions what is to be taken off, in one
+    table keyed by (original id, whom it is for); an authorisation asks there twice, for all and for itself.
     """
-    granted = (F.col("workflow_stage") == fv.STAGE_RESOLUTION) & (
-        F.col("billing_error_status_resolution") == fv.RESOLVED_FOR_BORROWER
-    )
-    unauthorized = F.upper("reason_for_dispute").like(fv.REASON_UNAUTHORIZED_PATTERN)
-    parts = ("entries", "granted", "unauthorized")
-    entries = (
-        log.where(F.col("transaction_uuid").isNotNull())
-        .groupBy("transaction_uuid")
-        .agg(
-            F.count(F.lit(1)).alias("entries"),
-            F.count_if(granted).alias("granted"),
-            F.count_if(granted & unauthorized).alias("unauthorized"),
-        )
-    )
-    disputes = txns.where(F.col("transaction_type") == fv.TYPE_DISPUTE).select(
+    entry = _log_measures(log)
+    entries = united([(log, entry)], ["id"])
+    disputes = txns.where((F.col("transaction_type") == fv.TYPE_DISPUTE) & F.col("source_transaction_id").isNotNull()).select(
         F.col("source_transaction_id").alias("posted"),
         F.col("transaction_uuid").alias("dispute"),
         F.coalesce(F.col("dispute_reason") == fv.DISPUTE_FRAUDULENT, F.lit(False)).alias("fraudulent"),
     )
-    rows = disputes.where(F.col("posted").isNotNull())
-    for key in ("dispute", "posted"):
-        of_key = entries.withColumnsRenamed({"transaction_uuid": key, **{p: f"{p}_{key}" for p in parts}})
-        rows = left_join(rows, of_key, [key], policy)
+    own = entries.select(F.col("id").alias("dispute"), *[F.col(c).alias(f"{c}_dispute") for c in _LOG_MEASURES])
+    theirs = entries.select(F.col("id").alias("posted"), *[F.col(c).alias(f"{c}_posted") for c in _LOG_MEASURES])
+    posted = txns.select(F.col("transaction_uuid").alias("posted"), F.col("original_id").alias("original")).dropna()
+    # The second join is on the key of the first and needs no further exchange of these rows.
+    rows = left_join(disputes, own, ["dispute"], policy).join(posted, "posted").join(theirs, "posted", "left")
 
     def of_both(part: str) -> Column:
         """Counts of the dispute and the posted transaction, once if they are the same."""
-        of_posted = F.when(F.col("posted").eqNullSafe(F.col("dispute")), 0).otherwise(F.coalesce(f"{part}_posted", F.lit(0)))
-        return F.coalesce(f"{part}_dispute", F.lit(0)) + of_posted
+        again = F.when(F.col("posted").eqNullSafe(F.col("dispute")), 0).otherwise(F.coalesce(f"{part}_posted", F.lit(0)))
+        return F.coalesce(f"{part}_dispute", F.lit(0)) + again
+
+    def told(whom: Column, kind: int, n: int, x: Column, silent: Column, signals: Column) -> Column:
+        fraudulent = F.col("fraudulent").cast("bigint") * n
+        values = {"kind": F.lit(kind), "whom": whom, "n": F.lit(n).cast("bigint"), "n_f": fraudulent}
+        values |= {"x": x, "n_silent": silent, "signals": signals}
+        return F.struct(*[value.alias(name) for name, value in values.items()])
 
+    x, none = of_both("entries"), F.lit(0).cast("bigint")
     signal = F.when(F.col("fraudulent"), of_both("granted")).otherwise(of_both("unauthorized"))
-    per_pair = rows.groupBy("posted", "dispute").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if("fraudulent").alias("n_f"),
-        F.sum(of_both("entries")).alias("x"),
-        F.count_if(of_both("entries") == 0).alias("n_silent"),
-        F.sum(signal).alias("signals"),
-    )
-    sums = ("n", "n_f", "x", "n_silent", "signals")
-    per_posted = per_pair.groupBy("posted").agg(*[F.sum(c).alias(c) for c in sums])
-    # Of the whole history, the posted transactions some dispute names.
-    posted = txns.select(F.col("transaction_uuid").alias("posted"), "original_id").where(F.col("original_id").isNotNull())
-    named = filter_by_key(posted, disputes, ["posted"], policy).groupBy("posted", "original_id").agg(
-        F.count(F.lit(1)).alias("m")
+    messages = F.array(
+        told(F.lit(""), _FOR_ALL, 1, x, (x == 0).cast("bigint"), signal),
+        told(F.col("posted"), _FOR_ITSELF, -1, none, none, none),
+        told(F.when(F.col("dispute") != F.col("posted"), F.col("dispute")), _FOR_ITSELF, -1, none, none, none),
     )
-    times = named.join(per_posted, "posted").select("original_id", "posted", *[(F.col(c) * F.col("m")).alias(c) for c in sums])
-    per_original = times.groupBy("original_id").agg(*[F.sum(c).alias(c) for c in sums])
-    own_dispute = (
-        per_pair.where(F.col("dispute") != F.col("posted"))
-        .join(named, "posted")
-        .select("original_id", "dispute", F.col("n") * F.col("m"), F.col("n_f") * F.col("m"))
-    )
-    itself = (
-        times.select("original_id", "posted", "n", "n_f")
-        .union(own_dispute)
-        .toDF("original_id", "auth", "n_same", "n_f_same")
-        .groupBy("original_id", "auth")
-        .agg(F.sum("n_same").alias("n_same"), F.sum("n_f_same").alias("n_f_same"))
-    )
-    auth = (
+    handed = rows.select("original", F.inline(messages))
+    keys = ["original", "kind", "whom"]
+    sums = united([(handed, {c: F.col(c) for c in (*keys, *_CHAIN_MEASURES)})], keys)
+    asking = (
         (txns if auths is None else auths)
-        .select(F.col("source_transaction_id").alias("original_id"), F.col("transaction_uuid").alias("auth"))
-        .where(F.col("auth").isNotNull())
-        .join(per_original, "original_id")
+        .select(F.col("source_transaction_id").alias("original"), F.col("transaction_uuid").alias("id"))
+        .dropna()
     )
-    logged = left_join(auth, entries.withColumnRenamed("transaction_uuid", "auth"), ["auth"], policy)
-    whole = left_join(logged, itself, ["original_id", "auth"], policy)
-    own = {p: F.coalesce(p, F.lit(0)) for p in parts}
-    n = F.col("n") - F.coalesce("n_same", F.lit(0))
-    n_f = F.col("n_f") - F.coalesce("n_f_same", F.lit(0))
-    return (
-        whole.select(
-            F.col("auth").alias("transaction_uuid"),
-            (F.col("x") + n * own["entries"] + F.when(own["entries"] == 0, F.col("n_silent")).otherwise(0)).alias(N_ALL),
-            (F.col("signals") + n_f * own["granted"] + (n - n_f) * own["unauthorized"]).alias(N_FRAUD),
-        )
-        .groupBy("transaction_uuid")
-        .agg(F.sum(N_ALL).alias(N_ALL), F.sum(N_FRAUD).alias(N_FRAUD))
+    for_all = F.struct(F.lit(_FOR_ALL).alias("kind"), F.lit("").alias("whom"))
+    for_itself = F.struct(F.lit(_FOR_ITSELF).alias("kind"), F.col("id").alias("whom"))
+    asked = asking.select("original", "id", F.inline(F.array(for_all, for_itself)))
+    answered = left_join(asked, sums, keys, policy).where(F.col("n").isNotNull())
+    # Entries of ids that no dispute leads to come along and are dropped: they have no answer.
+    met = united([(answered, {c: F.col(c) for c in ("id", *_CHAIN_MEASURES)}), (log, entry)], ["id"]).where("n IS NOT NULL")
+    e, granted, unauthorized = (F.coalesce(c, F.lit(0)) for c in _LOG_MEASURES)
+    return met.select(
+        F.col("id").alias("transaction_uuid"),
+        (F.col("x") + F.col("n") * e + F.when(e == 0, F.col("n_silent")).otherwise(0)).alias(N_ALL),
+        (F.col("signals") + F.col("n_f") * granted + (F.col("n") - F.col("n_f")) * unauthorized).alias(N_FRAUD),
+    )
+
+
+_LOG_MEASURES = ("entries", "granted", "unauthorized")
+_CHAIN_MEASURES = ("n", "n_f", "x", "n_silent", "signals")
+_FOR_ALL, _FOR_ITSELF = 0, 1
+
+
+def _log_measures(log: DataFrame) -> dict[str, Column]:
+    """What an entry of the disputes log adds to its transaction's counts."""
+    granted = (F.col("workflow_stage") == fv.STAGE_RESOLUTION) & (
+        F.col("billing_error_status_resolution") == fv.RESOLVED_FOR_BORROWER
     )
+    unauthorized = granted & F.upper("reason_for_dispute").like(fv.REASON_UNAUTHORIZED_PATTERN)
+    count = {"entries": F.lit(True), "granted": granted, "unauthorized": unauthorized}
+    return {"id": F.col("transaction_uuid")} | {c: F.coalesce(p, F.lit(False)).cast("bigint") for c, p in count.items()}
 
 
 def sms_outcome(executions: DataFrame, log: DataFrame, steps: DataFrame, params: ReportParams) -> DataFrame:
@@ -304,24 +298,21 @@ def fraud_signals(
         "product_account_uuid",
     )
     replies = tally(sms, "source_uuid", F.col("is_fraud_sms"), "source_transaction_id")
-    # Both joins on the transaction id, which is never hot, share an exchange. Accounts may be hot, and most
-    # transactions have no source transaction.
-    sides = {
-        "dispute": (disputes, "transaction_uuid"),
-        "card": (reissues, "transaction_uuid"),
-        "status": (latest, "product_account_uuid"),
-        "sms": (replies, "source_transaction_id"),
-    }
-    joined = txns
-    for name, (counts, key) in sides.items():
+    # Both sides of the transaction id meet in one grouping. Accounts may be hot, and most transactions have no source
+    # transaction.
+    def side(name: str, counts: DataFrame, key: str) -> tuple[DataFrame, dict[str, Column]]:
+        return counts, {key: F.col(key), f"{name}_rows": F.col(N_ALL), f"{name}_fraud": F.col(N_FRAUD)}
+
+    sides = ("dispute", "card", "status", "sms")
+    of_txn = united([side("dispute", disputes, "transaction_uuid"), side("card", reissues, "transaction_uuid")], ["transaction_uuid"])
+    joined = left_join(txns, of_txn, ["transaction_uuid"], policy)
+    for name, counts, key in (("status", latest, "product_account_uuid"), ("sms", replies, "source_transaction_id")):
         renamed = counts.withColumnsRenamed({N_ALL: f"{name}_rows", N_FRAUD: f"{name}_fraud"})
-        if key == "transaction_uuid":
-            joined = joined.join(renamed, key, "left")
-        else:
-            joined = left_join(joined, renamed, [key], policy)
+        joined = left_join(joined, renamed, [key], policy)
 
     def product(columns: list[Column]) -> Column:
-        return reduce(lambda a, b: a * b, columns)
+        """Exact up to 38 digits; a larger one raises an error or, if ANSI mode is off, is null."""
+        return reduce(lambda a, b: (a * b).cast("decimal(38,0)"), [c.cast("decimal(38,0)") for c in columns])
 
     rejected = F.coalesce(
         ~F.col("purchase_auth_rejection_reason").isin(*fv.REJECTIONS_BY_FRAUD_RULES), F.lit(False)
@@ -334,5 +325,5 @@ def fraud_signals(
         *txns.columns,
         rejected.alias("auth_signal"),
         *[(fraud_rows[n] > 0).alias(f"{n}_signal") for n in sides],
-        F.when(rejected, every_row).otherwise(every_row - silent_rows).alias("n_fraud_rows"),
+        F.when(rejected, every_row).otherwise(every_row - silent_rows).cast("decimal(38,0)").alias("n_fraud_rows"),
     ).withColumn("is_fraud", F.col("n_fraud_rows") > 0)

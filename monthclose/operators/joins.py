@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthclose import fixed_values as fv
 from monthclose.operators.skew import left_join
+from monthclose.operators.tagged import united
 from monthclose.params import SkewPolicy
 
 _TUPLE = "__tuple"
@@ -70,42 +71,61 @@ def interval_in_force(
     end: str,
     values: Sequence[str],
     policy: SkewPolicy,
+    segment: str = "month",
 ) -> DataFrame:
     """``facts`` plus ``values`` of the interval with ``start <= at < end`` (null ``end`` = open).
 
     Where several intervals cover a fact, the one ending last wins, then the one starting last, then the
     largest values; a fact covered by none gets nulls. One row out per fact.
 
-    Distinct starts and distinct times of facts are laid on one time line per key, and a running maximum of
-    (end, start, values) over the intervals started so far yields the winner: if the last-ending one has expired,
-    so have all others. Intervals of equal start, and facts of equal time, are combined map-side first, so the
-    time line of a hot key is as long as it has distinct times. The facts themselves meet the line by an equi join
-    on (key, time), which can be split, instead of being compared with every interval of their key.
+    Starts and times of facts are laid on one time line per key, and a running maximum of (end, start, values) over
+    the intervals started so far yields the winner: if the last-ending one has expired, so have all others. Equal
+    starts, and equal times of facts, are combined map-side first.
+
+    The line is cut into segments of time (``segment``, as ``date_trunc`` names it) and the maximum taken in two
+    passes. The first gives each segment its own maximum, and a running maximum over a key's segments, one row each,
+    what is carried into the next. The second scans every segment by itself, the carried maximum in front. So a key
+    that holds a third of all rows, all at distinct times, is spread over as many tasks as it has segments. The facts
+    themselves meet the line by an equi join on (key, time), which can be split, instead of being compared with
+    every interval of their key.
     """
-    kind, best, time, open_end = "__kind", "__best", "__time", "__end"
-    interval_kind, fact_kind = 1, 2
-
-    started = (
-        intervals.where(F.col(start).isNotNull() & F.col(key).isNotNull())
-        .select(
-            F.col(key),
-            F.lit(interval_kind).alias(kind),
-            F.col(start).alias(time),
-            F.struct(
-                F.coalesce(F.col(end), F.lit(fv.OPEN_END).cast("timestamp_ntz")).alias(open_end),
-                F.col(start).alias("__start"),
-                *[F.col(v) for v in values],
-            ).alias(best),
-        )
-        .groupBy(key, kind, time)
-        .agg(F.max(best).alias(best))
+    part, kind, best, time, open_end = "__segment", "__kind", "__best", "__time", "__end"
+    carried_kind, interval_kind, fact_kind = 0, 1, 2
+
+    def segment_of(at: Column) -> Column:
+        return F.date_trunc(segment, at).cast("date")
+
+    winner = F.struct(
+        F.coalesce(F.col(end), F.lit(fv.OPEN_END).cast("timestamp_ntz")).alias(open_end),
+        F.col(start).alias("__start"),
+        *[F.col(v) for v in values],
+    )
+    started = {key: F.col(key), part: segment_of(F.col(start)), kind: F.lit(interval_kind), time: F.col(start), best: winner}
+    asked = {key: F.col(key), part: segment_of(F.col(at)), kind: F.lit(fact_kind), time: F.col(at)}
+
+    def without_time(columns: dict[str, Column]) -> dict[str, Column]:
+        return {name: column for name, column in columns.items() if name not in (time, kind)}
+
+    has_fact = "__has_fact"
+    segments = united(
+        [(intervals, without_time(started)), (facts, without_time(asked) | {has_fact: F.lit(True)})], [key, part], F.max
+    )
+    before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        segments.withColumn(best, F.max(best).over(before))
+        .where(F.col(has_fact) & F.col(best).isNotNull())
+        .select(key, part, F.lit(carried_kind).alias(kind), best)
+    )
+    line = united([(intervals, started), (facts, asked)], [key, part, kind, time], F.max)
+    # What is carried has no time and comes first; at equal times intervals come before facts.
+    running = (
+        Window.partitionBy(key, part)
+        .orderBy(F.col(time).asc_nulls_first(), kind)
+        .rowsBetween(Window.unboundedPreceding, 0)
     )
-    asked = facts.select(key, F.lit(fact_kind).alias(kind), F.col(at).alias(time)).dropna().distinct()
-    line = asked.unionByName(started, allowMissingColumns=True)
-    # At equal times intervals come before facts.
-    running = Window.partitionBy(key).orderBy(time, kind).rowsBetween(Window.unboundedPreceding, 0)
     winners = (
-        line.withColumn(best, F.max(best).over(running))
+        line.unionByName(carried, allowMissingColumns=True)
+        .withColumn(best, F.max(best).over(running))
         .where(F.col(kind) == fact_kind)
         .select(key, F.col(time).alias(at), best)
     )

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from monthclose import fixed_values as fv
 from monthclose.functions.dates import local_date
 from monthclose.functions.text import blank_to_null
-from monthclose.operators.skew import filter_by_key, left_join
+from monthclose.operators.skew import left_join
+from monthclose.operators.tagged import united
 from monthclose.params import ReportParams
 
 
@@ -45,24 +46,20 @@ def merged_pairs(tickets: DataFrame) -> DataFrame:
 def merged_resolution(tickets: DataFrame, all_tickets: DataFrame, history: DataFrame, params: ReportParams) -> DataFrame:
     """``tickets`` plus ``solve_date``: own solve date, else the latest one among the tickets absorbed.
 
-    Absorbed tickets are looked up in ``all_tickets``. Only the pairs of ``tickets`` are followed, and solve dates
-    are worked out for these tickets and the ones they absorbed alone, from their whole history.
+    Absorbed tickets are looked up in ``all_tickets``. The history is reduced to one row per ticket map-side, before
+    anything of it is shuffled. Own dates and those found through merges meet in one grouping by ticket, so
+    ``tickets`` are joined once; rows of tickets that are not asked for go in that join.
     """
-    pairs = filter_by_key(merged_pairs(all_tickets), tickets, ["ticket_id"], params.skew).select(
-        "ticket_id", "merged_ticket_id"
-    )
-    needed = tickets.select("ticket_id").union(pairs.select("merged_ticket_id"))
-    solved = latest_solve_dates(filter_by_key(history, needed, ["ticket_id"], params.skew), params)
+    solved = latest_solve_dates(history, params)
     of_merged = solved.withColumnsRenamed({"ticket_id": "merged_ticket_id", "solve_date": "merged_solve_date"})
-    through_merge = (
-        left_join(pairs, of_merged, ["merged_ticket_id"], params.skew)
-        .where(F.col("merged_solve_date").isNotNull())
-        .groupBy("ticket_id")
-        .agg(F.max("merged_solve_date").alias("merged_solve_date"))
-    )
-    own = solved.withColumnRenamed("solve_date", "own_solve_date")
-    return (
-        left_join(left_join(tickets, own, ["ticket_id"], params.skew), through_merge, ["ticket_id"], params.skew)
-        .withColumn("solve_date", F.coalesce("own_solve_date", "merged_solve_date"))
-        .drop("own_solve_date", "merged_solve_date")
-    )
+    pairs = merged_pairs(all_tickets).select("ticket_id", "merged_ticket_id")
+    through_merge = left_join(pairs, of_merged, ["merged_ticket_id"], params.skew)
+    dates = united(
+        [
+            (solved, {"ticket_id": F.col("ticket_id"), "own_date": F.col("solve_date")}),
+            (through_merge, {"ticket_id": F.col("ticket_id"), "merged_date": F.col("merged_solve_date")}),
+        ],
+        ["ticket_id"],
+        F.max,
+    ).select("ticket_id", F.coalesce("own_date", "merged_date").alias("solve_date"))
+    return left_join(tickets, dates, ["ticket_id"], params.skew)
