@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,45 +18,54 @@ def _rows(figures: DataFrame, lines: Sequence[tuple[str, Column]]) -> DataFrame:
     return figures.select(F.inline(F.array(*pairs)))
 
 
+def fold_flags(df: DataFrame, key: str, flags: Mapping[str, Column], *measures: Column) -> DataFrame:
+    """One row per ``key``: whether any of its rows shows each flag, and ``measures`` over them.
+
+    Counting distinct keys under several conditions then is counting rows: predicates become bits, the bits of a key
+    are or-ed map-side, and no row is expanded into one copy per condition. A null key shows no flag."""
+    bits = [F.when(flag & F.col(key).isNotNull(), 1 << n).otherwise(0) for n, flag in enumerate(flags.values())]
+    folded = df.withColumn(_BITS, reduce(lambda a, b: a.bitwiseOR(b), bits))
+    seen = folded.groupBy(key).agg(F.bit_or(_BITS).alias(_BITS), *measures)
+    shown = [(F.col(_BITS).bitwiseAND(1 << n) != 0).alias(name) for n, name in enumerate(flags)]
+    return seen.select(*[c for c in seen.columns if c != _BITS], *shown)
+
+
+_BITS = "__bits"
+
+
 def call_funnel(calls: DataFrame, distinct_wait: bool = True) -> DataFrame:
     """Calls offered, handled, abandoned and outbound, mean wait and mean handle time.
 
-    The four counts share one distinct column and differ in a boolean only, so they need one expanded
-    copy of the rows and not four. The mean wait is over *distinct* wait times unless told otherwise;
-    handle time has its own filter (inbound, talk time above zero) and skips calls with a null part.
+    The four counts come from one fold by call; sums behind the means ride along. The mean wait is over *distinct* wait
+    times unless told otherwise, which takes a grouping by wait of its own; handle time has its own filter (inbound,
+    talk time above zero) and skips calls with a null part.
     """
-    handle_time = (
-        F.col("call_talk_time_seconds") + F.col("call_hold_time_seconds") + F.col("call_wrap_up_time_seconds")
-    )
-    flagged = calls.select(
-        "call_id",
-        "call_wait_time_seconds",
-        inbound_agent_call().alias("offered"),
-        handled_call().alias("handled"),
-        abandoned_call().alias("abandoned"),
-        (F.col("call_direction") == "outbound").alias("outbound"),
-        F.when(is_inbound() & (F.col("call_talk_time_seconds") > 0), handle_time).alias("handle_time"),
-    )
-    distinct = "DISTINCT" if distinct_wait else ""
-    figures = flagged.agg(
-        F.expr("count(DISTINCT call_id) FILTER (WHERE offered)").alias("n_offered"),
-        F.expr("count(DISTINCT call_id) FILTER (WHERE handled)").alias("n_handled"),
-        F.expr("count(DISTINCT call_id) FILTER (WHERE abandoned)").alias("n_abandoned"),
-        F.expr("count(DISTINCT call_id) FILTER (WHERE outbound)").alias("n_outbound"),
-        F.expr(f"avg({distinct} call_wait_time_seconds) FILTER (WHERE offered)").alias("mean_wait"),
-        F.round(F.avg("handle_time"), 2).alias("mean_handle"),
-    )
-    return _rows(
-        figures,
-        [
-            (fv.CALLS_OFFERED, F.col("n_offered")),
-            (fv.CALLS_HANDLED, F.col("n_handled")),
-            (fv.CALLS_ABANDONED, F.col("n_abandoned")),
-            (fv.CALLS_OUTBOUND, F.col("n_outbound")),
-            (fv.AVG_SPEED_OF_ANSWER, F.col("mean_wait")),
-            (fv.AVG_HANDLE_TIME, F.col("mean_handle")),
-        ],
+    wait = F.when(inbound_agent_call(), F.col("call_wait_time_seconds"))
+    talk, hold, wrap = (F.col(f"call_{part}_time_seconds") for part in ("talk", "hold", "wrap_up"))
+    handle = F.when(is_inbound() & (talk > 0), talk + hold + wrap)
+    flags = {
+        "offered": inbound_agent_call(),
+        "handled": handled_call(),
+        "abandoned": abandoned_call(),
+        "outbound": F.col("call_direction") == "outbound",
+    }
+    sums = [f(c.cast("double")).alias(f"{f.__name__}_{n}") for n, c in (("wait", wait), ("handle", handle)) for f in (F.sum, F.count)]
+    per_call = fold_flags(calls, "call_id", flags, *sums)
+    figures = per_call.agg(
+        *[F.count_if(name).alias(f"n_{name}") for name in flags],
+        *[F.try_divide(F.sum(f"sum_{n}"), F.sum(f"count_{n}").cast("double")).alias(f"mean_{n}") for n in ("wait", "handle")],
     )
+    lines = [
+        (fv.CALLS_OFFERED, F.col("n_offered")),
+        (fv.CALLS_HANDLED, F.col("n_handled")),
+        (fv.CALLS_ABANDONED, F.col("n_abandoned")),
+        (fv.CALLS_OUTBOUND, F.col("n_outbound")),
+        (fv.AVG_HANDLE_TIME, F.round("mean_handle", 2)),
+    ]
+    if not distinct_wait:
+        return _rows(figures, [*lines, (fv.AVG_SPEED_OF_ANSWER, F.col("mean_wait"))])
+    waits = calls.select(wait.alias("wait")).distinct().agg(F.avg("wait").alias("mean_wait"))
+    return _rows(figures, lines).union(_rows(waits, [(fv.AVG_SPEED_OF_ANSWER, F.col("mean_wait"))]))
 
 
 def sla_ratio(
@@ -67,15 +77,9 @@ def sla_ratio(
 
     The share is null when no call was offered.
     """
-    flagged = calls.select(
-        "call_id",
-        inbound_agent_call().alias("offered"),
-        (inbound_agent_call() & (F.col("call_wait_time_seconds") <= threshold)).alias("in_time"),
-    )
-    counts = flagged.agg(
-        F.expr("count(DISTINCT call_id) FILTER (WHERE in_time)").alias("n_in_time"),
-        F.expr("count(DISTINCT call_id) FILTER (WHERE offered)").alias("n_offered"),
-    )
+    in_time = inbound_agent_call() & (F.col("call_wait_time_seconds") <= threshold)
+    per_call = fold_flags(calls, "call_id", {"offered": inbound_agent_call(), "in_time": in_time})
+    counts = per_call.agg(F.count_if("in_time").alias("n_in_time"), F.count_if("offered").alias("n_offered"))
     share = F.try_divide(F.col("n_in_time").cast("double"), F.col("n_offered").cast("double"))
     by_hand = [(label, F.lit(value).cast("double")) for label, value in manual]
     return _rows(counts, [(fv.CALL_RESPONSE_IN_TIME, share), *by_hand])

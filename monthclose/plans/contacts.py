@@ -109,7 +109,7 @@ def calls(sources: Sources, params: ReportParams) -> DataFrame:
     lookup = _identity_of(month, sources, params, identity_consumers).withColumnsRenamed(
         {"consumer_uuid": "phone_consumer", N_ROWS: "n_identities"}
     )
-    identified = left_join(month, lookup, ["call_id"], params.skew, hot_in=sources["contact_calls"]).withColumn(
+    identified = left_join(month, lookup, ["call_id"], params.skew, hot_in=in_month).withColumn(
         "consumer_uuid", F.coalesce("ticket_consumer", "phone_consumer")
     )
     with_account = _with_accounts(identified, sources, params, ["product_account_uuid"])

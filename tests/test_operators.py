@@ -7,7 +7,7 @@ from conftest import bag
 from pyspark.sql import functions as F
 
 from monthclose import fixed_values as fv
-from monthclose.operators import calls, dedup, fraud, identity, joins, skew, tickets
+from monthclose.operators import calls, dedup, fraud, identity, joins, skew, tagged, tickets
 from monthclose.params import ReportParams, SkewPolicy
 
 # Everything with more than a tenth of the table counts as hot; no key has more than all rows.
@@ -419,6 +419,55 @@ def test_exclude_merged(table):
     assert bag(identity.exclude_merged(rows, tags, EAGER).select("n")) == Counter([(2,), (3,)])
 
 
+def test_time_line_of_one_key_is_spread(spark, monkeypatch):
+    """One line holds all rows, each at a time of its own: no task of the second pass sees more than a segment."""
+    start = "timestamp_ntz'2020-01-01 00:00:00'"
+    at = F.expr(f"{start} + make_dt_interval(0, 3 * cast(id AS int))")
+    facts = spark.range(12000).select(F.lit("hot").alias("k"), at.alias("at"), F.col("id").alias("fact"))
+    begin = F.expr(f"{start} + make_dt_interval(0, 30 * cast(id AS int))")
+    ends = F.expr(f"{start} + make_dt_interval(0, 30 * cast(id AS int) + 45)")
+    intervals = spark.range(1000).select(F.lit("hot").alias("k"), begin.alias("s"), ends.alias("e"), F.col("id").alias("rate"))
+    # The first interval outlasts many segments in which nothing starts after it ends.
+    intervals = intervals.where("rate % 100 < 20").unionByName(
+        spark.sql("SELECT 'hot' AS k, timestamp_ntz'2019-06-01 00:00:00' AS s, timestamp_ntz'2023-01-01 00:00:00' AS e, -1L AS rate")
+    )
+    found = joins.interval_in_force(facts, intervals, "k", "at", "s", "e", ["rate"], NEVER)
+    wanted = Counter()
+    rows = intervals.collect()
+    for f in facts.collect():
+        covering = [(r.e, r.s, r.rate) for r in rows if r.s <= f["at"] < r.e]
+        wanted[(f.fact, max(covering)[2] if covering else None)] += 1
+    assert bag(found.select("fact", "rate")) == wanted
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 2 and sum("__segment" in line.split("], [")[1] for line in windows) == 1
+    per_segment = facts.groupBy(F.date_trunc("month", "at")).count().agg(F.max("count")).first()[0]
+    assert per_segment < 12000 / 40
+
+
+def test_united_adds_up_tables_by_key(table):
+    a = table("k string, x bigint", ("p", 1), ("p", 2), (None, 5), ("q", 3))
+    b = table("id string, y bigint", ("p", 10), ("r", None), ("r", 7))
+    rows = tagged.united([(a, {"k": F.col("k"), "x": F.col("x")}), (b, {"k": F.col("id"), "y": F.col("y") * 2})], ["k"])
+    assert bag(rows) == Counter({("p", 3, 20): 1, ("q", 3, None): 1, ("r", None, 14): 1})
+    most = tagged.united([(a, {"k": F.col("k"), "x": F.col("x")})], ["k"], F.max)
+    assert bag(most) == Counter({("p", 2): 1, ("q", 3): 1})
+
+
+def _hash_exchanges(spark, df) -> int:
+    """Of the plan without broadcasts, before it runs."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return df.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_united_takes_one_exchange_however_many_tables(spark, table):
+    parts = [(table("k string, x bigint", ("p", n)), {"k": F.col("k"), f"x{n}": F.col("x")}) for n in range(4)]
+    assert _hash_exchanges(spark, tagged.united(parts, ["k"])) == 1
+
+
 # Calls
 
 _CALL_SCHEMA = (
@@ -461,6 +510,21 @@ def test_call_funnel(table):
     assert mean == pytest.approx((10 + 10 + 30 + 10 + 130 + 50) / 6)
 
 
+def test_flags_are_folded_without_expanding(table):
+    df = table("id string, a boolean, b boolean, x bigint", ("p", True, None, 1), ("p", False, False, 2), ("q", None, True, 4), (None, True, True, 8))
+    folded = calls.fold_flags(df, "id", {"a": F.col("a"), "b": F.col("b")}, F.sum("x").alias("x"))
+    # Columns by name: a, b, id, x.
+    assert bag(folded) == Counter({(True, False, "p", 3): 1, (False, True, "q", 4): 1, (False, False, None, 8): 1})
+    for figures in (calls.call_funnel(table(_CALL_SCHEMA, _call("a"))), calls.sla_ratio(table(_CALL_SCHEMA, _call("a")))):
+        assert "Expand" not in figures._jdf.queryExecution().executedPlan().toString()
+
+
+def test_call_funnel_without_calls(table):
+    figures = _figures(calls.call_funnel(table(_CALL_SCHEMA, _call("a")).where("call_id = 'z'")))
+    counted = (fv.CALLS_OFFERED, fv.CALLS_HANDLED, fv.CALLS_ABANDONED, fv.CALLS_OUTBOUND)
+    assert figures == {c: 0.0 for c in counted} | {fv.AVG_SPEED_OF_ANSWER: None, fv.AVG_HANDLE_TIME: None}
+
+
 def test_sla_ratio(table):
     df = table(_CALL_SCHEMA, _call("a", wait=120), _call("b", wait=121), _call("c", wait=None), _call("d", wait=0))
     figures = [tuple(r) for r in calls.sla_ratio(df).collect()]
@@ -641,6 +705,53 @@ def test_fraud_signals(table, changes, n_fraud_rows):
     assert [r.is_fraud for r in rows] == [n_fraud_rows > 0]
 
 
+def test_fraud_rows_beyond_a_bigint(table):
+    """Four sides of 100,000 rows each, and one without a signal less on every side."""
+    n = 100_000
+    accounts = [("a1", "ID_THEFT", True)]
+    rows = _signals(table, disputes=[("t1", n, n - 1)], cards=[("t1", n, n - 1)], status=accounts)
+    one = rows.select("n_fraud_rows").first()[0]
+    assert int(one) == n * n  # an account with a signal alone makes every row one
+    sides = "transaction_uuid string, n_all bigint, n_fraud bigint"
+    txns = table("transaction_uuid string, source_transaction_id string, product_account_uuid string, purchase_auth_rejection_reason string, amount int", ("t1", "s1", "a1", None, 1))
+    events = table("product_account_uuid string, status_reason_code string, is_latest boolean", ("a1", "x", True)).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(n)))).drop("i")
+    sms = table("source_uuid string, is_fraud_sms boolean", ("s1", False)).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(n)))).drop("i")
+    wide = fraud.fraud_signals(txns, events, table(sides, ("t1", n, 1)), table(sides, ("t1", n, 0)), sms, NEVER)
+    assert int(wide.first().n_fraud_rows) == n**4 - (n - 1) * n**3 and n**4 > 2**63
+
+
+def test_dispute_tally_at_random(spark):
+    """Ids that are disputes, posted transactions and authorisations at once, repeated and null."""
+    rng = random.Random(5)
+    ids = ["a", "b", "c", "d", None]
+    txns = [
+        (rng.choice(ids), rng.choice(ids), rng.choice(ids), rng.choice([fv.TYPE_DISPUTE, "other"]), rng.choice([fv.DISPUTE_FRAUDULENT, "x", None]))
+        for _ in range(60)
+    ]
+    log = [
+        (rng.choice(ids), rng.choice(["Unauthorized use", "late"]), fv.STAGE_RESOLUTION, rng.choice([fv.RESOLVED_FOR_BORROWER, "no"]))
+        for _ in range(7)
+    ]
+    names = "transaction_uuid source_transaction_id original_id transaction_type dispute_reason".split()
+    df = spark.createDataFrame(txns, ", ".join(f"{n} string" for n in names)).withColumns({c: F.lit(None).cast("string") for c in _CHAIN_REST})
+    entries = spark.createDataFrame(log, "transaction_uuid string, reason_for_dispute string, workflow_stage string, billing_error_status_resolution string")
+    chain = fraud.dispute_chain(df, entries, NEVER).where("auth_transaction_uuid IS NOT NULL")
+    granted = (F.col("workflow_stage") == fv.STAGE_RESOLUTION) & (F.col("billing_error_status_resolution") == fv.RESOLVED_FOR_BORROWER)
+    said = (F.col("dispute_reason") == fv.DISPUTE_FRAUDULENT) | F.upper("reason_for_dispute").like(fv.REASON_UNAUTHORIZED_PATTERN)
+    wanted = chain.groupBy(F.col("auth_transaction_uuid").alias("transaction_uuid")).agg(
+        F.count(F.lit(1)).alias("n_all"), F.count_if(said & granted).alias("n_fraud")
+    )
+    assert wanted.count() > 0
+    assert bag(fraud.dispute_tally(df, entries, NEVER)) == bag(wanted)
+
+
+_CHAIN_REST = (
+    "dispute_explanation consumer_uuid transaction_pending_at_est updated_at_est transaction_status purchase_method "
+    "purchase_category purchase_category_code merchant_name purchase_merchant_name amount auth_user_uuid "
+    "transaction_confirmed_at_est"
+).split()
+
+
 @POLICIES
 def test_dispute_tally_counts_the_chain(spark, table, policy):
     txn = spark.range(60).select(
