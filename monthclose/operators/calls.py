@@ -43,14 +43,16 @@ def call_funnel(calls: DataFrame, distinct_wait: bool = True) -> DataFrame:
     wait = F.when(inbound_agent_call(), F.col("call_wait_time_seconds"))
     talk, hold, wrap = (F.col(f"call_{part}_time_seconds") for part in ("talk", "hold", "wrap_up"))
     handle = F.when(is_inbound() & (talk > 0), talk + hold + wrap)
-    flags = {
+    shown = {
         "offered": inbound_agent_call(),
         "handled": handled_call(),
         "abandoned": abandoned_call(),
         "outbound": F.col("call_direction") == "outbound",
     }
-    sums = [f(c.cast("double")).alias(f"{f.__name__}_{n}") for n, c in (("wait", wait), ("handle", handle)) for f in (F.sum, F.count)]
-    per_call = fold_flags(calls, "call_id", flags, *sums)
+    rows = calls.select("call_id", wait.alias("wait"), handle.alias("handle"), *[c.alias(n) for n, c in shown.items()])
+    flags = {name: F.col(name) for name in shown}
+    sums = [f(F.col(n).cast("double")).alias(f"{f.__name__}_{n}") for n in ("wait", "handle") for f in (F.sum, F.count)]
+    per_call = fold_flags(rows, "call_id", flags, *sums)
     figures = per_call.agg(
         *[F.count_if(name).alias(f"n_{name}") for name in flags],
         *[F.try_divide(F.sum(f"sum_{n}"), F.sum(f"count_{n}").cast("double")).alias(f"mean_{n}") for n in ("wait", "handle")],
@@ -64,7 +66,7 @@ def call_funnel(calls: DataFrame, distinct_wait: bool = True) -> DataFrame:
     ]
     if not distinct_wait:
         return _rows(figures, [*lines, (fv.AVG_SPEED_OF_ANSWER, F.col("mean_wait"))])
-    waits = calls.select(wait.alias("wait")).distinct().agg(F.avg("wait").alias("mean_wait"))
+    waits = rows.select("wait").distinct().agg(F.avg("wait").alias("mean_wait"))
     return _rows(figures, lines).union(_rows(waits, [(fv.AVG_SPEED_OF_ANSWER, F.col("mean_wait"))]))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from monthclose import fixed_values as fv
 from monthclose.functions.text import normalize_phone
+from monthclose.operators.sketches import KeptSketch
 from monthclose.operators.skew import filter_by_key, left_join
 from monthclose.params import SkewPolicy
 
@@ -49,16 +50,24 @@ def identity_rows(
 
 
 def identity_consumers(
-    calls: DataFrame, comments: DataFrame, profiles: DataFrame, policy: SkewPolicy
+    calls: DataFrame,
+    comments: DataFrame,
+    profiles: DataFrame,
+    policy: SkewPolicy,
+    hot_tickets: KeptSketch | None = None,
+    hot_phones: KeptSketch | None = None,
 ) -> DataFrame:
     """Distinct (call_id, consumer_uuid) with the number of identity rows of each.
 
     Consumers are added up per ticket before calls are met, so a ticket with many numbers of one consumer is one row.
+    Hot tickets and phone numbers are looked for in the tables unless sketches of them are kept.
     """
     profile_rows = profiles.select("consumer_uuid", F.col("phone").alias("user_phone"))
-    owned = left_join(_numbers_of_tickets(comments), profile_rows.distinct(), ["user_phone"], policy, hot_in=profile_rows)
+    owned = left_join(
+        _numbers_of_tickets(comments), profile_rows.distinct(), ["user_phone"], policy, hot_in=hot_phones or profile_rows
+    )
     contacts = owned.groupBy("ticket_id", "consumer_uuid").agg(F.sum("n_numbers").alias("n_contacts"))
-    met = left_join(_calls_of_tickets(calls), contacts, ["ticket_id"], policy, hot_in=comments)
+    met = left_join(_calls_of_tickets(calls), contacts, ["ticket_id"], policy, hot_in=hot_tickets or comments)
     return met.groupBy("call_id", "consumer_uuid").agg(
         F.sum(F.col("n_calls") * F.coalesce("n_contacts", F.lit(1))).alias(N_ROWS)
     )

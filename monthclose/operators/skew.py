@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthclose.operators.sketches import KeptSketch, hashed
 from monthclose.params import SkewPolicy
 
 _N = "__n"
@@ -16,24 +17,27 @@ _SALT = "__salt"
 _FOUND = "__found"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> list[int]:
+def hot_keys(side: DataFrame | KeptSketch, keys: Sequence[str], policy: SkewPolicy) -> list[int]:
     """Hashes of the keys that hold more than the policy's share of all rows; rows with a null key do not count.
 
-    Runs one job: a sketch of the most frequent hashes, built map-side and merged, of which one row comes back.
+    A table is read for it in one job: a sketch of the most frequent hashes, built map-side and merged, of which one
+    row comes back. Of a :class:`KeptSketch` only the kept rows are read.
     There can be no more than ``1 / share``, so the list is small however large the data is. Whatever uses it is
     exact with any list of keys, also an outdated one; the list only decides how rows are spread.
     """
-    share = policy.share_of(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    session = (side.parts if isinstance(side, KeptSketch) else side).sparkSession
+    share = policy.share_of(int(session.conf.get("spark.sql.shuffle.partitions")))
     most = min(math.ceil(1 / share), 50_000)
-    hashed = df.select(*keys).dropna().select(_hash(keys).alias("h"))
-    top, total = hashed.agg(F.expr(f"approx_top_k(h, {most}, {min(8 * most, 1_000_000)})"), F.count(F.lit(1))).first()
+    if isinstance(side, KeptSketch):
+        top, total = side.top(min(most, side.items))
+    else:
+        counted = side.select(*keys).dropna().select(hashed(keys).alias("h"))
+        top, total = counted.agg(
+            F.expr(f"approx_top_k(h, {most}, {min(8 * most, 1_000_000)})"), F.count(F.lit(1))
+        ).first()
     return sorted(item for item, count in top or () if count > total * share)
 
 
-def _hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
-
-
 def spread(columns: Sequence[str], parts: int) -> Column:
     """Part number from the row's own values: a retried task puts each row where it was before."""
     listed = ", ".join(f"`{c}`" for c in columns)
@@ -49,7 +53,7 @@ def left_join(
     right: DataFrame,
     on: Sequence[str],
     policy: SkewPolicy,
-    hot_in: DataFrame | None = None,
+    hot_in: DataFrame | KeptSketch | None = None,
 ) -> DataFrame:
     """Left outer join on the columns ``on``, exact whatever the distribution of keys.
 
@@ -59,15 +63,20 @@ def left_join(
       It needs an exchange right below each side; the salt in the join key sees to that even where
       ``right`` is the result of an aggregation by the same key.
     * A hot key on the right cannot be split by AQE. Hot keys are looked for in ``hot_in``, the table
-      ``right`` is made from. Their right rows are salted. Left rows whose key is hot and does occur in
+      ``right`` is made from, or its kept sketch. Their right rows are salted. Left rows whose key is hot and does occur in
       ``right`` (looked up in the same query) are copied once per salt; as they have matches, the
       null-extended copies, from a salt that drew no row, are all spurious and are removed. All other left
       rows meet no salted row and stay single, so a list that is out of date loses nothing.
+    * Keys the policy calls clustered are joined in the buckets they are stored in, without exchange or salt.
     """
     on = list(on)
     shared = (set(left.columns) & set(right.columns)) - set(on)
     if shared:
         raise ValueError(f"both sides have a column {', '.join(sorted(shared))}")
+    if tuple(on) in policy.clustered:
+        # Rows with a null key have no match; put aside, they need not be dealt out and do not undo the buckets.
+        matched = left.where(~_any_null(on)).join(right, on, "left")
+        return matched.unionByName(left.where(_any_null(on)), allowMissingColumns=True)
     null_salt = F.when(_any_null(on), spread(left.columns, policy.salts) + 1).otherwise(0)
     # Always 0, but computed: the optimizer would turn a literal into a filter and hash on ``on`` alone.
     no_salt = spread(on, 1)
@@ -76,7 +85,7 @@ def left_join(
         salted = left.withColumn(_SALT, null_salt)
         return salted.join(right.withColumn(_SALT, no_salt), [*on, _SALT], "left").drop(_SALT)
 
-    is_hot = _hash(on).isin(hot)
+    is_hot = hashed(on).isin(hot)
     # As many rows as there are hot keys, but for clashes of 64-bit hashes.
     present = right.where(is_hot).select(*on).dropna().distinct().withColumn(_HOT, F.lit(True))
     salted_right = right.withColumns(
@@ -94,7 +103,7 @@ def full_outer_join(
     right: DataFrame,
     on: Sequence[str],
     policy: SkewPolicy,
-    hot_in: DataFrame | None = None,
+    hot_in: DataFrame | KeptSketch | None = None,
 ) -> DataFrame:
     """Full outer join on the columns ``on``: the left join, and the right rows whose key does not occur on the left.
 
@@ -115,7 +124,11 @@ def filter_by_key(
     an anti join keeps, are spread.
     """
     on = list(on)
-    keys = right.select(*on).dropna().distinct().withColumn(_SALT, spread(on, 1))
+    keys = right.select(*on).dropna().distinct()
+    if tuple(on) in policy.clustered:
+        kept = left.where(~_any_null(on)).join(keys, on, "left_anti" if anti else "left_semi").select(*left.columns)
+        return kept.unionByName(left.where(_any_null(on))) if anti else kept
+    keys = keys.withColumn(_SALT, spread(on, 1))
     null_salt = F.when(_any_null(on), spread(left.columns, policy.salts) + 1).otherwise(0)
     salted = left.withColumn(_SALT, null_salt)
     return salted.join(keys, [*on, _SALT], "left_anti" if anti else "left_semi").select(*left.columns)

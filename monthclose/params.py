@@ -28,10 +28,14 @@ class SkewPolicy:
     A key is hot if it holds more than ``share`` of all rows of the side looked at, whatever their number. Not
     given, it is a quarter of what one of ``spark.sql.shuffle.partitions`` holds on average. The share bounds the
     number of hot keys by ``1 / share`` whatever the data size, which is what makes them safe to broadcast.
+
+    ``clustered`` names the join keys by which both sides are stored in buckets (``Sources.clustered`` finds them): joins
+    on these keep the stored partitioning and get no salt.
     """
 
     share: float | None = None
     salts: int = 64
+    clustered: frozenset[tuple[str, ...]] = frozenset()
 
     def share_of(self, shuffle_partitions: int) -> float:
         return self.share if self.share is not None else 1 / (4 * max(1, shuffle_partitions))

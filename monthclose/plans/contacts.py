@@ -29,11 +29,11 @@ def _program_calls(sources: Sources, params: ReportParams) -> DataFrame:
     return sources["contact_calls"].where(F.col("brand_id").isin(*params.program.brand_ids))
 
 
-def _identity_of(calls: DataFrame, sources: Sources, params: ReportParams, identities) -> DataFrame:
+def _identity_of(calls: DataFrame, sources: Sources, params: ReportParams, identities, **hot) -> DataFrame:
     """Identity counts, per call or per call and consumer, of the call ids in ``calls``, over all rows carrying one of these ids."""
     every_call = sources["contact_calls"].select("call_id", "ticket_id")
     rows = filter_by_key(every_call, calls, ["call_id"], params.skew)
-    return identities(rows, sources["ticket_comments"], sources["profiles"], params.skew)
+    return identities(rows, sources["ticket_comments"], sources["profiles"], params.skew, **hot)
 
 
 def _with_accounts(contacts: DataFrame, sources: Sources, params: ReportParams, columns: list[str]) -> DataFrame:
@@ -41,7 +41,8 @@ def _with_accounts(contacts: DataFrame, sources: Sources, params: ReportParams,
     keys = ["consumer_uuid", "program_name"]
     accounts = sources["accounts"].withColumnRenamed("merchant_combname", "program_name").select(*keys, *columns)
     counts = accounts.groupBy(*keys, *columns).agg(F.count(F.lit(1)).alias("n_accounts"))
-    return left_join(contacts, counts, keys, params.skew, hot_in=accounts)
+    kept = sources.kept("accounts", ["consumer_uuid", "merchant_combname"])
+    return left_join(contacts, counts, keys, params.skew, hot_in=kept or accounts)
 
 
 def _cases(
@@ -106,10 +107,14 @@ def calls(sources: Sources, params: ReportParams) -> DataFrame:
         program_of(F.col("brand_id"), params.program, other=fv.OTHER_PROGRAM_IN_CALLS).alias("program_name"),
         "call_direction",
     )
-    lookup = _identity_of(month, sources, params, identity_consumers).withColumnsRenamed(
+    hot = {
+        "hot_tickets": sources.kept("ticket_comments", ["ticket_id"]),
+        "hot_phones": sources.kept("profiles", ["phone"]),
+    }
+    lookup = _identity_of(month, sources, params, identity_consumers, **hot).withColumnsRenamed(
         {"consumer_uuid": "phone_consumer", N_ROWS: "n_identities"}
     )
-    identified = left_join(month, lookup, ["call_id"], params.skew, hot_in=in_month).withColumn(
+    identified = left_join(month, lookup, ["call_id"], params.skew, hot_in=sources.kept("contact_calls", ["call_id"]) or in_month).withColumn(
         "consumer_uuid", F.coalesce("ticket_consumer", "phone_consumer")
     )
     with_account = _with_accounts(identified, sources, params, ["product_account_uuid"])

@@ -61,7 +61,8 @@ def _support_emails(sources: Sources, params: ReportParams, grouped: bool) -> Da
         .distinct()
     )
     accounts = sources["accounts"].select("consumer_uuid", "product_account_uuid")
-    return left_join(listed, accounts.distinct(), ["consumer_uuid"], params.skew, hot_in=accounts).select(
+    hot_in = sources.kept("accounts", ["consumer_uuid"]) or accounts
+    return left_join(listed, accounts.distinct(), ["consumer_uuid"], params.skew, hot_in=hot_in).select(
         "product_account_uuid", "timestamp", "direction", F.lit(fv.SUPPORT_EMAIL).alias("correspondence_type")
     )
 

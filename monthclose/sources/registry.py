@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections import Counter
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthclose.functions.text import to_bool
+from monthclose.operators.sketches import KeptSketch
 from monthclose.params import ReportParams
 from monthclose.sources.schemas import SCHEMAS
 
@@ -59,6 +62,8 @@ class Sources:
 
     def __init__(self, tables: Mapping[str, DataFrame] | None = None):
         self._tables: dict[str, DataFrame] = {}
+        self._sketches: dict[tuple[str, tuple[str, ...]], KeptSketch] = {}
+        self._buckets: dict[str, tuple[str, ...]] = {}
         for name, df in (tables or {}).items():
             self.register(name, df)
 
@@ -75,10 +80,33 @@ class Sources:
 
     __getitem__ = get
 
+    def keep(self, name: str, keys: Sequence[str], sketch: KeptSketch) -> Sources:
+        """Have hot keys of a table taken from a sketch kept beside it; ``keys`` in the order they were sketched in."""
+        unknown = set(keys) - set(SCHEMAS[name].fieldNames())
+        if unknown:
+            raise KeyError(f"table {name!r} has no column {', '.join(sorted(unknown))}")
+        self._sketches[name, tuple(keys)] = sketch
+        return self
+
+    def kept(self, name: str, keys: Sequence[str]) -> KeptSketch | None:
+        return self._sketches.get((name, tuple(keys)))
+
     @classmethod
     def from_catalog(cls, spark: SparkSession, names: Mapping[str, str]) -> Sources:
         """Tables of the session catalog, given as {source name: catalog name}."""
-        return cls({source: spark.table(table) for source, table in names.items()})
+        sources = cls({source: spark.table(table) for source, table in names.items()})
+        for source, table in names.items():
+            keys = bucket_keys(spark, table)
+            if keys:
+                sources._buckets[source] = keys
+        return sources
+
+    def clustered(self, params: ReportParams) -> ReportParams:
+        """``params`` for reports over these tables: joins on keys that two or more tables are bucketed by keep the
+        buckets. With one table bucketed alone the other side would lose its protection against hot keys."""
+        stored = Counter(self._buckets.values())
+        shared = frozenset(keys for keys, n in stored.items() if n > 1)
+        return replace(params, skew=replace(params.skew, clustered=params.skew.clustered | shared))
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, paths: Mapping[str, str]) -> Sources:
@@ -86,6 +114,23 @@ class Sources:
         return cls({source: spark.read.parquet(path) for source, path in paths.items()})
 
 
+def bucket_keys(spark: SparkSession, table: str) -> tuple[str, ...]:
+    """The columns a catalog table is bucketed by, in lower case; none if it is not."""
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    listed = described.get("Bucket Columns", "").strip("[]")
+    return tuple(c.strip().strip("`").lower() for c in listed.split(",") if c.strip())
+
+
+def store_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None = None) -> None:
+    """Store a source as a catalog table dealt into buckets by ``keys`` and sorted within them.
+
+    Rows are dealt out before they are written, so each bucket is one file and not one per task. Tables that are joined
+    need the same number of buckets. A key that holds much of a table makes its bucket as large: leave such tables
+    unbucketed, their joins are salted."""
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+    (writer.option("path", path) if path else writer).mode("overwrite").saveAsTable(table)
+
+
 def write_report(report: DataFrame, path: str, params: ReportParams) -> None:
     """Write a report as Parquet into the partition of its month; other months are left alone."""
     month = params.as_of.replace(day=1)

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from checks.catalog import EVENTS, ORDERS
 from checks.driver_views import VIEWS, driver_sources
 from monthclose import ReportParams, Sources, plans
+from monthclose.operators import skew
+from monthclose.operators.sketches import KeptSketch, sketch_parts, write_sketches
 from monthclose.params import SkewPolicy
-from monthclose.sources.registry import SchemaMismatch, write_report
+from monthclose.sources.registry import SchemaMismatch, bucket_keys, store_bucketed, write_report
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 needs_driver_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not here")
@@ -200,3 +202,119 @@ def test_from_catalog(spark, table):
 def test_default_parameters():
     params = ReportParams(dt.date(2025, 12, 3))
     assert params.cutover == dt.date(2025, 10, 10) and params.month_rule == "calendar"
+
+
+def _calls_by_month(spark, hot, months):
+    key = F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.concat(F.lit("k"), F.col("id")))
+    key = F.when(F.col("id") % 50 == 1, F.lit(None)).otherwise(key)
+    return spark.range(600).select(key.alias("call_id"), F.concat(F.lit("m"), F.col("id") % months).alias("month"))
+
+
+def test_kept_sketches_are_merged_and_replaced_part_by_part(spark, tmp_path):
+    policy = SkewPolicy(share=0.2)
+    path = f"{tmp_path}/sketches"
+    rows = _calls_by_month(spark, "hot", 4)
+    write_sketches(sketch_parts(rows, ["call_id"], F.col("month")), path)
+    kept = KeptSketch.read(spark, path)
+    assert kept.parts.count() == 4
+    assert skew.hot_keys(kept, ["call_id"], policy) == skew.hot_keys(rows, ["call_id"], policy) != []
+    assert kept.top(1)[1] == rows.where("call_id IS NOT NULL").count()
+    # One month is loaded anew: its sketch alone is made, the hot key of the others stays.
+    again = spark.range(900).select(F.lit("new").alias("call_id"), F.lit("m1").alias("month"))
+    write_sketches(sketch_parts(again, ["call_id"], F.col("month")), path)
+    kept = KeptSketch.read(spark, path)
+    whole = rows.where("month <> 'm1'").unionByName(again)
+    assert kept.parts.count() == 4
+    assert skew.hot_keys(kept, ["call_id"], SkewPolicy(share=0.1)) == skew.hot_keys(whole, ["call_id"], SkewPolicy(share=0.1))
+    assert skew.hot_keys(KeptSketch(kept.parts.where("n < 0")), ["call_id"], policy) == []
+
+
+def test_sketch_of_an_unknown_column_is_refused(table):
+    sources = Sources()
+    with pytest.raises(KeyError):
+        sources.keep("accounts", ["shoe_size"], None)
+    assert sources.kept("accounts", ["consumer_uuid"]) is None
+
+
+@needs_driver_tables
+@pytest.mark.parametrize("name", ["calls", "correspondence", "disputes", "fraud_cases"])
+def test_reports_with_kept_sketches_read_no_table_while_they_are_built(spark, monkeypatch, name):
+    """All hot keys come from kept sketches; rows are the same."""
+    params = replace(EVENTS, skew=SkewPolicy(share=0.001, salts=3))
+    plain = bag(plans.REPORTS[name](driver_sources(spark, SF_DIR), params))
+    sources = driver_sources(spark, SF_DIR)
+    tables = {
+        "accounts": [["consumer_uuid"], ["consumer_uuid", "merchant_combname"]],
+        "contact_calls": [["call_id"]],
+        "ticket_comments": [["ticket_id"]],
+        "profiles": [["phone"]],
+    }
+    for table, every in tables.items():
+        for keys in every:
+            sources.keep(table, keys, KeptSketch(sketch_parts(sources[table], keys)))
+    asked, hot_keys = [], skew.hot_keys
+
+    def watched(side, *args):
+        assert isinstance(side, KeptSketch)
+        asked.append(hot_keys(side, *args))
+        return asked[-1]
+
+    monkeypatch.setattr(skew, "hot_keys", watched)
+    report = plans.REPORTS[name](sources, params)
+    assert asked and any(asked)
+    assert bag(report) == plain
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _exchanges(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@needs_driver_tables
+@pytest.mark.parametrize("name", ["bankruptcy", "charge_off", "id_theft", "scra"])
+def test_bucketed_sources_are_joined_without_an_exchange(spark, tmp_path, no_broadcast, name):
+    tables = driver_sources(spark, SF_DIR)
+    key = ["product_account_uuid"]
+    names = {}
+    for table in ("accounts", "status_events"):
+        store_bucketed(tables[table], f"bucketed_{table}", key, 4, f"{tmp_path}/{table}")
+        names[table] = f"bucketed_{table}"
+    try:
+        sources = Sources.from_catalog(spark, names)
+        params = sources.clustered(ORDERS)
+        assert params.skew.clustered == {tuple(key)}
+        report = plans.REPORTS[name](sources, params)
+        assert _exchanges(report) == 0 < _exchanges(plans.REPORTS[name](tables, ORDERS))
+        assert bag(report) == bag(plans.REPORTS[name](tables, ORDERS))
+    finally:
+        for table in names.values():
+            spark.sql(f"DROP TABLE {table}")
+
+
+def test_one_bucketed_table_keeps_the_salts(spark, table, tmp_path):
+    users = table("user_id string, user_signature string", ("u", "s"))
+    store_bucketed(users, "bucketed_users", ["user_id"], 2, f"{tmp_path}/users")
+    try:
+        assert bucket_keys(spark, "bucketed_users") == ("user_id",)
+        assert Sources.from_catalog(spark, {"users": "bucketed_users"}).clustered(ORDERS) == ORDERS
+    finally:
+        spark.sql("DROP TABLE bucketed_users")
+
+
+def test_clustered_joins_equal_the_salted_ones(table, no_broadcast):
+    left = table("k string, v int", ("a", 1), ("a", 1), ("b", 2), (None, 3), (None, 3), ("z", 4))
+    right = table("k string, w int", ("a", 10), ("a", 11), (None, 12), ("b", 13), ("y", 14))
+    plain, clustered = SkewPolicy(), SkewPolicy(clustered=frozenset({("k",)}))
+    for join in (
+        lambda p: skew.left_join(left, right, ["k"], p),
+        lambda p: skew.full_outer_join(left, right, ["k"], p),
+        lambda p: skew.filter_by_key(left, right, ["k"], p),
+        lambda p: skew.filter_by_key(left, right, ["k"], p, anti=True),
+    ):
+        assert bag(join(clustered)) == bag(join(plain))
