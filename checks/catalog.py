@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -15,7 +16,8 @@ from checks.driver_views import driver_sources
 from monthclose import plans
 from monthclose.operators.sketches import KeptSketch, hashed, sketch_parts
 from monthclose.params import ReportParams, SkewPolicy
-from monthclose.sources.registry import Sources
+from monthclose.session import shared_folder
+from monthclose.sources.registry import Sources, write_report, written_volumes
 from monthclose.sources.schemas import SCHEMAS
 
 ORDERS = ReportParams(
@@ -71,6 +73,25 @@ def _with_kept_sketches(name: str, params: ReportParams):
     return build
 
 
+def _written(name: str, *months: ReportParams):
+    """A report of several months written, the first of them twice, and read back with the volumes beside it."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+        for params in (*months, months[0]):
+            write_report(plans.REPORTS[name](driver_sources(spark, sf_dir), params), path, params)
+        volumes = written_volumes(spark, path).select("report_month", "n_rows")
+        return plain(spark.read.parquet(path).join(F.broadcast(volumes), "report_month"))  # one row per month
+
+    return build
+
+
+def _written_sql(*months: tuple[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT *, DATE '{month}' AS report_month, count(*) OVER () AS n_rows FROM ({rows})" for month, rows in months
+    )
+
+
 REPORTS: dict[str, Check] = {
     "report_id_theft": Check(_report("id_theft", ORDERS), sql.ID_THEFT),
     "report_sla": Check(_report("sla", EVENTS), sql.SLA),
@@ -103,6 +124,10 @@ REPORTS: dict[str, Check] = {
     "report_opt_outs": Check(_report("opt_outs", EVENTS), sql.OPT_OUTS),
     "report_scra": Check(_report("scra", ORDERS), sql.SCRA),
     "report_transactions": Check(_report("transactions", ORDERS), sql.TRANSACTIONS),
+    "report_bankruptcy_written": Check(
+        _written("bankruptcy", ORDERS, replace(ORDERS, as_of=dt.date(1998, 7, 15))),
+        _written_sql(("1998-05-01", sql.BANKRUPTCY), ("1998-06-01", sql.BANKRUPTCY_JUNE)),
+    ),
     # The same rows when keys of the driver tables count as hot: the salted plans run.
     "report_calls_hot_keys": Check(_report("calls", replace(EVENTS, skew=HOT)), sql.CALLS),
     "report_calls_kept_sketches": Check(_with_kept_sketches("calls", replace(EVENTS, skew=HOT)), sql.CALLS),

@@ -49,6 +49,10 @@ ID_THEFT = _status_report("e.status_reason_code = 'ID_THEFT'", "status_reason_co
 BANKRUPTCY = _status_report(
     "e.status_reason = 'BANKRUPTCY'", "status_reason", f"a.merchant_combname = {COMB}", cutover=True
 )
+BANKRUPTCY_JUNE = _status_report(
+    "e.status_reason = 'BANKRUPTCY'", "status_reason", f"a.merchant_combname = {COMB}", cutover=True,
+    month_test=in_month("e.started_at_est", "TIMESTAMP '1998-06-01'"),
+)
 BANKRUPTCY_MONTH_NUMBER = _status_report(
     "e.status_reason = 'BANKRUPTCY'",
     "status_reason",

@@ -1,5 +1,7 @@
 """Session settings the reports are designed for. A running session keeps its own cluster settings."""
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SQL_SETTINGS = {
@@ -30,3 +32,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors see, as the cluster names it. A local session may do without: it has one machine."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="shared-")
+    return named.rstrip("/")

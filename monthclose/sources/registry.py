@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,13 +132,30 @@ def store_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
     (writer.option("path", path) if path else writer).mode("overwrite").saveAsTable(table)
 
 
-def write_report(report: DataFrame, path: str, params: ReportParams) -> None:
-    """Write a report as Parquet into the partition of its month; other months are left alone."""
-    month = params.as_of.replace(day=1)
-    (
-        report.withColumn("report_month", F.add_months(F.lit(month), -1))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("report_month")
-        .parquet(path)
-    )
+def write_report(report: DataFrame, path: str, params: ReportParams, rows_per_file: int = 5_000_000) -> int:
+    """Write a report as Parquet into the folder of its month; returns the number of rows, counted while writing.
+
+    The month's folder is replaced whole, also by a report without rows; other months are left alone. Files are as
+    large as ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` says, small partitions joined and large ones split, and
+    hold ``rows_per_file`` rows at most. Beside the months, in ``_volumes`` (which readers of ``path`` pass over), one
+    row per month says when it was reported for and how many rows it has; it is written after the rows, and
+    :func:`written_volumes` reads it.
+    """
+    month = reported_first(params)
+    counted = Observation()
+    rows = report.observe(counted, F.count(F.lit(1)).alias("n_rows")).hint("rebalance")
+    rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/report_month={month}")
+    n_rows = counted.get["n_rows"]
+    volume = report.sparkSession.createDataFrame([(params.as_of, n_rows)], "as_of date, n_rows long")
+    volume.coalesce(1).write.mode("overwrite").parquet(f"{path}/_volumes/report_month={month}")
+    return n_rows
+
+
+def reported_first(params: ReportParams) -> dt.date:
+    """First day of the month a report is for."""
+    return (params.as_of.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+
+
+def written_volumes(spark: SparkSession, path: str) -> DataFrame:
+    """report_month, as_of and n_rows of every month written to ``path``, without reading a report."""
+    return spark.read.parquet(f"{path}/_volumes").select("report_month", "as_of", "n_rows")

@@ -15,7 +15,7 @@ from monthclose import ReportParams, Sources, plans
 from monthclose.operators import skew
 from monthclose.operators.sketches import KeptSketch, sketch_parts, write_sketches
 from monthclose.params import SkewPolicy
-from monthclose.sources.registry import SchemaMismatch, bucket_keys, store_bucketed, write_report
+from monthclose.sources.registry import SchemaMismatch, bucket_keys, store_bucketed, write_report, written_volumes
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 needs_driver_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not here")
@@ -194,6 +194,23 @@ def test_write_report_replaces_its_month_only(spark, landed, tmp_path):
     }
 
 
+def test_write_report_counts_rows_and_sizes_files(spark, table, tmp_path):
+    path = str(tmp_path / "out")
+    rows = spark.range(1000).repartition(40).selectExpr("id", "sha2(cast(id AS string), 256) AS v")
+    assert write_report(rows, path, ORDERS, rows_per_file=300) == 1000
+    files = [f for f in os.listdir(f"{path}/report_month=1998-05-01") if f.endswith(".parquet")]
+    assert 4 <= len(files) < 10
+    later = replace(ORDERS, as_of=dt.date(1999, 1, 15))
+    assert write_report(rows.where("id < 5"), path, later) == 5
+    volumes = {(dt.date(1998, 5, 1), ORDERS.as_of, 1000), (dt.date(1998, 12, 1), later.as_of, 5)}
+    assert set(map(tuple, written_volumes(spark, path).collect())) == volumes
+    assert spark.read.parquet(path).count() == 1005
+    # A month that has no rows any more loses those it had; the other stays.
+    assert write_report(rows.where("id < 0"), path, ORDERS) == 0
+    stored = spark.read.parquet(path).groupBy("report_month").count().collect()
+    assert [tuple(r) for r in stored] == [(dt.date(1998, 12, 1), 5)]
+
+
 def test_from_catalog(spark, table):
     table("user_id string, user_signature string", ("u", None)).createOrReplaceTempView("people")
     assert Sources.from_catalog(spark, {"users": "people"})["users"].count() == 1
