@@ -81,7 +81,7 @@ def _written(name: str, *months: ReportParams):
         for params in (*months, months[0]):
             write_report(plans.REPORTS[name](driver_sources(spark, sf_dir), params), path, params)
         volumes = written_volumes(spark, path).select("report_month", "n_rows")
-        return plain(spark.read.parquet(path).join(F.broadcast(volumes), "report_month"))  # one row per month
+        return plain(spark.read.parquet(path).join(volumes, "report_month"))
 
     return build
 

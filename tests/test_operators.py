@@ -512,7 +512,7 @@ def test_call_funnel(table):
 
 def test_flags_are_folded_without_expanding(table):
     df = table("id string, a boolean, b boolean, x bigint", ("p", True, None, 1), ("p", False, False, 2), ("q", None, True, 4), (None, True, True, 8))
-    folded = calls.fold_flags(df, "id", {"a": F.col("a"), "b": F.col("b")}, F.sum("x").alias("x"))
+    folded = calls.fold_flags(df, ["id"], ["a", "b"], F.sum("x").alias("x"))
     # Columns by name: a, b, id, x.
     assert bag(folded) == Counter({(True, False, "p", 3): 1, (False, True, "q", 4): 1, (False, False, None, 8): 1})
     for figures in (calls.call_funnel(table(_CALL_SCHEMA, _call("a"))), calls.sla_ratio(table(_CALL_SCHEMA, _call("a")))):
