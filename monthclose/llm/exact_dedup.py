@@ -1,13 +1,18 @@
-"""Exact duplicates by a minimal perfect hash over the digests of earlier texts.
+"""Exact duplicates by a minimal perfect hash over the distinct digests of a history.
 
 Texts are equal when they are identical after all white space of ``[\\x20\\x09-\\x0D]`` is deleted; their SHA-256
-is compared in full. The history is a table of distinct digests with the winner of each. It is dealt out by
-digest into shards; a task builds a minimal perfect hash over one shard, whose slots hold the full digest, the
-locator of the winner and the group's size. Rows look their digest up in the slot it hashes to and are repeats
-if all 32 bytes agree. Rows whose digest is no member are grouped among themselves.
+is compared in full. The history is a table of distinct digests, dealt out by digest into shards; a task builds a
+minimal perfect hash over one shard, whose slots hold the full digest and the locator of the winner. Rows look
+their digest up in the slot it hashes to and are members if all 32 bytes agree. Members are repeats unless they are
+the winner on record. Rows whose digest is no member are grouped among themselves.
+
+An earlier table may be the history (``exact_dedup`` takes its winners). A table without one is its own: the distinct
+digests of a first part of its rows are indexed, all rows look into them, and each task keeps the best row and the
+number of rows of every slot; these are put together per slot (``own_history``). Groups with no row in the first part
+are left to the nonmembers.
 
 Shards that many rows look into (a third of all rows may be copies of one text) are given several tasks, each
-with a copy of the shard's small index, so no task's share grows with a group.
+with a copy of the shard's small index, so no task's share grows with a group; nonmembers find their group likewise.
 
 Nulls count as empty texts. A null id loses against any other id. Of rows that agree in id and text exactly one
 stays. An empty table gives an empty result. Other columns are not read.
@@ -15,7 +20,7 @@ stays. An empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +43,8 @@ from monthclose.llm.common import (
 #: Digests per shard of the index, and rows that look into one copy of a shard.
 SHARD_DIGESTS = 50_000
 COPY_ROWS = 200_000
+#: A table without a history takes one of so many parts of its rows, dealt by a hash, as the first.
+HISTORY_PARTS = 2
 
 DIGEST_COLUMNS = ["row", "doc_id", "n_chars", "digest"]
 
@@ -58,12 +65,13 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def winners(rows: DataFrame) -> DataFrame:
-    """(digest, keep_id, keep_row, group_size): longest original text, then smallest id, then first row."""
+def winners(rows: DataFrame, times: str = "1") -> DataFrame:
+    """(digest, keep_id, keep_row, group_size): longest original text, then smallest id, then first row. A row counts
+    ``times``."""
     best = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("absent"), "doc_id", "row"))
     return (
         rows.groupBy("digest")
-        .agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+        .agg(best.alias("best"), F.sum(F.expr(times)).cast("long").alias("group_size"))
         .select("digest", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
     )
 
@@ -119,35 +127,29 @@ class PerfectHash:
 
 
 class _Shard:
-    """The index of one shard: digests, winners and sizes in slot order."""
-
-    def __init__(self, batches: list[pa.RecordBatch]):
-        rows = pa.Table.from_batches(batches).combine_chunks().to_batches() if batches else []
-        if not rows:
-            self.hash = None
-            return
-        digest = raw_bytes(rows[0].column("digest"), 32)
+    """The index of one shard: digests, and what the history says of each, in slot order."""
+
+    def __init__(self, batches: list[pa.RecordBatch], payload: Sequence[str]):
+        table = pa.Table.from_batches(batches).combine_chunks() if batches else None
+        digest = raw_bytes(table.column("digest").chunk(0), 32) if table else np.empty((0, 32), np.uint8)
         words = np.ascontiguousarray(digest).view(np.uint64)
         self.hash = PerfectHash(words[:, :2].copy())
         order = np.empty(len(words), np.int64)
         order[self.hash.slots(words[:, :2].copy())] = np.arange(len(words))
         self.words = words[order]
         take = pa.array(order)
-        self.payload = [rows[0].column(c).take(take) for c in ("keep_id", "keep_row", "group_size")]
+        self.payload = [table.column(c).chunk(0).take(take) if table else pa.nulls(0, pa.int64()) for c in payload]
 
-    def look_up(self, batch: pa.RecordBatch) -> tuple[np.ndarray, list[pa.Array]]:
+    def slots(self, batch: pa.RecordBatch) -> np.ndarray:
+        """The slot that holds each row's digest, all of its bytes compared; -1 where none does."""
         words = np.ascontiguousarray(raw_bytes(batch.column("digest"), 32)).view(np.uint64)
-        if self.hash is None:
-            slot = np.full(len(words), -1, np.int64)
-            return slot >= 0, [pa.nulls(len(words), pa.int64())] * 3
         slot = self.hash.slots(words[:, :2].copy())
         hit = slot >= 0
         hit[hit] = (self.words[slot[hit]] == words[hit]).all(axis=1)
-        index = pa.array(np.where(hit, slot, 0), mask=~hit)
-        return hit, [column.take(index) for column in self.payload]
+        return np.where(hit, slot, -1)
 
 
-def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_shard(batches: Iterator[pa.RecordBatch], payload: Sequence[str]) -> Iterator[tuple[_Shard, pa.RecordBatch]]:
     """Sorted by (shard, copy, kind): the members of a shard come before the rows that look them up."""
     here, members, shard = None, [], None
     for (part, copy, kind), rows in runs(batches, ("shard", "copy", "kind")):
@@ -157,21 +159,81 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             members.append(rows)
             continue
         if shard is None:
-            shard, members = _Shard(members), []
-        hit, (keep_id, keep_row, size) = shard.look_up(rows)
+            shard, members = _Shard(members, payload), []
+        yield shard, rows
+
+
+LOCATOR = ["keep_id", "keep_row", "group_size"]
+
+
+def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for shard, rows in _by_shard(batches, LOCATOR):
+        slot = shard.slots(rows)
+        index = pa.array(np.maximum(slot, 0), mask=slot < 0)
         yield pa.RecordBatch.from_arrays(
-            [rows.column(c) for c in DIGEST_COLUMNS] + [pa.array(hit), keep_id, keep_row, size],
-            names=[*DIGEST_COLUMNS, "hit", "keep_id", "keep_row", "group_size"],
+            [rows.column(c) for c in DIGEST_COLUMNS] + [pa.array(slot >= 0)] + [c.take(index) for c in shard.payload],
+            names=[*DIGEST_COLUMNS, "hit", *LOCATOR],
         )
 
 
-def look_up(rows: DataFrame, history: DataFrame, shard_digests: int = SHARD_DIGESTS, copy_rows: int = COPY_ROWS):
-    """``rows`` plus hit, keep_id, keep_row and group_size from the perfect-hash index over ``history``."""
+class _Tally:
+    """The best row and the number of rows of each slot, over the rows one task sees of a shard."""
+
+    def __init__(self, shard: _Shard):
+        self.shard = shard
+        self.count = np.zeros(shard.hash.size, np.int64)
+        self.best = np.full((shard.hash.size, 4), np.iinfo(np.int64).max)  # -n_chars, id is null, id, row
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        slot = self.shard.slots(rows)
+        member = np.flatnonzero(slot >= 0)
+        slot = slot[member]
+        doc_id = rows.column("doc_id")
+        order_by = np.stack(
+            [
+                -numbers(rows.column("n_chars")),
+                doc_id.is_null().to_numpy(zero_copy_only=False).astype(np.int64),
+                numbers(doc_id.fill_null(0)),
+                numbers(rows.column("row")),
+            ],
+            axis=1,
+        )[member]
+        np.add.at(self.count, slot, 1)
+        met = np.unique(slot)
+        slot, order_by = np.append(slot, met), np.concatenate([order_by, self.best[met]])
+        sort = np.lexsort((*order_by.T[::-1], slot))
+        first = sort[np.flatnonzero(np.diff(slot[sort], prepend=-1))]
+        self.best[slot[first]] = order_by[first]
+
+    def result(self) -> pa.RecordBatch:
+        met = np.flatnonzero(self.count)
+        n, absent, doc_id, row = self.best[met].T
+        digest = pa.array([w.tobytes() for w in self.shard.words[met]], pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(row), pa.array(doc_id, mask=absent == 1), pa.array(-n), digest, pa.array(self.count[met])],
+            names=[*DIGEST_COLUMNS, "n"],
+        )
+
+
+def _tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tally = None
+    for shard, rows in _by_shard(batches, ()):
+        if tally is None or tally.shard is not shard:
+            if tally is not None:
+                yield tally.result()
+            tally = _Tally(shard)
+        tally.add(rows)
+    if tally is not None:
+        yield tally.result()
+
+
+def _dealt(rows: DataFrame, history: DataFrame, shard_digests: int, copy_rows: int) -> DataFrame:
+    """Rows (kind 1) beside a copy of the shard of the history (kind 0) that their digest belongs to."""
     shards = max(1, -(-history.count() // shard_digests))
     shard = F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int")
-    dealt = rows.withColumn("shard", shard)
-    copies = dealt.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / copy_rows).cast("int").alias("copies"))
-    asking = dealt.join(copies, "shard").select(
+    placed = rows.withColumn("shard", shard)
+    copies = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / copy_rows).cast("int").alias("copies"))
+    asking = placed.join(copies, "shard").select(
         "shard",
         F.pmod(F.xxhash64("row"), F.col("copies")).cast("int").alias("copy"),
         F.lit(1).alias("kind"),
@@ -184,20 +246,34 @@ def look_up(rows: DataFrame, history: DataFrame, shard_digests: int = SHARD_DIGE
             "shard",
             F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
             F.lit(0).alias("kind"),
-            "digest",
-            "keep_id",
-            "keep_row",
-            "group_size",
+            *history.columns,
         )
     )
     both = asking.unionByName(members, allowMissingColumns=True)
-    dealt_out = both.repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind")
-    return dealt_out.mapInArrow(
+    return both.repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind")
+
+
+def look_up(rows: DataFrame, history: DataFrame, shard_digests: int = SHARD_DIGESTS, copy_rows: int = COPY_ROWS):
+    """``rows`` plus hit, keep_id, keep_row and group_size from the perfect-hash index over ``history``."""
+    return _dealt(rows, history.select("digest", *LOCATOR), shard_digests, copy_rows).mapInArrow(
         _look_up,
         "row long, doc_id long, n_chars long, digest binary, hit boolean, keep_id long, keep_row long, group_size long",
     )
 
 
+def own_history(
+    rows: DataFrame, parts: int = HISTORY_PARTS, shard_digests: int = SHARD_DIGESTS, copy_rows: int = COPY_ROWS
+) -> DataFrame:
+    """The history a table is to itself: the distinct digests of a first part of ``rows``, with the winner among all
+    rows and their number, as counted slot by slot where all rows look into the index over these digests."""
+    first = rows.where(F.pmod(F.xxhash64("row"), F.lit(parts)) == 0)
+    digests = settle(first.select("digest").distinct())
+    met = _dealt(rows, digests, shard_digests, copy_rows).mapInArrow(
+        _tallied, "row long, doc_id long, n_chars long, digest binary, n long"
+    )
+    return settle(winners(met, "n"))
+
+
 def exact_dedup(rows: DataFrame, history: DataFrame) -> DataFrame:
     """One row per row of ``rows`` (as ``digests`` gives them): row, doc_id, digest, keep_id, group_size, kept.
 
@@ -205,20 +281,22 @@ def exact_dedup(rows: DataFrame, history: DataFrame) -> DataFrame:
     its own row is the winner on record (keep_row); a winner from an earlier table has keep_row null.
     """
     found = settle(look_up(rows, history))
-    repeats = found.where("hit")
     others = found.where("NOT hit").select(*DIGEST_COLUMNS)
-    groups = winners(others)
-    grouped = others.join(groups, "digest")
-    columns = ["row", "doc_id", "digest", "keep_id", "keep_row", "group_size"]
-    every = repeats.select(*columns).unionByName(grouped.select(*columns))
+    groups = settle(winners(others).where("group_size > 1"))
+    grouped = look_up(others, groups)
+    alone = ~F.col("hit")
+    grouped = grouped.withColumns(
+        {
+            "keep_id": F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")),
+            "keep_row": F.when(alone, F.col("row")).otherwise(F.col("keep_row")),
+            "group_size": F.when(alone, F.lit(1)).otherwise(F.col("group_size")),
+        }
+    )
+    columns = ["row", "doc_id", "digest", *LOCATOR]
+    every = found.where("hit").select(*columns).unionByName(grouped.select(*columns))
     return every.withColumn("kept", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)))
 
 
-def repeated_digests(rows: DataFrame) -> DataFrame:
-    """The history a table leaves of its own: the digests that occur in it more than once, with their winners."""
-    return settle(winners(rows).where("group_size > 1"))
-
-
 def dedup_rows(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that repeat another's text; all columns as they came, whatever their names."""
     keyed = with_row_key(carried(docs))
@@ -232,7 +310,7 @@ def dedup_rows(docs: DataFrame) -> DataFrame:
         )
     )
     rows = narrow.select(*DIGEST_COLUMNS)
-    kept = exact_dedup(rows, repeated_digests(rows)).where("kept").select("row")
+    kept = exact_dedup(rows, own_history(rows)).where("kept").select("row")
     same = narrow.groupBy(*ROW_KEY).agg(F.count(F.lit(1)).alias("n"))
     staying = narrow.join(kept, "row").select(*ROW_KEY).join(same, list(ROW_KEY))
     return one_row_per_key(keyed, staying)

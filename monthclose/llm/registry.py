@@ -78,7 +78,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup.digests(table(spark, sf_dir, "documents"))
-    found = exact_dedup.exact_dedup(rows, exact_dedup.repeated_digests(rows))
+    found = exact_dedup.exact_dedup(rows, exact_dedup.own_history(rows))
     return found.select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )

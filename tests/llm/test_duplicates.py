@@ -9,7 +9,7 @@ import pytest
 import xxhash
 
 from monthclose.llm import exact_dedup, simhash, topk
-from monthclose.llm.common import columns_of
+from monthclose.llm.common import columns_of, ship_package
 from .conftest import ROWS
 
 
@@ -22,7 +22,7 @@ def by_text(rows):
 
 def test_exact_groups(docs):
     rows = exact_dedup.digests(docs)
-    found = exact_dedup.exact_dedup(rows, exact_dedup.repeated_digests(rows)).collect()
+    found = exact_dedup.exact_dedup(rows, exact_dedup.own_history(rows)).collect()
     groups = by_text(ROWS)
     assert sum(r.kept for r in found) == len(groups)
     want = Counter()
@@ -49,6 +49,27 @@ def test_small_shards_and_many_copies(docs):
     assert len(found) == len(ROWS) and all(r.hit for r in found)
 
 
+@pytest.mark.parametrize(("parts", "shard", "copy"), [(1, 2, 1), (2, 3, 4), (3, 50_000, 2), (50, 1, 200_000)])
+def test_members_and_nonmembers_in_groups(spark, parts, shard, copy):
+    """Whatever part of a table is indexed: winners and sizes per slot, groups of several among nonmembers too."""
+    ship_package(spark)
+    texts = [(n if n % 11 else None, "a b"[: n % 4] + f"{n * n % 13}" + " " * (n % 3)) for n in range(120)]
+    rows = exact_dedup.digests(spark.createDataFrame([*texts, (500, None), (None, " ")], "doc_id long, text string"))
+    history = exact_dedup.own_history(rows, parts, shard, copy)
+    sizes = {bytes(r.digest): r.n for r in rows.groupBy("digest").agg({"row": "count"}).toDF("digest", "n").collect()}
+    want = {bytes(r.digest): (r.keep_id, r.keep_row, r.group_size) for r in exact_dedup.winners(rows).collect()}
+    on_record = {bytes(r.digest): (r.keep_id, r.keep_row, r.group_size) for r in history.collect()}
+    assert on_record.items() <= want.items()
+    assert (len(on_record) == len(want)) == (parts == 1)
+    if parts == 50:
+        assert any(sizes[d] > 1 for d in want.keys() - on_record.keys())
+    found = exact_dedup.exact_dedup(rows, history).collect()
+    assert len(found) == 122
+    for r in found:
+        keep_id, keep_row, n = want[bytes(r.digest)]
+        assert (r.keep_id, r.keep_row, r.group_size, r.kept) == (keep_id, keep_row, n, r.row == keep_row)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3000])
 def test_perfect_hash(n):
     words = np.random.default_rng(n).integers(0, 2**63, (n, 2)).astype(np.uint64)
