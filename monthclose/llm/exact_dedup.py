@@ -43,6 +43,8 @@ from monthclose.llm.common import (
 #: Digests per shard of the index, and rows that look into one copy of a shard.
 SHARD_DIGESTS = 50_000
 COPY_ROWS = 200_000
+#: Only shards of more than one in so many rows are copied, so there are no more of them than that.
+COPIED_SHARDS = 4_096
 #: A table without a history takes one of so many parts of its rows, dealt by a hash, as the first.
 HISTORY_PARTS = 2
 
@@ -232,19 +234,22 @@ def _dealt(rows: DataFrame, history: DataFrame, shard_digests: int, copy_rows: i
     shards = max(1, -(-history.count() // shard_digests))
     shard = F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int")
     placed = rows.withColumn("shard", shard)
-    copies = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / copy_rows).cast("int").alias("copies"))
-    asking = placed.join(copies, "shard").select(
+    most = max(copy_rows, -(-rows.count() // COPIED_SHARDS))
+    hot = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("copies")).where("copies > 1")
+    hot = F.broadcast(hot)  # no more than COPIED_SHARDS rows
+    copies = F.coalesce("copies", F.lit(1))
+    asking = placed.join(hot, "shard", "left").select(
         "shard",
-        F.pmod(F.xxhash64("row"), F.col("copies")).cast("int").alias("copy"),
+        F.pmod(F.xxhash64("row"), copies).cast("int").alias("copy"),
         F.lit(1).alias("kind"),
         *DIGEST_COLUMNS,
     )
     members = (
         history.withColumn("shard", shard)
-        .join(copies, "shard")
+        .join(hot, "shard", "left")
         .select(
             "shard",
-            F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"),
+            F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"),
             F.lit(0).alias("kind"),
             *history.columns,
         )
