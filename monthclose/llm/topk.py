@@ -7,7 +7,8 @@ lies below the worst k-th score of the queries in the group; close pairs go firs
 lasts from block to block. Each lane's best k per query are merged at the end.
 
 Vectors that are null, empty or hold null or non-finite components take no part; vectors of different length are
-never compared. A candidate with the query's own id is the query itself. Queries that repeat in id and vector are
+never compared. Scores are exact at any size: doubles where a bound proves them so, else wider whole numbers. What does
+not fit the 64 bits of a result raises an error, as does a component that fits no 64-bit whole number. A candidate with the query's own id is the query itself. Queries that repeat in id and vector are
 asked once. A null id is no query; as a candidate it sorts behind all ids on equal scores. Fewer than k candidates
 give all. An empty table gives no rows. Other columns are not read.
 """
@@ -23,18 +24,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthclose.llm.common import numbers, raw_bytes, runs, settle
+from monthclose.llm.hard_negatives import products
 
 SCALE, K = 1024, 10
 QUERY_BLOCK, CANDIDATE_BLOCK, LANE_BLOCKS = 512, 4_096, 8
 LEAF = 64
 _NO_ID = np.iinfo(np.int64).max
+_NO_SCORE = -_NO_ID
 
 
 def whole_vectors(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """(vec_id, v) of the rows that take part, components as whole numbers."""
     x = F.col(vector)
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    scaled = F.transform(x, lambda c: F.floor(c.cast("double") * SCALE).cast("long"))
+    too_large = F.raise_error(F.lit("a vector's component does not fit a 64-bit whole number")).cast("long")
+    fits = lambda y: F.abs(y) < 2.0**62
+    scaled = F.transform(
+        F.transform(x, lambda c: c.cast("double") * SCALE), lambda y: F.when(fits(y), F.floor(y)).otherwise(too_large)
+    )
     return df.where(x.isNotNull() & (F.size(x) > 0)).where(finite).select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v"))
 
 
@@ -84,23 +91,25 @@ class Search:
     """Best k candidates of a block of queries, over any number of candidate blocks."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int = K):
-        self.ids, self.vectors, self.k = ids, vectors, k
-        self.tree = cover_tree(vectors)
-        self.score = np.full((len(ids), k), -np.inf)
+        self.ids, self.vectors, self.k = ids, vectors.astype(np.int64), k
+        self.tree = cover_tree(vectors.astype(np.float64))
+        self.score = np.full((len(ids), k), _NO_SCORE)
         self.found = np.full((len(ids), k), _NO_ID)
         self.there = np.zeros((len(ids), k), bool)
 
     def meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
-        self._descend(self.tree, cover_tree(vectors[order]), ids[order], vectors[order])
+        ids, vectors = ids[order], vectors[order].astype(np.int64)
+        self._descend(self.tree, cover_tree(vectors.astype(np.float64)), ids, vectors)
 
     @staticmethod
     def _bound(q: Node, r: Node) -> float:
         return float(q.center @ r.center) + q.radius * r.norm + r.radius * q.norm + q.radius * r.radius
 
     def _descend(self, q: Node, r: Node, ids: np.ndarray, vectors: np.ndarray) -> None:
-        # Whole numbers below 2**53 are exact as doubles; the bound has roots in it, hence the margin.
-        if self._bound(q, r) < self.score[q.rows, -1].min() - 1e-3:
+        # Scores are exact, the bound is made of rounded doubles, hence the margin.
+        margin = 1e-3 + 1e-9 * (q.norm + q.radius) * (r.norm + r.radius)
+        if self._bound(q, r) < float(self.score[q.rows, -1].min()) - margin:
             return
         if not q.children and not r.children:
             self._compare(q.rows, r.rows, ids, vectors)
@@ -113,15 +122,16 @@ class Search:
             self._descend(a, b, ids, vectors)
 
     def _compare(self, asking: np.ndarray, among: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
-        scores = self.vectors[asking] @ vectors[among].T
-        scores[self.ids[asking][:, None] == ids[among][None, :]] = -np.inf
-        open_rows = np.flatnonzero((scores >= self.score[asking, -1:]).any(axis=1) & (scores > -np.inf).any(axis=1))
+        scores = products(self.vectors[asking], vectors[among])
+        other = self.ids[asking][:, None] != ids[among][None, :]
+        scores[~other] = _NO_SCORE
+        open_rows = np.flatnonzero(((scores >= self.score[asking, -1:]) & other).any(axis=1))
         if not len(open_rows):
             return
         rows, scores = asking[open_rows], scores[open_rows]
         every = np.concatenate([self.score[rows], scores], axis=1)
         named = np.concatenate([self.found[rows], np.broadcast_to(ids[among], scores.shape)], axis=1)
-        real = np.concatenate([self.there[rows], scores > -np.inf], axis=1)
+        real = np.concatenate([self.there[rows], other[open_rows]], axis=1)
         by_id = np.argsort(named, axis=1, kind="stable")
         every, named, real = (np.take_along_axis(x, by_id, axis=1) for x in (every, named, real))
         best = np.argsort(-every, axis=1, kind="stable")[:, : self.k]
@@ -137,7 +147,7 @@ def _searched(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
     def load(parts: list[pa.RecordBatch], dim: int) -> tuple[np.ndarray, np.ndarray]:
         ids = np.concatenate([numbers(p.column("vec_id").fill_null(_NO_ID)) for p in parts])
         v = np.concatenate([np.ascontiguousarray(raw_bytes(p.column("v"), 8 * dim)).view(">i8") for p in parts])
-        return ids, v.astype(np.float64)
+        return ids, v.astype(np.int64)
 
     def close() -> None:
         nonlocal block, search, asking
@@ -156,7 +166,7 @@ def _searched(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
             [
                 pa.array(search.ids[row]),
                 pa.array(found, mask=found == _NO_ID),
-                pa.array(search.score[row, place].astype(np.int64)),
+                pa.array(search.score[row, place]),
             ],
             names=["query_id", "vec_id", "score"],
         )

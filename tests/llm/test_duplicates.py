@@ -271,5 +271,23 @@ def test_search_over_several_blocks_prunes_and_stays_exact():
     assert sum(seen) < 0.9 * 300 * 3000
 
 
+def test_top_k_is_exact_beyond_doubles(spark):
+    """Products of components of 1e5 lie above 2**53, where doubles would confuse neighbouring scores."""
+    draw = np.random.default_rng(8)
+    near = [(i, [1e5 + float(d) / 1024 for d in draw.integers(0, 3, 64)]) for i in range(300)]
+    rows = [*near, (5000, [-x for x in near[0][1]]), (5001, near[7][1])]
+    vectors = topk.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = topk.top_k(vectors, vectors.where("vec_id % 100 = 0")).collect()
+    want = best(rows, 10)
+    assert max(s for *_, s in want) > 2**53
+    assert {tuple(r) for r in found} == want
+
+
+def test_top_k_refuses_what_no_whole_number_holds(spark):
+    vectors = topk.whole_vectors(spark.createDataFrame([(100, [1e300, 1.0])], "vec_id long, embedding array<double>"))
+    with pytest.raises(Exception, match="does not fit"):
+        vectors.collect()
+
+
 def test_columns_with_dots(docs):
     assert "a.b" in docs.select(*columns_of(docs)).columns
