@@ -12,7 +12,7 @@ verified by intersecting the two sets. Words of no template are left out of bloc
 
 Besides, fixed phrases are found wherever their words stand in a row.
 
-Nulls are empty texts. Rows are told apart by a hash of id and text; equal rows get equal results. A text without
+Nulls are empty texts. Rows are told apart by two 64-bit hashes of id and text; equal rows get equal results. A text without
 words has 0 places, no labels and score 0. Other columns are not read.
 """
 
@@ -66,7 +66,8 @@ def _span(text: str) -> int:
 
 
 def _key() -> Column:
-    return F.xxhash64("doc_id", "text", F.col("text").isNull())
+    absent = F.col("text").isNull()
+    return F.struct(F.xxhash64("doc_id", "text", absent).alias("a"), F.xxhash64(absent, "text", "doc_id", F.lit(1)).alias("b"))
 
 
 def _phrases(rows: DataFrame) -> DataFrame:
