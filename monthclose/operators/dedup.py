@@ -56,6 +56,16 @@ def latest_event(
     return _top_one(df, keys, order, tie_break, descending=True)
 
 
+def distinct_in_order(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Distinct rows in the order of ``order``, by one exchange.
+
+    Rows are dealt out by ranges of the order. Equal rows fall into one range, so they are made distinct where they lie,
+    and each range is sorted by itself. Rows alike in all of ``order`` meet in one task, so it should name every column.
+    Repeats travel to their range; where most rows are repeats, make them distinct map-side first.
+    """
+    return df.repartitionByRange(*order).distinct().orderBy(*order)
+
+
 def with_volume(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Number of rows of a report, in total or per key."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("volume"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from monthclose import fixed_values as fv
 from monthclose.functions.dates import reported_month
-from monthclose.operators.dedup import first_event
+from monthclose.operators.dedup import distinct_in_order, first_event
 from monthclose.operators.joins import interval_in_force
 from monthclose.params import ReportParams, SkewPolicy
 from monthclose.sources.registry import Sources
@@ -91,8 +91,5 @@ def transactions(sources: Sources, params: ReportParams) -> DataFrame:
     latest_end = F.coalesce("effective_end_at_est", open_end).desc()
     one_each = first_event(rated, ["transaction_uuid"], [latest_end], tie_break=columns)
     rest = [F.col(c).asc_nulls_last() for c in columns if c != "transaction_confirmed_at_est"]
-    return (
-        one_each.select(*columns)
-        .distinct()
-        .orderBy(F.col("transaction_confirmed_at_est").desc_nulls_first(), *rest)
-    )
+    order = [F.col("transaction_confirmed_at_est").desc_nulls_first(), *rest]
+    return distinct_in_order(one_each.select(*columns), order)

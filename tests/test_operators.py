@@ -806,3 +806,15 @@ def test_cancel_tally_counts_the_pairs(spark):
     )
     assert bag(fraud.cancel_tally(cards, txns, EAGER)) == bag(wanted)
     assert pairs.where("date_diff > 0 OR date_diff < -3").count() == 0
+
+
+def test_distinct_in_order_takes_one_exchange(spark):
+    rows = [(n % 40 if n % 9 else None, "ab"[n % 2], n % 3) for n in range(500)]
+    df = spark.createDataFrame(rows, "t int, name string, part int")
+    order = [F.col("t").desc_nulls_first(), F.col("name").asc_nulls_last(), F.col("part").asc_nulls_last()]
+    found = dedup.distinct_in_order(df, order)
+    want = sorted(set(rows), key=lambda r: (r[0] is not None, -(r[0] or 0), r[1], r[2]))
+    assert [tuple(r) for r in found.collect()] == want
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange ") == 1 and "Exchange rangepartitioning" in plan
+    assert dedup.distinct_in_order(df.where("part > 5"), order).count() == 0
