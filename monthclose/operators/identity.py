@@ -121,7 +121,7 @@ def contact_identity(
     return repeat_rows(identity_rows(calls, comments, profiles, policy), N_ROWS)
 
 
-def exclude_merged(tickets: DataFrame, tags: DataFrame, policy: SkewPolicy) -> DataFrame:
-    """Rows whose ticket was not closed by merging it into another one."""
+def exclude_merged(tickets: DataFrame, tags: DataFrame, policy: SkewPolicy, prefilter: bool = False) -> DataFrame:
+    """Rows whose ticket was not closed by merging it into another one; ``prefilter`` if they are few beside all tags."""
     merged = tags.where(F.col("tag_name") == fv.TAG_MERGED)
-    return filter_by_key(tickets, merged, ["ticket_id"], policy, anti=True)
+    return filter_by_key(tickets, merged, ["ticket_id"], policy, anti=True, prefilter=prefilter)

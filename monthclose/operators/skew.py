@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthclose.operators.prefilter import key_bits, maybe_in
 from monthclose.operators.sketches import KeptSketch, hashed
 from monthclose.params import SkewPolicy
 
@@ -115,15 +116,29 @@ def full_outer_join(
 
 
 def filter_by_key(
-    left: DataFrame, right: DataFrame, on: Sequence[str], policy: SkewPolicy, anti: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    policy: SkewPolicy,
+    anti: bool = False,
+    prefilter: bool = False,
 ) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``right`` (semi join), or does not (anti join).
 
     The keys of ``right`` are made distinct map-side first, so repeated keys there cost nothing. The salt
     puts an exchange below both sides, which lets AQE split a hot key on the left; null keys, which only
     an anti join keeps, are spread.
+
+    ``prefilter`` is for a large table against few keys: a bit filter of the right keys thins out the left rows
+    of a semi join before they are shuffled, one of the left keys the right rows of an anti join. The other side is
+    read once more for it. Clustered keys need none, as nothing is shuffled.
     """
     on = list(on)
+    if prefilter and tuple(on) not in policy.clustered:
+        if anti:
+            right = maybe_in(right, on, key_bits([(left, on)]))
+        else:
+            left = maybe_in(left, on, key_bits([(right, on)]))
     keys = right.select(*on).dropna().distinct()
     if tuple(on) in policy.clustered:
         kept = left.where(~_any_null(on)).join(keys, on, "left_anti" if anti else "left_semi").select(*left.columns)

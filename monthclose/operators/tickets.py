@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from monthclose import fixed_values as fv
 from monthclose.functions.dates import local_date
 from monthclose.functions.text import blank_to_null
+from monthclose.operators.prefilter import key_bits, maybe_in
 from monthclose.operators.skew import left_join
 from monthclose.operators.tagged import united
 from monthclose.params import ReportParams
@@ -43,16 +44,25 @@ def merged_pairs(tickets: DataFrame) -> DataFrame:
     )
 
 
-def merged_resolution(tickets: DataFrame, all_tickets: DataFrame, history: DataFrame, params: ReportParams) -> DataFrame:
+def merged_resolution(
+    tickets: DataFrame, all_tickets: DataFrame, history: DataFrame, params: ReportParams, prefilter: bool = False
+) -> DataFrame:
     """``tickets`` plus ``solve_date``: own solve date, else the latest one among the tickets absorbed.
 
     Absorbed tickets are looked up in ``all_tickets``. The history is reduced to one row per ticket map-side, before
     anything of it is shuffled. Own dates and those found through merges meet in one grouping by ticket, so
     ``tickets`` are joined once; rows of tickets that are not asked for go in that join.
+
+    ``prefilter`` is for few ``tickets``: bit filters of their ids and of those they absorbed go over both large tables
+    as they are read, so that of other tickets hardly a row is grouped or shuffled.
     """
+    pairs = merged_pairs(all_tickets).select("ticket_id", "merged_ticket_id")
+    if prefilter:
+        pairs = maybe_in(pairs, ["ticket_id"], key_bits([(tickets, ["ticket_id"])]))
+        asked = key_bits([(tickets, ["ticket_id"]), (pairs, ["merged_ticket_id"])])
+        history = maybe_in(history, ["ticket_id"], asked)
     solved = latest_solve_dates(history, params)
     of_merged = solved.withColumnsRenamed({"ticket_id": "merged_ticket_id", "solve_date": "merged_solve_date"})
-    pairs = merged_pairs(all_tickets).select("ticket_id", "merged_ticket_id")
     through_merge = left_join(pairs, of_merged, ["merged_ticket_id"], params.skew)
     dates = united(
         [

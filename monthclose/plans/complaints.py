@@ -27,7 +27,7 @@ def _complaints(sources: Sources, params: ReportParams, tiers: tuple[str, ...])
     # per brand of the programme, which is what makes the broadcast safe.
     brands = sources["brands"].where(F.col("brand_id").isin(*params.program.brand_ids))
     listed = F.broadcast(brands.groupBy("brand_id").agg(F.count(F.lit(1)).alias("n_listed")))
-    resolved = merged_resolution(complaints, tickets, sources["ticket_field_history"], params)
+    resolved = merged_resolution(complaints, tickets, sources["ticket_field_history"], params, prefilter=True)
     month = reported_month(resolved, "solve_date", params, cutover=True)
     counted = month.join(listed, "brand_id", "left").withColumn("n_listed", F.coalesce("n_listed", F.lit(1)))
     return repeat_rows(counted, "n_listed")
