@@ -3,9 +3,12 @@
 Each line is good or bad. What speaks for it are features of the line and of the lines before and after it: shares of
 kinds of characters, lengths of line and words, repetition of words and of whole lines; and the state of its
 neighbours. The field is learnt by gradient ascent on labelled documents, all of whose lines carry the document's
-label: a sample of at most about ``sample_docs`` documents, chosen by a hash of the id, with at most ``MAX_CHUNKS``
-stretches of ``CHUNK`` lines from each. Forward-backward marginals, weighted by the length of the lines, give the
-document's share of good text, and a logistic curve fitted on the same sample turns it into a probability.
+label: a sample of about ``sample_docs`` documents at most, chosen by a hash of the id. Their texts are cut into
+stretches of ``CHUNK`` lines; if the stretches of all of them hold more than ``sample_lines`` lines, each stretch has
+the same chance to be learnt from, wherever in a text it stands and however long the text is. Forward-backward
+marginals, weighted by the length of the lines, give the document's share of good text. A logistic curve turns it into a
+probability; it is fitted on the shares of whole documents, those of a fifth of the sample that the field is not learnt
+from (of all the sample, if that fifth lacks a label).
 
 A null or empty text is one empty line and is scored like any other; a long text is scored over all its lines.
 Repeated rows are scored alike. If labels repeat for an id, the largest counts; null labels do not count. Without
@@ -16,7 +19,7 @@ Labels, language, source and id are never looked at in a score.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthclose.llm.common import crc_share
+from monthclose.llm.common import crc_share, text_or_empty
 
 SAMPLE_DOCS = 3_000
-CHUNK, MAX_CHUNKS = 64, 8
+SAMPLE_LINES = 200_000
+CHUNK = 64
+CURVE_PART = 5  # one in so many documents of the sample is for the curve
 THRESHOLD = 0.3
 
 _KIND = np.full(256, 9, np.uint8)  # bytes of characters beyond ASCII
@@ -126,7 +131,7 @@ class Field:
 
     def scores(self, features: list[np.ndarray], lengths: list[np.ndarray]) -> np.ndarray:
         share = np.clip(self.shares(features, lengths), 1e-6, 1 - 1e-6)
-        return 1 / (1 + np.exp(-(self.slope * np.log(share / (1 - share)) + self.offset)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * np.log(share / (1 - share)) + self.offset, -500, 500)))
 
 
 def learn(chunks: list[tuple[int, np.ndarray]], steps: int = 200, rate: float = 0.1, penalty: float = 1e-3) -> Field:
@@ -151,75 +156,114 @@ def learn(chunks: list[tuple[int, np.ndarray]], steps: int = 200, rate: float =
 
 
 def calibrate(field: Field, share: np.ndarray, label: np.ndarray) -> None:
-    """Fit slope and offset of the logistic curve by Newton steps, with a small penalty."""
+    """Fit slope and offset of the logistic curve by Newton steps, with a small penalty; a step that overshoots is halved."""
     z = np.log(np.clip(share, 1e-6, 1 - 1e-6) / np.clip(1 - share, 1e-6, 1 - 1e-6))
     x, w = np.stack([z, np.ones_like(z)], axis=1), np.array([0.5, 0.0])
+
+    def loss(w: np.ndarray) -> float:
+        at = x @ w
+        return float(np.sum(np.logaddexp(0, at) - label * at) + 0.05 * w @ w)
+
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
         hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
-        w = w + np.linalg.solve(hessian, x.T @ (label - p) - 0.1 * w)
+        step = np.linalg.solve(hessian, x.T @ (label - p) - 0.1 * w)
+        now = loss(w)
+        while loss(w + step) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        w = w + step
     field.slope, field.offset = float(max(w[0], 1e-3)), float(w[1])
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = [[], [], [], []]
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            rows, lengths = line_features(text)
-            cuts = list(range(0, len(rows), CHUNK))
-            for at in cuts[:: -(-len(cuts) // MAX_CHUNKS)]:
-                part = rows[at : at + CHUNK].astype("<f4").tobytes()
-                for column, value in zip(out, (zlib.crc32(part), label, part, lengths[at : at + CHUNK].astype("<i8").tobytes()), strict=True):
-                    column.append(value)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())],
-            names=["draw", "quality", "rows", "lengths"],
-        )
+def _chunks(share: float):
+    """Stretches of the texts of (quality, text), each drawn with the chance ``share`` by a hash of text and place."""
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [[], [], []]
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                text = text or ""
+                of_text = zlib.crc32(text.encode("utf-8", "replace"))
+                draws = [(at, zlib.crc32(str(at).encode(), of_text)) for at in range(0, text.count("\n") + 1, CHUNK)]
+                taken = [(at, draw) for at, draw in draws if draw < share * 2**32]
+                rows = line_features(text)[0] if taken else None
+                for at, draw in taken:
+                    part = rows[at : at + CHUNK].astype("<f4").tobytes()
+                    for column, value in zip(out, (draw, label, part), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())],
+                names=["draw", "quality", "rows"],
+            )
+
+    return drawn
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field:
-    """``docs`` (doc_id, text), ``labels`` (doc_id, quality). Only features of the sample are fetched."""
+def _per_text(texts: pd.Series, result: Callable[[list[np.ndarray], list[np.ndarray]], np.ndarray]) -> pd.Series:
+    """``result`` of the features and lengths of the texts, a few thousand lines at a time."""
+    out, held, lines = [], [], 0
+    for text in texts:
+        held.append(line_features(text))
+        lines += len(held[-1][0])
+        if lines > 4_000:
+            out.append(result(*map(list, zip(*held, strict=True))))
+            held, lines = [], 0
+    if held:
+        out.append(result(*map(list, zip(*held, strict=True))))
+    return pd.Series(np.concatenate(out) if out else np.zeros(0))
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES
+) -> Field:
+    """``docs`` (doc_id, text), ``labels`` (doc_id, quality). The driver gets the features of about ``sample_lines``
+    lines at most, and label and share of good text of the sample's documents."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
     n = known.count()
     draw = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30)) / float(1 << 30)
     sample = known.where(draw < min(1.0, sample_docs / max(n, 1)))
+    for_curve = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(CURVE_PART)) == 0
     # About sample_docs rows of two numbers, whatever the size of the tables.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("quality", "text")
-    found = sorted(rows.mapInArrow(_chunks, "draw long, quality int, rows binary, lengths binary").collect(), key=lambda r: (r.draw, r.rows))
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("quality", "text", for_curve.alias("for_curve"))
+    to_learn = rows.where(~F.col("for_curve")).select("quality", "text")
+    lines = to_learn.agg(F.sum(F.regexp_count(text_or_empty(), F.lit("\n")) + 1)).first()[0] or 0
+    share = min(1.0, sample_lines / max(lines, 1))
+    found = sorted(to_learn.mapInArrow(_chunks(share), "draw long, quality int, rows binary").collect(), key=lambda r: (r.draw, r.rows))
     chunks = [(r.quality, np.frombuffer(r.rows, "<f4").reshape(-1, FEATURES)) for r in found]
-    label = np.array([y for y, _ in chunks], float)
-    if len(set(label.tolist())) < 2:
-        share = float(label.mean()) if len(label) else 0.5
-        share = min(max(share, 1e-6), 1 - 1e-6)
-        return Field(np.zeros(FEATURES), np.zeros((2, 2)), np.zeros(2), 0.0, float(np.log(share / (1 - share))))
+    if len({y for y, _ in chunks}) < 2:
+        given = rows.agg(F.avg("quality")).first()[0]
+        good = min(max(0.5 if given is None else float(given), 1e-6), 1 - 1e-6)
+        return Field(np.zeros(FEATURES), np.zeros((2, 2)), np.zeros(2), 0.0, float(np.log(good / (1 - good))))
     field = learn(chunks)
-    calibrate(field, field.shares([x for _, x in chunks], [np.frombuffer(r.lengths, "<i8") for r in found]), label)
+    shared = docs.sparkSession.sparkContext.broadcast(field)  # fewer than 200 numbers
+
+    @F.pandas_udf("double")
+    def share_of(texts: pd.Series) -> pd.Series:
+        return _per_text(texts, shared.value.shares)
+
+    whole = sorted(rows.select("for_curve", share_of("text").alias("share"), "quality").collect())
+    apart = [r for r in whole if r.for_curve]
+    fitted = apart if len({r.quality for r in apart}) > 1 else whole
+    calibrate(field, np.array([r.share for r in fitted]), np.array([r.quality for r in fitted], float))
     return field
 
 
 def with_quality(docs: DataFrame, field: Field) -> DataFrame:
     """``docs`` plus score, from the text alone."""
-    shared = docs.sparkSession.sparkContext.broadcast(field)  # fewer than 100 numbers
+    shared = docs.sparkSession.sparkContext.broadcast(field)  # fewer than 200 numbers
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        out, held, lines = [], [], 0
-        for text in texts:
-            held.append(line_features(text))
-            lines += len(held[-1][0])
-            if lines > 4_000:
-                out.append(shared.value.scores(*map(list, zip(*held, strict=True))))
-                held, lines = [], 0
-        if held:
-            out.append(shared.value.scores(*map(list, zip(*held, strict=True))))
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
+        return _per_text(texts, shared.value.scores)
 
     return docs.withColumn("score", scored("text"))
 
 
-def quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def quality(
+    docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES
+) -> DataFrame:
     """doc_id, held_out, score, predicted of every row; learnt from the labels of rows that are not held out."""
-    field = train(docs, labels.where(crc_share("doc_id", 5) != 0), sample_docs)
+    field = train(docs, labels.where(crc_share("doc_id", 5) != 0), sample_docs, sample_lines)
     asked = docs.select("doc_id", "text", (crc_share("doc_id", 5) == 0).alias("held_out"))
     return with_quality(asked, field).select(
         "doc_id", "held_out", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")

@@ -1,10 +1,13 @@
 """Token counts, packing, mixing, language, quality and the pipeline."""
 
+import itertools
+import math
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,6 +198,50 @@ def test_quality(spark, docs, nothing):
     assert {r.score for r in line_quality.quality(docs, labels.where("doc_id < 0")).collect()} == {0.5}
 
 
+def _share_by_paths(field, text):
+    """Share of good text from every sequence of states, each line read alone beside its neighbours."""
+    rows, lengths = line_quality.line_features(text)
+    good = rows.astype(float) @ field.weights
+    weight = {}
+    for states in itertools.product((0, 1), repeat=len(rows)):
+        score = field.first[states[0]] + sum(good[i] for i, y in enumerate(states) if y)
+        weight[states] = math.exp(score + sum(field.step[a, b] for a, b in itertools.pairwise(states)))
+    per_line = [sum(w for y, w in weight.items() if y[i]) / sum(weight.values()) for i in range(len(rows))]
+    return float(np.average(per_line, weights=lengths))
+
+
+def test_quality_scores_against_all_paths(spark):
+    """The query's score, step by step: learnt field, marginals by enumeration, weight by length, curve."""
+    draw = np.random.default_rng(8)
+    words = ["plain", "Words", "$$%%", "12 34", "", "the end."]
+    texts = ["\n".join(" ".join(draw.choice(words, 4)) for _ in range(int(draw.integers(1, 7)))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int("$" not in t)) for i, t in enumerate(texts)], "doc_id long, quality int")
+    known = labels.where(line_quality.crc_share("doc_id", 5) != 0)
+    field = line_quality.train(df, known)
+    for row in line_quality.quality(df, labels).collect():
+        share = min(max(_share_by_paths(field, texts[row.doc_id]), 1e-6), 1 - 1e-6)
+        want = 1 / (1 + math.exp(-(field.slope * math.log(share / (1 - share)) + field.offset)))
+        assert abs(row.score - want) < 1e-4 and row.predicted == int(row.score >= 0.3)
+
+
+def test_quality_learns_from_any_stretch(spark):
+    """A text of many lines is learnt from wherever it stands; a bound on lines draws whole stretches evenly."""
+    lines = [f"line {i}" for i in range(64 * 40)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 0], pa.int32()), pa.array(["\n".join(lines), None])], names=["quality", "text"])
+    every = next(line_quality._chunks(1.0)([batch])).to_pylist()
+    assert len(every) == 41 and sum(len(r["rows"]) for r in every) == (64 * 40 + 1) * line_quality.FEATURES * 4
+    some = next(line_quality._chunks(0.5)([batch])).to_pylist()
+    assert 10 < len(some) < 31 and {(r["draw"], r["rows"]) for r in some} < {(r["draw"], r["rows"]) for r in every}
+    good = "\n".join(["plain words of text."] * 700)
+    bad = "\n".join(["plain words of text."] * 10 + ["$$ %% ## 77"] * 690)
+    rows = [(i, good if i % 2 else bad) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    found = line_quality.quality(df, labels, sample_lines=4000).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in found)
+
+
 def test_pipeline_stages(spark, docs, nothing, tmp_path):
     import corpus_pipeline
 
