@@ -107,6 +107,43 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _secrets_sql(rules: tuple[secret_scan.Rule, ...], base: int) -> str:
+    """Every rule's matches with their places, from the lengths of matches and of what lies between them."""
+    kinds = []
+    for number, rule in enumerate(rules):
+        regex = "'" + rule.regex.replace("'", "''") + "'"
+        kinds.append(
+            f"""
+  SELECT rid, {number} AS rule, '{rule.kind}' AS kind, unnest(regexp_extract_all(text, {regex})) AS m,
+         unnest(regexp_extract_all(text, {regex}, {rule.group})) AS held, {rule.least} AS least,
+         unnest(string_split_regex(text, {regex})[:-2]) AS gap,
+         generate_subscripts(regexp_extract_all(text, {regex}), 1) AS i
+  FROM t WHERE regexp_matches(text, {regex})"""
+        )
+    counts = ",\n       ".join(
+        f"count(rule) FILTER (rule = {n}) AS n_{rule.kind}" for n, rule in enumerate(rules[:base])
+    )
+    return f"""
+WITH t AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
+), found AS ({" UNION ALL ".join(kinds)}
+), placed AS (
+  SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY rid, rule ORDER BY i) AS finish FROM found
+), spans AS (
+  SELECT rid, rule, CAST(finish AS BIGINT) - length(m) AS start,
+         kind || ':' || (CAST(finish AS BIGINT) - length(m)) || ':' || CAST(finish AS BIGINT) AS span
+  FROM placed WHERE length(held) >= least
+)
+SELECT doc_id, {counts},
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, rule) FILTER (rule < {base}), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, rule), '') AS spans
+FROM t LEFT JOIN spans USING (rid)
+GROUP BY rid, doc_id
+"""
+
+
+SECRETS_SQL = _secrets_sql(secret_scan.RULES, len(secret_scan.BASE_RULES))
+
 EXACT_DEDUP_SQL = """
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -223,6 +260,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_secret_scan": SECRETS_SQL,
     "op8_top_k": TOP_K_SQL,
     "op10_exact_dedup": EXACT_DEDUP_SQL,
     "op11_hard_negatives": HARD_NEGATIVES_SQL,

@@ -4,7 +4,9 @@ import hashlib
 import re
 from collections import Counter
 
-from monthclose.llm import license_scan, secret_scan
+import duckdb
+
+from monthclose.llm import license_scan, registry, secret_scan
 from .conftest import ROWS
 
 BASE = (
@@ -116,3 +118,22 @@ def test_hash_of_the_base_spans(spark):
     for r in found.collect():
         listed = ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in base_spans(texts[r.doc_id]))
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+
+
+def test_positions_of_many_matches_in_one_text(spark):
+    """Short and long matches in turn, beside code points of several bytes; a text of any number of blocks."""
+    texts = [("é token=abcdef12 x token=ab\n" * n) + "𝔘 secret:tail-end" * (n % 2) for n in (0, 1, 2, 3, 7, 50, 4_000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in secret_scan.scan(rows).collect():
+        assert [tuple(s) for s in r.spans] == [s[:3] for s in base_spans(texts[r.doc_id])]
+
+
+def test_sql_gives_the_same_spans(spark, tmp_path):
+    texts = [t for _, t, *_ in ROWS] + ["token=abcdef12 x token=ab" * 30, "é" + "ab12" * 9 + " " + "cd34" * 9, "xoxb-1234567890ab"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    wanted = {r[0]: r[1:] for r in con.execute("SELECT doc_id, base_sha256, spans FROM (" + registry.SQL["op1_secret_scan"] + ")").fetchall()}
+    found = registry.QUERIES["op1_secret_scan"](spark, str(tmp_path)).select("doc_id", "base_sha256", "spans").collect()
+    assert {r.doc_id: tuple(r)[1:] for r in found} == wanted and len(wanted) == len(texts)
