@@ -6,9 +6,11 @@ bring every source to its target, the ones closest in entropy to leaving the cor
 these are ``min(limit, exp(tilt * size))`` with one multiplier per source, found by Newton steps on the dual,
 each a distributed sum over (source, size) classes, inside a bracket that makes every step safe.
 
-Rates are rounded into whole copies class by class: a class takes the number of copies nearest to its share of
-words plus what earlier classes are short of, so a source misses its target by less than its small documents.
-Within a class, documents are told apart by a hash of id and text, so reruns agree.
+Rates are rounded into whole copies class by class, in ranges of size that are rounded side by side: a class takes
+the number of copies nearest to its share of words plus what larger classes of its range are short of. What a whole
+range is short of is then carried down the ranges of its source, so a source misses its target by less than its small
+documents. Within a class, documents are told apart by a hash of id and text, so reruns agree. A class that holds more
+than ``HOT_SHARE`` of all rows is dealt into parts of about that many.
 
 Defined results: a null text has size 0 and is never copied (nor is any document without words); null sources
 form one source, sorted last; rows that agree in id and text get equal copies; an empty table, or one without
@@ -30,8 +32,11 @@ from monthclose.llm.common import WORD, carried, settle, text_or_empty
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 LIMIT = 2
-#: Parts into which every class of equal size is dealt, so that a class that holds a third of all rows is spread.
-PARTS = 16
+#: Documents of one source and size that are more than this share of all rows are dealt into parts of about that share;
+#: there are at most 1 / HOT_SHARE such classes.
+HOT_SHARE = 1 / 4_096
+#: Ranges of size: sizes that agree in their leading bits, this many; smaller sizes are ranges of their own.
+RANGE_BITS = 7
 TOLERANCE = 1e-7
 MAX_STEPS = 60
 
@@ -43,11 +48,27 @@ def size_of(text: str = "text") -> Column:
 
 
 def measured(rows: DataFrame) -> DataFrame:
-    """``rows`` (row) plus source, size, part and a hash that orders the documents of a class."""
+    """``rows`` (row) plus source, size and a hash that orders the documents of a class."""
     draw = F.xxhash64("row.doc_id", "row.text", F.lit(6))
     source = F.col("row.source").cast("string")
-    part = F.pmod(draw, F.lit(PARTS)).cast("int")
-    return rows.withColumns({"source": source, "size": size_of("row.text"), "part": part, "draw": draw})
+    return rows.withColumns({"source": source, "size": size_of("row.text"), "draw": draw})
+
+
+def hot_classes(sizes: DataFrame, share: float = HOT_SHARE) -> DataFrame:
+    """(h, hz, parts): the source and size of which more than ``share`` of all rows are, and into how many parts they
+    are dealt. At most 1 / share rows."""
+    counts = settle(sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
+    rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first().rows
+    most = max(1.0, rows * share)
+    parts = F.ceil(F.col("n") / F.lit(most)).cast("int")
+    return settle(counts.where(F.col("n") > most).select(F.col("source").alias("h"), F.col("size").alias("hz"), parts.alias("parts")))
+
+
+def dealt(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` (source, size, draw) plus the part of their class."""
+    same = rows["source"].eqNullSafe(F.col("h")) & (rows["size"] == F.col("hz"))
+    part = F.coalesce(F.pmod(F.col("draw"), F.col("parts")), F.lit(0)).cast("int")
+    return rows.join(F.broadcast(hot), same, "left").withColumn("part", part).drop("h", "hz", "parts")
 
 
 def classes_of(sizes: DataFrame) -> DataFrame:
@@ -140,17 +161,57 @@ def tilts(classes: DataFrame, goals: DataFrame, limit: float = LIMIT, tolerance:
     return spark.createDataFrame(rows, "source string, source_size long, target double, scale double, tilt double")
 
 
-def _round_class(rows: pd.DataFrame) -> pd.DataFrame:
-    """Copies of each class, largest documents first; what a class is short of is carried to the next one."""
+def range_of(size: Column) -> Column:
+    """Number of the range of a size: its bits but for the leading ``RANGE_BITS``, and these. Larger sizes have larger
+    numbers; a source has at most 2**(RANGE_BITS - 1) ranges for each bit of its largest size."""
+    spare = F.greatest(F.length(F.bin(size)) - RANGE_BITS, F.lit(0))
+    leading = F.floor(size / F.pow(F.lit(2.0), spare)).cast("long")
+    return (spare * (1 << RANGE_BITS) + leading).cast("int")
+
+
+def _round_range(rows: pd.DataFrame) -> pd.DataFrame:
+    """Copies of each class of one range, largest documents first; what a class is short of is carried to the next
+    one, and what the last one is short of stands in every row."""
     rows = rows.sort_values(["size", "part"], ascending=[False, True])
     copies, carry = [], 0.0
     for size, n, rate, limit in zip(rows["size"], rows["n"], rows["rate"], rows["limit"], strict=True):
         wanted = n * rate * size + carry
-        take = int(min(max(round(wanted / size), 0), limit * n)) if size else 0
+        take = int(min(max(round(wanted / size), 0), limit * n))
         copies.append(take)
         carry = wanted - take * size
-    rows = rows.assign(copies=copies)
-    return rows[["source", "size", "part", "n", "copies"]]
+    return rows.assign(copies=copies, short=carry)[["source", "size", "part", "n", "band", "limit", "copies", "short"]]
+
+
+def _carry_down(bands: pd.DataFrame) -> pd.DataFrame:
+    """What the ranges of one source are short of, from large to small: each adds or takes copies of its class of
+    smallest size as far as that has room, and hands on the rest. A source has a few thousand ranges at most."""
+    bands = bands.sort_values("band", ascending=False)
+    more, carry = [], 0.0
+    for size, n, limit, copies, short in zip(*(bands[c] for c in ("size", "n", "limit", "copies", "short")), strict=True):
+        carry += short
+        extra = int(min(max(round(carry / size), -copies), limit * n - copies))
+        more.append(extra)
+        carry -= extra * size
+    return bands.assign(more=more).rename(columns={"source": "s", "size": "z", "part": "p"})[["s", "z", "p", "more"]]
+
+
+def rounded(rated: DataFrame) -> DataFrame:
+    """(source, size, part, n, copies) of classes with their rate and limit."""
+    ranged = settle(
+        rated.withColumn("band", range_of(F.col("size")))
+        .groupBy("source", "band")
+        .applyInPandas(_round_range, "source string, size long, part int, n long, band int, limit long, copies long, short double")
+    )
+    last = F.min(F.struct("size", "part", "n", "limit", "copies", "short")).alias("last")
+    more = (
+        ranged.groupBy("source", "band").agg(last).select("source", "band", "last.*")
+        .groupBy("source")
+        .applyInPandas(_carry_down, "s string, z long, p int, more long")
+        .where("more <> 0")
+    )
+    same = ranged.source.eqNullSafe(F.col("s")) & (ranged["size"] == F.col("z")) & (ranged.part == F.col("p"))
+    copies = F.col("copies") + F.coalesce("more", F.lit(0))
+    return ranged.join(more, same, "left").select(*CLASS, "n", copies.alias("copies"))
 
 
 def copy_plan(sizes: DataFrame, classes: DataFrame, solved: DataFrame, limit: int = LIMIT) -> DataFrame:
@@ -161,13 +222,10 @@ def copy_plan(sizes: DataFrame, classes: DataFrame, solved: DataFrame, limit: in
     rated = (
         classes.join(tilted, classes.source.eqNullSafe(F.col("s")))
         .where("size > 0")
-        .select(*CLASS, "n", rate.alias("rate"), F.lit(limit).alias("limit"))
-    )
-    rounded = rated.groupBy("source").applyInPandas(
-        _round_class, "source string, size long, part int, n long, copies long"
+        .select(*CLASS, "n", rate.alias("rate"), F.lit(limit).cast("long").alias("limit"))
     )
     planned = settle(
-        rounded.select(
+        rounded(rated).select(
             *CLASS,
             F.expr("copies div n").alias("base"),
             (F.col("copies") % F.col("n")).alias("extra"),
@@ -191,12 +249,14 @@ def copy_plan(sizes: DataFrame, classes: DataFrame, solved: DataFrame, limit: in
 
 
 def balanced(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, limit: int = LIMIT):
-    """The plan of ``copy_plan`` for ``docs``, the sizes it was made from, and the solved sources."""
+    """The plan of ``copy_plan`` for ``docs``, the sizes it was made from, the solved sources and the hot classes."""
     rows = measured(carried(docs.select("doc_id", "source", "text")))
-    sizes = settle(rows.select(F.col("row.doc_id").alias("doc_id"), *CLASS, "draw"))
+    narrow = settle(rows.select(F.col("row.doc_id").alias("doc_id"), "source", "size", "draw"))
+    hot = hot_classes(narrow)
+    sizes = dealt(narrow, hot)
     classes = classes_of(sizes)
     solved = tilts(classes, targets(classes, weights, share, limit), limit)
-    return copy_plan(sizes, classes, solved, limit), sizes, solved
+    return copy_plan(sizes, classes, solved, limit), sizes, solved, hot
 
 
 def copies_of(base: Column, last_draw: Column, draw: Column) -> Column:
@@ -205,7 +265,7 @@ def copies_of(base: Column, last_draw: Column, draw: Column) -> Column:
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, limit: int = LIMIT) -> DataFrame:
     """doc_id, size, source_size, target and taken of every row."""
-    plan, sizes, solved = balanced(docs, weights, share, limit)
+    plan, sizes, solved, _ = balanced(docs, weights, share, limit)
     plan = plan.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("part").alias("p"), "base", "last_draw")
     goal = solved.select(F.col("source").alias("g"), "source_size", "target")
     copied = sizes.join(
@@ -223,9 +283,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
 
 def mixed_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, limit: int = LIMIT):
     """``docs`` with every row repeated as often as the mix takes it; all columns as they came, whatever their names."""
-    plan, _, _ = balanced(docs, weights, share, limit)
+    plan, _, _, hot = balanced(docs, weights, share, limit)
     plan = plan.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("part").alias("p"), "base", "last_draw")
-    rows = measured(carried(docs))
+    rows = dealt(measured(carried(docs)), hot)
     same = rows.source.eqNullSafe(F.col("s")) & (rows["size"] == F.col("z")) & (rows.part == F.col("p"))
     copies = copies_of(F.col("base"), F.col("last_draw"), F.col("draw")).cast("int")
     taken = rows.join(plan, same).withColumn("copies", copies).where("copies > 0")

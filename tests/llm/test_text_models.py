@@ -4,6 +4,7 @@ import itertools
 import math
 import zlib
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import public_tokenizers
@@ -145,6 +146,53 @@ def test_mix_hits_its_targets(spark, docs, nothing):
     assert mixing.mixed_rows(docs).columns == docs.columns and mixing.mixed_rows(nothing).count() == 0
 
 
+def rates_by_bisection(sizes, target, limit=2):
+    """One multiplier for a source, so that the tilted rates meet its target."""
+    x = np.array(sizes, float)
+    if target >= limit * x.sum():
+        return np.full(len(x), float(limit))
+    low, high = -50.0, 50.0
+    for _ in range(200):
+        tilt = (low + high) / 2
+        rate = np.minimum(limit, np.exp(np.clip(tilt * x / x.max(), None, 50)))
+        low, high = (tilt, high) if (rate * x).sum() < target else (low, tilt)
+    return rate
+
+
+def test_mix_follows_the_tilted_rates(spark, monkeypatch):
+    """Sizes over many ranges, a class with a third of all rows dealt into parts: copies of equal sizes follow the
+    rates that plain bisection gives, and each source ends within half its smallest documents of its target."""
+    monkeypatch.setattr(mixing, "hot_classes", partial(mixing.hot_classes, share=1 / 50))
+    draw = np.random.default_rng(7)
+    drawn = [("abcde"[int(draw.integers(5))], int(2 ** draw.uniform(0, 11.5))) for _ in range(2000)] + [("a", 33)] * 1000
+    rows = [(i, "w " * n, source) for i, (source, n) in enumerate(drawn)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in mixing.mix(df).collect()}
+    _, sizes, _, hot = mixing.balanced(df)
+    assert hot.count() >= 1 and sizes.where("source = 'a' AND size = 33").select("part").distinct().count() > 10
+    want = shared_out({s: sum(n for t, n in drawn if t == s) for s in "abcde"})
+    for source in "abcde":
+        mine = [i for i, (s, _) in enumerate(drawn) if s == source]
+        taken = sum(found[i].taken for i in mine)
+        assert abs(taken - want[source]) <= min(drawn[i][1] for i in mine)
+        copies, rates = Counter(), Counter()
+        for i, rate in zip(mine, rates_by_bisection([drawn[i][1] for i in mine], want[source]), strict=True):
+            copies[drawn[i][1]] += found[i].taken // drawn[i][1]
+            rates[drawn[i][1]] += rate
+        assert all(abs(copies[n] - rates[n]) <= 3 for n in rates if n >= 256)
+        assert source != "a" or abs(copies[33] - rates[33]) <= 0.05 * rates[33] + 3
+
+
+@pytest.mark.parametrize("bits", [1, 2, 7])
+def test_ranges_of_size(spark, monkeypatch, bits):
+    monkeypatch.setattr(mixing, "RANGE_BITS", bits)
+    bands = spark.range(1, 5000).select("id", mixing.range_of(F.col("id")).alias("band")).orderBy("id").collect()
+    assert [r.band for r in bands] == sorted(r.band for r in bands)
+    per_band = Counter(r.band for r in bands)
+    assert all(per_band[r.band] == 1 for r in bands if r.id < 1 << bits)
+    assert len(per_band) <= 13 << (bits - 1) and max(per_band.values()) <= 4096 >> (bits - 1)
+
+
 def test_language(spark, docs, nothing):
     draw = np.random.default_rng(0)
     words = {"en": ["the", "and", "with", "house"], "de": ["und", "der", "straße", "haus"], "fr": ["être", "le", "avec", "maison"]}
