@@ -10,7 +10,10 @@ All of it happens where a row is read: nothing is shuffled, and a task holds one
 sequences depend on its own rows and their order alone, so the rows should come from files, not straight from a
 shuffle; a retried task then repeats them.
 
-A null text is empty: its document consists of the end id. Repeated rows are packed as often as they come. An
+Instruction data come as a prompt and a response, encoded one after the other; the prompt's tokens bear no loss, those
+of the response and the end id do. A document is an example without prompt.
+
+A null text, prompt or response is empty: without both, an example consists of the end id. Repeated rows are packed as often as they come. An
 empty table gives no pieces. Other columns are not read.
 """
 
@@ -156,7 +159,7 @@ def _packed(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, limits: L
 
     def rows() -> pa.RecordBatch:
         out = [[] for _ in range(8)]
-        for (doc_id, ids), start, length, sequence, offset in packer.done:
+        for (doc_id, ids, prompt), start, length, sequence, offset in packer.done:
             values = (
                 doc_id,
                 start,
@@ -165,7 +168,7 @@ def _packed(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, limits: L
                 len(ids) // 4,
                 sequence,
                 offset,
-                length,
+                max(0, start + length - max(start, prompt)),
             )
             for column, value in zip(out, values, strict=True):
                 column.append(value)
@@ -174,20 +177,29 @@ def _packed(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, limits: L
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=names)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids = encode(text or "") + b"\0\0\0\0"
-            packer.add((doc_id, ids), len(ids) // 4)
+        for doc_id, prompt, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            before = encode(prompt) if prompt else b""
+            ids = before + encode(text or "") + b"\0\0\0\0"
+            packer.add((doc_id, ids, len(before) // 4), len(ids) // 4, len(before) // 4)
             if len(packer.done) >= 4096:
                 yield rows()
     packer.finish()
     yield rows()
 
 
-def pack_documents(
-    docs: DataFrame, vocabulary: Vocabulary | None = None, limits: Limits | None = None, window: int = WINDOW
+def pack_examples(
+    examples: DataFrame, vocabulary: Vocabulary | None = None, limits: Limits | None = None, window: int = WINDOW
 ) -> DataFrame:
-    """One row per piece of a document; all of a document's tokens bear loss."""
+    """One row per piece of an example (doc_id, prompt, response); ``loss_tokens`` are those behind the prompt."""
     vocabulary, limits = vocabulary or Vocabulary.from_files(), limits or Limits()
-    return docs.selectExpr("cast(doc_id AS long) AS doc_id", "text").mapInArrow(
+    return examples.selectExpr("cast(doc_id AS long) AS doc_id", "prompt", "response").mapInArrow(
         lambda batches: _packed(batches, vocabulary, limits, window), SCHEMA
     )
+
+
+def pack_documents(
+    docs: DataFrame, vocabulary: Vocabulary | None = None, limits: Limits | None = None, window: int = WINDOW
+) -> DataFrame:
+    """One row per piece of a document; all of a document's tokens bear loss."""
+    examples = docs.selectExpr("doc_id", "cast(null AS string) AS prompt", "text AS response")
+    return pack_examples(examples, vocabulary, limits, window)

@@ -4,7 +4,7 @@ import itertools
 import math
 import zlib
 from collections import Counter, defaultdict
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import public_tokenizers
@@ -36,11 +36,15 @@ def test_token_counts(spark, docs, nothing):
     assert token_counts.token_counts(nothing).count() == 0
 
 
-def ids_of(text):
+@cache
+def whole_tokenizer():
     import tokenizers
 
-    whole = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    return np.array(whole.encode(text or "", add_special_tokens=False).ids, "<u4")
+    return tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def ids_of(text):
+    return np.array(whole_tokenizer().encode(text or "", add_special_tokens=False).ids, "<u4")
 
 
 def test_ids_equal_the_tokenizer():
@@ -74,6 +78,35 @@ def test_packing(docs, nothing):
     assert packing.pack_documents(nothing).count() == 0
 
 
+def test_packing_of_instruction_data(spark, nothing):
+    """Prompts bear no loss: a sequence may be full by its loss-bearing tokens while there is room for more."""
+    draw = np.random.default_rng(3)
+    word = lambda n: " ".join(draw.choice(["alpha", "beta", "gamma", "é"], n))
+    rows = [(i, word(int(draw.integers(0, 60))), word(int(draw.integers(0, 60)))) for i in range(300)]
+    rows += [(300, None, None), (301, "only a prompt " * 80, None), (302, None, "only a response " * 80)]
+    limits = packing.Limits(tokens=128, segments=6, loss=48)
+    df = spark.createDataFrame(rows, "doc_id long, prompt string, response string")
+    pieces = packing.pack_examples(df.withColumn("ids", F.col("doc_id")), limits=limits, window=50).collect()
+    by_doc, loads = defaultdict(list), defaultdict(lambda: [0, 0, 0])
+    for p in pieces:
+        by_doc[p.doc_id].append(p)
+        load = loads[p.sequence_id]
+        for k, more in enumerate((p.length, 1, p.loss_tokens)):
+            load[k] += more
+    for i, prompt, response in rows:
+        before = ids_of(prompt)
+        ids, at, loss = np.concatenate([before, ids_of(response), [0]]).astype("<u4"), 0, 0
+        for p in sorted(by_doc[i], key=lambda p: p.start):
+            assert p.start == at and p.ids_crc32 == zlib.crc32(ids[at : at + p.length].tobytes())
+            at, loss = at + p.length, loss + p.loss_tokens
+            assert p.loss_tokens == len(range(max(p.start, len(before)), at))
+        assert at == len(ids) == p.doc_tokens and loss == len(ids) - len(before)
+    assert all(a <= 128 and b <= 6 and c <= 48 for a, b, c in loads.values())
+    assert sum(c == 48 and a < 128 for a, _, c in loads.values()) > 10
+    empty = nothing.selectExpr("doc_id", "text AS prompt", "text AS response")
+    assert packing.pack_examples(empty).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_packer_keeps_all_limits(seed):
     draw = np.random.default_rng(seed)
