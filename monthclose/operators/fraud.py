@@ -11,12 +11,13 @@ from monthclose import fixed_values as fv
 from monthclose.functions.dates import day_distance, day_literal
 from monthclose.operators.dedup import first_event
 from monthclose.operators.joins import any_key_join, near_day_join
-from monthclose.operators.skew import left_join
+from monthclose.operators.skew import any_null, left_join, spread
 from monthclose.operators.tagged import united
 from monthclose.params import ReportParams, SkewPolicy
 
 N_ALL = "n_all"
 N_FRAUD = "n_fraud"
+_SPREAD = "__spread"
 
 
 def canceled_cards(cards: DataFrame) -> DataFrame:
@@ -36,26 +37,30 @@ def cancel_near_txn(cards: DataFrame, txns: DataFrame, days: int = 3) -> DataFra
 def cancel_tally(cards: DataFrame, txns: DataFrame, policy: SkewPolicy, days: int = 3) -> DataFrame:
     """Per transaction_uuid: rows of :func:`cancel_near_txn`, and those cancelled for fraud, as counts.
 
-    Cancellations are added up per card and candidate day first, so each transaction row meets one row
-    at most and a busy card forms no pairs. (The filter turns the left join into an inner one.)
+    Cancellations are added up per card and day first. A day then goes to the blocks of days in which its transactions
+    may lie, mostly one, instead of to each of its ``days + 1`` candidate days, and a transaction to the block of its
+    own day. There it meets no more rows than a block has days, plus ``days``, however busy its card.
     """
     reason_is_fraud = F.coalesce(F.col("cancel_reason").isin(*fv.CANCEL_REASONS_FRAUD), F.lit(False))
-    observed = F.to_date("last_ingest_at_est")
+    block_days = 2 * (days + 1)
+
+    def block(day: Column) -> Column:
+        return F.floor(F.unix_date(day) / block_days)
+
     per_day = (
         canceled_cards(cards)
         .where(F.col("card_uuid").isNotNull())
-        .select(
-            "card_uuid",
-            reason_is_fraud.cast("bigint").alias("fraud"),
-            F.explode(F.sequence(F.date_sub(observed, days), observed)).alias("day"),
-        )
-        .groupBy("card_uuid", "day")
+        .select("card_uuid", reason_is_fraud.cast("bigint").alias("fraud"), F.to_date("last_ingest_at_est").alias("observed"))
+        .groupBy("card_uuid", "observed")
         .agg(F.count(F.lit(1)).alias(N_ALL), F.sum("fraud").alias(N_FRAUD))
     )
-    dated = txns.select("transaction_uuid", "card_uuid", F.to_date("created_at_est").alias("day"))
+    blocks = F.sequence(block(F.date_sub("observed", days)), block(F.col("observed")))
+    day = F.to_date("created_at_est")
+    dated = txns.select("transaction_uuid", "card_uuid", day.alias("day"), block(day).alias("block"))
+    # As the grouping is by another key, an exchange lies right below either side, and a busy block can be split.
     return (
-        left_join(dated, per_day, ["card_uuid", "day"], policy)
-        .where(F.col(N_ALL).isNotNull())
+        dated.join(per_day.withColumn("block", F.explode(blocks)), ["card_uuid", "block"])
+        .where(F.col("observed").between(F.col("day"), F.date_add("day", days)))
         .groupBy("transaction_uuid")
         .agg(F.sum(N_ALL).alias(N_ALL), F.sum(N_FRAUD).alias(N_FRAUD))
     )
@@ -121,10 +126,11 @@ def dispute_tally(
     that is sum(x) + n * e, plus the number of disputes without entries if e is 0. All of it is linear but for e, so
     sums per original id go to the authorisations that name it, and there meet the authorisation's own log entries
     in one grouping (:func:`united`). Where the authorisation is itself the posted or disputing transaction, its
-    entries are in x already; such disputes are taken off n again.
+    entries are in x already; what they would add again is taken off.
 
-    An original id hands out its sums, and each of its disputes and posted transactions what is to be taken off, in one
-    table keyed by (original id, whom it is for); an authorisation asks there twice, for all and for itself.
+    An original id hands out its sums and, to each of its disputes and posted transactions that has entries, what is to
+    be taken off, in one table keyed by (original id, whom it is for). An authorisation asks once, for the sums; what
+    is to be taken off meets those that got an answer in a grouping by (authorisation, original id).
     """
     entry = _log_measures(log)
     entries = united([(log, entry)], ["id"])
@@ -135,7 +141,9 @@ def dispute_tally(
     )
     own = entries.select(F.col("id").alias("dispute"), *[F.col(c).alias(f"{c}_dispute") for c in _LOG_MEASURES])
     theirs = entries.select(F.col("id").alias("posted"), *[F.col(c).alias(f"{c}_posted") for c in _LOG_MEASURES])
-    posted = txns.select(F.col("transaction_uuid").alias("posted"), F.col("original_id").alias("original")).dropna()
+    posted = txns.select(F.col("transaction_uuid").alias("posted"), F.col("original_id").alias("original")).where(
+        F.col("posted").isNotNull() & F.col("original").isNotNull()
+    )
     # The second join is on the key of the first and needs no further exchange of these rows.
     rows = left_join(disputes, own, ["dispute"], policy).join(posted, "posted").join(theirs, "posted", "left")
 
@@ -144,33 +152,45 @@ def dispute_tally(
         again = F.when(F.col("posted").eqNullSafe(F.col("dispute")), 0).otherwise(F.coalesce(f"{part}_posted", F.lit(0)))
         return F.coalesce(f"{part}_dispute", F.lit(0)) + again
 
-    def told(whom: Column, kind: int, n: int, x: Column, silent: Column, signals: Column) -> Column:
-        fraudulent = F.col("fraudulent").cast("bigint") * n
-        values = {"kind": F.lit(kind), "whom": whom, "n": F.lit(n).cast("bigint"), "n_f": fraudulent}
-        values |= {"x": x, "n_silent": silent, "signals": signals}
-        return F.struct(*[value.alias(name) for name, value in values.items()])
+    def told(whom: Column, n: int, x: Column, silent: Column, signals: Column) -> Column:
+        sums = {"n": F.lit(n), "n_f": F.col("fraudulent").cast("bigint") * n, "x": x, "n_silent": silent, "signals": signals}
+        kind = F.lit(_FOR_ALL if n else _FOR_ITSELF).alias("kind")
+        return F.struct(kind, whom.alias("whom"), *[value.cast("bigint").alias(name) for name, value in sums.items()])
+
+    def signals_of(count) -> Column:
+        return F.when(F.col("fraudulent"), count("granted")).otherwise(count("unauthorized"))
 
-    x, none = of_both("entries"), F.lit(0).cast("bigint")
-    signal = F.when(F.col("fraudulent"), of_both("granted")).otherwise(of_both("unauthorized"))
+    def taken_off(part: str) -> Column:
+        return told(F.col(part), 0, F.col(f"entries_{part}"), F.lit(0), signals_of(lambda c: F.col(f"{c}_{part}")))
+
+    x, apart = of_both("entries"), ~F.col("posted").eqNullSafe(F.col("dispute"))
     messages = F.array(
-        told(F.lit(""), _FOR_ALL, 1, x, (x == 0).cast("bigint"), signal),
-        told(F.col("posted"), _FOR_ITSELF, -1, none, none, none),
-        told(F.when(F.col("dispute") != F.col("posted"), F.col("dispute")), _FOR_ITSELF, -1, none, none, none),
+        told(F.lit(""), 1, x, x == 0, signals_of(of_both)),
+        F.when(F.col("entries_posted") > 0, taken_off("posted")),
+        F.when((F.col("entries_dispute") > 0) & apart, taken_off("dispute")),
     )
+    # A message that is null unfolds to a row without ``whom`` and goes.
     handed = rows.select("original", F.inline(messages))
-    keys = ["original", "kind", "whom"]
+    keys = ("original", "kind", "whom")
     sums = united([(handed, {c: F.col(c) for c in (*keys, *_CHAIN_MEASURES)})], keys)
+    # Told apart by a sum, which no filter below the grouping can test: both then read the same shuffled rows.
+    for_all = sums.where("n > 0").drop("kind", "whom")
     asking = (
         (txns if auths is None else auths)
         .select(F.col("source_transaction_id").alias("original"), F.col("transaction_uuid").alias("id"))
         .dropna()
     )
-    for_all = F.struct(F.lit(_FOR_ALL).alias("kind"), F.lit("").alias("whom"))
-    for_itself = F.struct(F.lit(_FOR_ITSELF).alias("kind"), F.col("id").alias("whom"))
-    asked = asking.select("original", "id", F.inline(F.array(for_all, for_itself)))
-    answered = left_join(asked, sums, keys, policy).where(F.col("n").isNotNull())
+    # The sums are grouped by more than the original id, so an exchange lies right below either side of the join.
+    answered = asking.join(for_all, "original")
+    off = {"x": "x_off", "signals": "signals_off"}
+    to_take = {"id": F.col("whom"), "original": F.col("original")} | {off.get(c, c): F.col(c) for c in _CHAIN_MEASURES}
+    asked = {c: F.col(c) for c in ("id", "original", *_CHAIN_MEASURES)} | {"n_asked": F.lit(1).cast("bigint")}
+    told_all = united([(answered, asked), (sums.where("n = 0"), to_take)], ["id", "original"]).where("n_asked IS NOT NULL")
+    own_sums = {c: F.col(c) for c in ("id", *_CHAIN_MEASURES)} | {
+        c: F.col(c) - F.col("n_asked") * F.coalesce(c_off, F.lit(0)) for c, c_off in off.items()
+    }
     # Entries of ids that no dispute leads to come along and are dropped: they have no answer.
-    met = united([(answered, {c: F.col(c) for c in ("id", *_CHAIN_MEASURES)}), (log, entry)], ["id"]).where("n IS NOT NULL")
+    met = united([(told_all, own_sums), (log, entry)], ["id"]).where("n IS NOT NULL")
     e, granted, unauthorized = (F.coalesce(c, F.lit(0)) for c in _LOG_MEASURES)
     return met.select(
         F.col("id").alias("transaction_uuid"),
@@ -300,30 +320,37 @@ def fraud_signals(
     replies = tally(sms, "source_uuid", F.col("is_fraud_sms"), "source_transaction_id")
     # Both sides of the transaction id meet in one grouping. Accounts may be hot, and most transactions have no source
     # transaction.
+    def renamed(name: str, counts: DataFrame) -> DataFrame:
+        return counts.withColumnsRenamed({N_ALL: f"{name}_rows", N_FRAUD: f"{name}_fraud"})
+
     def side(name: str, counts: DataFrame, key: str) -> tuple[DataFrame, dict[str, Column]]:
         return counts, {key: F.col(key), f"{name}_rows": F.col(N_ALL), f"{name}_fraud": F.col(N_FRAUD)}
 
     sides = ("dispute", "card", "status", "sms")
     of_txn = united([side("dispute", disputes, "transaction_uuid"), side("card", reissues, "transaction_uuid")], ["transaction_uuid"])
-    joined = left_join(txns, of_txn, ["transaction_uuid"], policy)
-    for name, counts, key in (("status", latest, "product_account_uuid"), ("sms", replies, "source_transaction_id")):
-        renamed = counts.withColumnsRenamed({N_ALL: f"{name}_rows", N_FRAUD: f"{name}_fraud"})
-        joined = left_join(joined, renamed, [key], policy)
+    # The transactions are shuffled once per key. What a later shuffle need not carry is used up before: the rejection
+    # reason in its flag, all columns in the number that spreads rows with a null key, the source transaction first of
+    # the keys.
+    rejected = F.coalesce(
+        ~F.col("purchase_auth_rejection_reason").isin(*fv.REJECTIONS_BY_FRAUD_RULES), F.lit(False)
+    )
+    keys = ("source_transaction_id", "product_account_uuid", "transaction_uuid")
+    apart = F.when(any_null(keys), spread(txns.columns, policy.salts)).otherwise(0)
+    joined = txns.withColumns({"auth_signal": rejected, _SPREAD: apart})
+    for key, counts in zip(keys, (renamed("sms", replies), renamed("status", latest), of_txn)):
+        joined = left_join(joined, counts, [key], policy, spread_by=[_SPREAD])
 
     def product(columns: list[Column]) -> Column:
         """Exact up to 38 digits; a larger one raises an error or, if ANSI mode is off, is null."""
         return reduce(lambda a, b: (a * b).cast("decimal(38,0)"), [c.cast("decimal(38,0)") for c in columns])
 
-    rejected = F.coalesce(
-        ~F.col("purchase_auth_rejection_reason").isin(*fv.REJECTIONS_BY_FRAUD_RULES), F.lit(False)
-    )
     rows = {n: F.coalesce(f"{n}_rows", F.lit(1)) for n in sides}
     fraud_rows = {n: F.coalesce(f"{n}_fraud", F.lit(0)) for n in sides}
     every_row = product(list(rows.values()))
     silent_rows = product([rows[n] - fraud_rows[n] for n in sides])
     return joined.select(
         *txns.columns,
-        rejected.alias("auth_signal"),
+        "auth_signal",
         *[(fraud_rows[n] > 0).alias(f"{n}_signal") for n in sides],
-        F.when(rejected, every_row).otherwise(every_row - silent_rows).cast("decimal(38,0)").alias("n_fraud_rows"),
+        F.when(F.col("auth_signal"), every_row).otherwise(every_row - silent_rows).cast("decimal(38,0)").alias("n_fraud_rows"),
     ).withColumn("is_fraud", F.col("n_fraud_rows") > 0)

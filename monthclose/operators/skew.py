@@ -45,7 +45,7 @@ def spread(columns: Sequence[str], parts: int) -> Column:
     return F.expr(f"cast(pmod(xxhash64({listed}), {parts}) AS int)")
 
 
-def _any_null(columns: Sequence[str]) -> Column:
+def any_null(columns: Sequence[str]) -> Column:
     return F.expr(" OR ".join(f"`{c}` IS NULL" for c in columns))
 
 
@@ -55,11 +55,13 @@ def left_join(
     on: Sequence[str],
     policy: SkewPolicy,
     hot_in: DataFrame | KeptSketch | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left outer join on the columns ``on``, exact whatever the distribution of keys.
 
     * Left rows with a null key match nothing; they are spread over ``salts`` partitions instead of
-      meeting in one.
+      meeting in one, by the values of ``spread_by``, all columns if not given. Columns named there are carried
+      through the joins before this one, also if nothing else needs them.
     * A hot key on the left is split by AQE's skew join, which can split the left side of a left join.
       It needs an exchange right below each side; the salt in the join key sees to that even where
       ``right`` is the result of an aggregation by the same key.
@@ -76,11 +78,12 @@ def left_join(
         raise ValueError(f"both sides have a column {', '.join(sorted(shared))}")
     if tuple(on) in policy.clustered:
         # Rows with a null key have no match; put aside, they need not be dealt out and do not undo the buckets.
-        matched = left.where(~_any_null(on)).join(right, on, "left")
-        return matched.unionByName(left.where(_any_null(on)), allowMissingColumns=True)
-    null_salt = F.when(_any_null(on), spread(left.columns, policy.salts) + 1).otherwise(0)
-    # Always 0, but computed: the optimizer would turn a literal into a filter and hash on ``on`` alone.
-    no_salt = spread(on, 1)
+        matched = left.where(~any_null(on)).join(right, on, "left")
+        return matched.unionByName(left.where(any_null(on)), allowMissingColumns=True)
+    null_salt = F.when(any_null(on), spread(spread_by or left.columns, policy.salts) + 1).otherwise(0)
+    # Always 0, but computed: the optimizer would turn a literal into a filter and hash on ``on`` alone. Known not to be
+    # null, or a test for it would be pushed far down into ``right`` and keep it from sharing shuffles with its like.
+    no_salt = F.coalesce(spread(on, 1), F.lit(0))
     hot = hot_keys(hot_in, on, policy) if hot_in is not None else []
     if not hot:
         salted = left.withColumn(_SALT, null_salt)
@@ -141,9 +144,9 @@ def filter_by_key(
             left = maybe_in(left, on, key_bits([(right, on)]))
     keys = right.select(*on).dropna().distinct()
     if tuple(on) in policy.clustered:
-        kept = left.where(~_any_null(on)).join(keys, on, "left_anti" if anti else "left_semi").select(*left.columns)
-        return kept.unionByName(left.where(_any_null(on))) if anti else kept
+        kept = left.where(~any_null(on)).join(keys, on, "left_anti" if anti else "left_semi").select(*left.columns)
+        return kept.unionByName(left.where(any_null(on))) if anti else kept
     keys = keys.withColumn(_SALT, spread(on, 1))
-    null_salt = F.when(_any_null(on), spread(left.columns, policy.salts) + 1).otherwise(0)
+    null_salt = F.when(any_null(on), spread(left.columns, policy.salts) + 1).otherwise(0)
     salted = left.withColumn(_SALT, null_salt)
     return salted.join(keys, [*on, _SALT], "left_anti" if anti else "left_semi").select(*left.columns)

@@ -14,15 +14,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _keyed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows without a null (or NaN) key, as ``dropna`` leaves them.
+
+    Spelled as plain tests, which the optimizer knows to hold from there on: it adds none of its own to one of several
+    branches that read the same rows, and they share a shuffle."""
+    tests = [F.col(k).isNotNull() for k in keys]
+    tests += [~F.isnan(k) for k in keys if rows.schema[k].dataType.typeName() in ("float", "double")]
+    return rows.where(reduce(Column.__and__, tests))
+
+
 def united(tables: Sequence[tuple[DataFrame, Mapping[str, Column]]], keys: Sequence[str], how=F.sum) -> DataFrame:
     """``keys`` and one column per measure: ``how`` over the rows of all tables that give the measure.
 
     Each table comes with its columns by name, the keys among them. Rows with a null key are left out. A key that no
     table gives a measure for has null there (``F.sum`` and ``F.max`` skip nulls)."""
-    parts = [
-        df.select(*[column.alias(name) for name, column in columns.items()]).dropna(subset=list(keys))
-        for df, columns in tables
-    ]
+    parts = [_keyed(df.select(*[column.alias(name) for name, column in columns.items()]), keys) for df, columns in tables]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     measures = [c for c in rows.columns if c not in keys]
     return rows.groupBy(*keys).agg(*[how(c).alias(c) for c in measures])

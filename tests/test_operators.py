@@ -745,6 +745,106 @@ def test_dispute_tally_at_random(spark):
     assert bag(fraud.dispute_tally(df, entries, NEVER)) == bag(wanted)
 
 
+def _shuffled_rows(spark, df) -> int:
+    """Rows written to exchanges while ``df`` is collected without broadcasts; reused exchanges count once."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = df.select("*")
+        df.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+    def written(node) -> int:
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return written(node.executedPlan())
+        if name in ("ShuffleQueryStage", "ResultQueryStage"):
+            return written(node.plan())
+        if name == "ReusedExchange":
+            return 0
+        here = node.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+        return here + sum(written(node.children().apply(i)) for i in range(node.children().size()))
+
+    return written(df._jdf.queryExecution().executedPlan())
+
+
+def test_an_authorisation_is_shuffled_once_to_ask(spark):
+    """Of n transactions with few disputes, n go to be looked up as posted and n to ask, and little else."""
+    n = 2000
+    text = F.col("id").cast("string")
+    txn = spark.range(n).select(
+        text.alias("transaction_uuid"),
+        (F.col("id") + 1).cast("string").alias("source_transaction_id"),
+        text.alias("original_id"),
+        F.when(F.col("id") % 100 == 0, F.lit(fv.TYPE_DISPUTE)).otherwise("x").alias("transaction_type"),
+        F.lit(fv.DISPUTE_FRAUDULENT).alias("dispute_reason"),
+    )
+    log = spark.range(0, n, 50).select(
+        text.alias("transaction_uuid"),
+        *[F.lit(v).alias(c) for c, v in (("reason_for_dispute", "x"), ("workflow_stage", fv.STAGE_RESOLUTION))],
+        F.lit(fv.RESOLVED_FOR_BORROWER).alias("billing_error_status_resolution"),
+    )
+    tallied = fraud.dispute_tally(txn, log, NEVER)
+    assert bag(tallied) == Counter({(1, 1, str(i)): 1 for i in range(0, n, 100)})
+    assert 2 * n <= _shuffled_rows(spark, tallied) < 2.5 * n
+
+
+def test_a_cancellation_is_not_shuffled_once_per_candidate_day(spark):
+    start = F.lit("2024-01-01").cast("date")
+    n = 1000
+    cards = spark.range(n).select(
+        F.col("id").cast("string").alias("card_uuid"),
+        F.lit(fv.CARD_CANCELED).alias("card_status"),
+        F.lit("LOST").alias("cancel_reason"),
+        F.date_add(start, (F.col("id") % 400).cast("int")).cast("timestamp_ntz").alias("last_ingest_at_est"),
+    )
+    txns = cards.limit(5).select(
+        F.col("card_uuid").alias("transaction_uuid"), "card_uuid", F.col("last_ingest_at_est").alias("created_at_est")
+    )
+    tallied = fraud.cancel_tally(cards, txns, NEVER)
+    assert bag(tallied) == Counter({(1, 1, str(i)): 1 for i in range(5)})
+    assert n <= _shuffled_rows(spark, tallied) < 3 * n
+
+
+@pytest.mark.parametrize("days", [0, 1, 3, 10])
+def test_cancel_tally_at_random(spark, days):
+    """Repeated and null cards, ids, days and reasons, around the first day of all blocks."""
+    rng = random.Random(days)
+    some_day = lambda: rng.choice([None, *[dt.datetime(1969, 12, 20) + dt.timedelta(hours=rng.randrange(24 * 30)) for _ in range(9)]])
+    card = lambda: rng.choice(["k", "l", "", None])
+    cards = spark.createDataFrame(
+        [(card(), "a", rng.choice([fv.CARD_CANCELED, "x", None]), "p", rng.choice(["LOST", "EXPIRED", None]), some_day()) for _ in range(80)],
+        "card_uuid string, product_account_uuid string, card_status string, card_type string, cancel_reason string, last_ingest_at_est timestamp_ntz",
+    )
+    txns = spark.createDataFrame(
+        [(rng.choice(["t", "u", "", None]), card(), some_day()) for _ in range(40)],
+        "transaction_uuid string, card_uuid string, created_at_est timestamp_ntz",
+    )
+    wanted = fraud.cancel_near_txn(cards, txns, days).groupBy("transaction_uuid").agg(
+        F.count(F.lit(1)).alias("n_all"), F.count_if(F.col("cancel_reason") == "LOST").alias("n_fraud")
+    )
+    assert wanted.count() > 1
+    assert bag(fraud.cancel_tally(cards, txns, NEVER, days)) == bag(wanted)
+
+
+def test_transactions_shed_what_later_joins_do_not_need(table):
+    """The text of the rejection reason is never shuffled, the source transaction once."""
+    wanted = _signals(table).select("transaction_uuid", "product_account_uuid", "is_fraud")
+    carried = []
+
+    def visit(node):
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Join" and node.joinType().toString() == "LeftOuter":
+            carried.append(children[0].output().mkString(" "))
+        for child in children:
+            visit(child)
+
+    visit(wanted._jdf.queryExecution().optimizedPlan())
+    assert len(carried) == 3
+    assert not any("purchase_auth_rejection_reason" in columns for columns in carried)
+    assert sum("source_transaction_id" in columns for columns in carried) == 1
+
+
 _CHAIN_REST = (
     "dispute_explanation consumer_uuid transaction_pending_at_est updated_at_est transaction_status purchase_method "
     "purchase_category purchase_category_code merchant_name purchase_merchant_name amount auth_user_uuid "
